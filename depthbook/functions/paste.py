@@ -1,8 +1,8 @@
-"""Reading pasted inventory lines with regular expressions inside Spark."""
+"""Reading pasted inventory lines with one regular expression inside Spark."""
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from depthbook.functions.constants import (
 )
 
 # (?d): only \n ends a line, so a dot also matches \r and the like.
-_PATTERNS = ["(?d)" + pattern for pattern, _, _ in PASTE_RULES]
+_LINES = "(?d)"
+_SEPARATOR = "\x01"
 
 
 def clean_line(line: Column) -> Column:
@@ -31,44 +32,52 @@ def is_skipped(clean: Column) -> Column:
 
 def rule_number(clean: Column) -> Column:
     """Number (from 1) of the first rule that matches."""
-    tests = [
-        F.when(clean.rlike(pattern), F.lit(number))
-        for number, pattern in enumerate(_PATTERNS, start=1)
-    ]
-    return F.coalesce(*tests)
-
-
-def _by_rule(rule: Column, values: list[Column]) -> Column:
-    """The value that belongs to the rule; the others are not evaluated."""
-    numbered = list(enumerate(values, start=1))
-    first_number, first = numbered[0]
-    return reduce(
-        lambda chain, pair: chain.when(rule == pair[0], pair[1]),
-        numbered[1:],
-        F.when(rule == first_number, first),
+    return F.coalesce(
+        *[
+            F.when(clean.rlike(_LINES + pattern), F.lit(number))
+            for number, (pattern, _, _) in enumerate(PASTE_RULES, start=1)
+        ]
     )
 
 
-def item_name(clean: Column, rule: Column) -> Column:
-    return _by_rule(
-        rule,
-        [
-            F.regexp_extract(clean, pattern, name)
-            for pattern, (_, name, _) in zip(_PATTERNS, PASTE_RULES, strict=True)
-        ],
+def _all_rules() -> tuple[str, str]:
+    """One pattern that tries the rules in order, and a replacement text.
+
+    Groups of rules that did not match are empty, so the replacement lists the
+    groups of all rules: quantities, quantities that lose their commas, names.
+    """
+    alternatives, plain, with_commas, names = [], "", "", ""
+    groups_before = 0
+    for number, (pattern, name, quantity) in enumerate(PASTE_RULES, start=1):
+        alternatives.append(f"{pattern}.*")
+        names += f"${groups_before + name}"
+        if quantity is not None:
+            reference = f"${groups_before + quantity}"
+            if number in PASTE_RULES_WITHOUT_COMMAS:
+                with_commas += reference
+            else:
+                plain += reference
+        groups_before += re.compile(pattern).groups
+    return _LINES + "|".join(alternatives), _SEPARATOR.join([plain, with_commas, names])
+
+
+def read_line(clean: Column) -> Column:
+    """[quantity text, quantity text with commas, name] of a cleaned line."""
+    pattern, fields = _all_rules()
+    return F.split(F.regexp_replace(clean, pattern, fields), _SEPARATOR, 3)
+
+
+def quantity_text(fields: Column) -> Column:
+    plain, with_commas = F.get(fields, F.lit(0)), F.get(fields, F.lit(1))
+    return (
+        F.when(plain != "", plain)
+        .when(with_commas != "", F.replace(with_commas, F.lit(","), F.lit("")))
+        .otherwise("1")
     )
 
 
-def quantity_text(clean: Column, rule: Column) -> Column:
-    texts = []
-    for number, (pattern, (_, _, group)) in enumerate(
-        zip(_PATTERNS, PASTE_RULES, strict=True), start=1
-    ):
-        text = F.lit("1") if group is None else F.regexp_extract(clean, pattern, group)
-        if number in PASTE_RULES_WITHOUT_COMMAS:
-            text = F.replace(text, F.lit(","), F.lit(""))
-        texts.append(text)
-    return _by_rule(rule, texts)
+def item_name(fields: Column) -> Column:
+    return F.get(fields, F.lit(2))
 
 
 def leading_number(text: Column) -> Column:

@@ -18,16 +18,26 @@ def split_blocks(blocks: DataFrame) -> DataFrame:
 
 
 def parse_pasted(lines: DataFrame) -> DataFrame:
-    """Rule, item name and quantity of each line; blueprint copies are left out."""
-    rule, clean = F.col("rule"), F.col("clean")
+    """Item name and quantity of each line; blueprint copies are left out."""
+    clean, fields = F.col("clean"), F.col("fields")
     return (
         lines.withColumn("clean", paste.clean_line(F.col("line")))
         .where(~paste.is_skipped(clean))
-        .withColumn("rule", paste.rule_number(clean))
-        .withColumn("name", paste.item_name(clean, rule))
-        .withColumn("quantity_text", paste.quantity_text(clean, rule))
+        .withColumn("fields", paste.read_line(clean))
+        .withColumn("name", paste.item_name(fields))
+        .withColumn("quantity_text", paste.quantity_text(fields))
         .withColumn("quantity", paste.leading_number(F.col("quantity_text")))
-        .drop("clean")
+        .drop("clean", "fields")
+    )
+
+
+def rule_counts(lines: DataFrame) -> DataFrame:
+    """How many lines each rule decides."""
+    clean = lines.select(paste.clean_line(F.col("line")).alias("clean"))
+    return (
+        clean.where(~paste.is_skipped(F.col("clean")))
+        .groupBy(paste.rule_number(F.col("clean")).alias("rule"))
+        .agg(F.count(F.lit(1)).alias("n_lines"))
     )
 
 

@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthbook.operators import depth
+from depthbook.functions import text
+from depthbook.functions.session import new_path
+from depthbook.operators import appraisal, boards, depth, listing, lookup, refdata
 from depthbook.plans.star import Market
+from depthbook.sources import pages, snapshots
+from depthbook.sources import refdata as documents
+from depthbook.streaming.snapshots import stream_aggregates as start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Scope parameters in terms of the test tables.
 HUB_STATIONS = (60000001, 60000002, 60000003, 60000005, 60000008)
 HUB_SYSTEMS = (30000001, 30000002)
+# Half an hour between snapshots: three of them are alive at this time.
+NOW = datetime(2024, 1, 1, 3, 40)
 
 
 def _stable(aggregates: DataFrame) -> DataFrame:
@@ -22,6 +30,24 @@ def _stable(aggregates: DataFrame) -> DataFrame:
     return aggregates.withColumn("stddev", F.round("stddev", 4))
 
 
+def _dims(m: Market) -> listing.Dimensions:
+    return listing.Dimensions(
+        stations=m.stations,
+        types=m.types,
+        regions=m.regions,
+        systems=m.systems,
+        region_class=m.region_class,
+        hubs=m.hubs,
+    )
+
+
+def _current(m: Market) -> DataFrame:
+    return listing.current_orders(m.orders, m.manifest)
+
+
+# -------------------------------------------------------------- depth statistics
+
+
 def agg_region(m: Market) -> DataFrame:
     return _stable(depth.aggregate_scope(m.orders, "region"))
 
@@ -61,6 +87,320 @@ def agg_wide(m: Market) -> DataFrame:
     return depth.wide_aggregates(agg_region(m))
 
 
+# ---------------------------------------------------------------- order listings
+
+
+def _listing(name: str, side: str, scope: str) -> Callable[[Market], DataFrame]:
+    def query(m: Market) -> DataFrame:
+        return listing.order_listing(_current(m), _dims(m), side, scope)
+
+    query.__name__ = f"orders_{name}_{side}"
+    return query
+
+
+LISTINGS = [
+    _listing(name, side, scope)
+    for name, scope in (
+        ("region_api", "api"),
+        ("type", "all"),
+        ("region", "region"),
+        ("empire", "empire"),
+        ("hub", "hub"),
+        ("station", "station"),
+    )
+    for side in ("sell", "buy")
+]
+
+
+def order_history_sell(m: Market) -> DataFrame:
+    return listing.order_history(m.orders, _dims(m), "sell")
+
+
+def order_history_buy(m: Market) -> DataFrame:
+    return listing.order_history(m.orders, _dims(m), "buy")
+
+
+def market_view_doc(m: Market) -> DataFrame:
+    orders, dims = _current(m), _dims(m)
+    views = [listing.market_view_pages(orders, dims, side) for side in ("buy", "sell")]
+    return views[0].unionByName(views[1])
+
+
+def distinct_orders(m: Market) -> DataFrame:
+    return listing.distinct_orders(m.orders)
+
+
+def latest_order_set(m: Market) -> DataFrame:
+    return listing.latest_order_set(m.manifest)
+
+
+# ------------------------------------------------------------------------ boards
+
+
+def top_stations_sell(m: Market) -> DataFrame:
+    return boards.top_stations(_current(m), m.stations, "sell")
+
+
+def top_stations_buy(m: Market) -> DataFrame:
+    return boards.top_stations(_current(m), m.stations, "buy")
+
+
+def top_stations_json(m: Market) -> DataFrame:
+    made = [boards.top_stations_json(_current(m), m.stations, s) for s in ("sell", "buy")]
+    return made[0].unionByName(made[1])
+
+
+def item_board(m: Market) -> DataFrame:
+    aggregates = depth.aggregate_scope(_current(m), "station", HUB_STATIONS)
+    return boards.item_board(_stable(aggregates), HUB_STATIONS)
+
+
+# ----------------------------------------------------------------------- lookups
+
+
+def serving_rows(m: Market) -> DataFrame:
+    return lookup.serving_rows(agg_region(m), m.manifest)
+
+
+def serving_decode(m: Market) -> DataFrame:
+    return lookup.decode_serving_rows(lookup.serving_rows(agg_region(m)))
+
+
+def live_aggregates(m: Market) -> DataFrame:
+    return lookup.live_aggregates(serving_rows(m), NOW)
+
+
+def _current_everywhere(m: Market) -> DataFrame:
+    return _stable(depth.aggregate_all_scopes(_current(m), m.stations))
+
+
+def agg_lookup(m: Market) -> DataFrame:
+    return lookup.lookup_aggregates(m.lookup_requests, _current_everywhere(m))
+
+
+def agg_lookup_json(m: Market) -> DataFrame:
+    return lookup.lookup_document(m.lookup_requests, _current_everywhere(m))
+
+
+# --------------------------------------------------------------------- appraisal
+
+
+def paste_parse(m: Market) -> DataFrame:
+    """Every pasted line with the type and quantity read from it."""
+    parsed = appraisal.parse_pasted(m.pasted.select("list_id", "line"))
+    return parsed.join(appraisal.name_index(m.types), "name").select(
+        "list_id", "type_id", F.col("quantity").cast("long").alias("quantity")
+    )
+
+
+def paste_rules(m: Market) -> DataFrame:
+    return appraisal.rule_counts(m.pasted)
+
+
+def _inventory(m: Market) -> DataFrame:
+    parsed = appraisal.parse_pasted(m.pasted.select("list_id", "line"))
+    return appraisal.paste_inventory(parsed, m.types)
+
+
+def paste_inventory(m: Market) -> DataFrame:
+    return _inventory(m).withColumn("quantity", F.col("quantity").cast("long"))
+
+
+def appraisal_list_roundtrip(m: Market) -> DataFrame:
+    stored = appraisal.store_lists(_inventory(m))
+    return appraisal.stored_inventory(stored).withColumn(
+        "quantity", F.col("quantity").cast("long")
+    )
+
+
+def appraisal_lines(m: Market) -> DataFrame:
+    aggregates = depth.aggregate_scope(_current(m), "region")
+    return appraisal.appraise(_inventory(m), m.appraisal_requests, aggregates, m.types)
+
+
+def appraisal_totals(m: Market) -> DataFrame:
+    """Totals in ten-thousandths, so that the sum does not depend on its order."""
+    lines = appraisal_lines(m)
+    exact = {t: F.floor(F.col(t) * 10000) for t in appraisal.TOTALS}
+    return appraisal.appraisal_totals(lines.withColumns(exact))
+
+
+# ---------------------------------------------------------------- reference data
+
+
+def published_types(m: Market) -> DataFrame:
+    return appraisal.tradable(m.types).select("type_id", "type_name", "volume")
+
+
+def dict_types(m: Market) -> DataFrame:
+    return refdata.dict_types(m.types)
+
+
+def dict_regions(m: Market) -> DataFrame:
+    return refdata.dict_regions(m.regions)
+
+
+def dict_stations(m: Market) -> DataFrame:
+    return refdata.dict_stations(m.stations)
+
+
+def type_search(m: Market) -> DataFrame:
+    return refdata.search_types(m.types, "ING")
+
+
+def market_group_children(m: Market) -> DataFrame:
+    return refdata.group_children(m.groups)
+
+
+def market_group_roots(m: Market) -> DataFrame:
+    return refdata.group_children(m.groups, 0)
+
+
+def market_group_types(m: Market) -> DataFrame:
+    return refdata.group_types(m.types)
+
+
+def market_group_tree(m: Market) -> DataFrame:
+    return refdata.group_tree(m.groups)
+
+
+def security_class(m: Market) -> DataFrame:
+    """Systems by security, with the class and the text the browser shows."""
+    security = F.col("security")
+    return m.systems.select(
+        "system_id",
+        "security",
+        text.security_class(security).alias("security_class"),
+        text.security_text(security).alias("security_text"),
+    )
+
+
+def region_universe(m: Market) -> DataFrame:
+    """Orders per snapshot in regions that have a feed."""
+    return (
+        m.orders.join(refdata.region_universe(m.spark), "region_id", "left_semi")
+        .groupBy("order_set", "region_id")
+        .agg(F.count(F.lit(1)).alias("n_orders"))
+    )
+
+
+def group_types_flat(m: Market) -> DataFrame:
+    return documents.group_types_flat(m.group_docs)
+
+
+def type_upsert(m: Market) -> DataFrame:
+    return refdata.upsert_types(m.stored_types, documents.parse_types(m.type_docs))
+
+
+def type_missing(m: Market) -> DataFrame:
+    wanted = documents.group_types_flat(m.group_docs)
+    return refdata.missing_types(wanted, documents.parse_types(m.type_docs))
+
+
+def structure_regions(m: Market) -> DataFrame:
+    return refdata.structure_regions(m.feed_stations, m.systems)
+
+
+def structure_stations(m: Market) -> DataFrame:
+    return refdata.new_structures(
+        documents.parse_structures(m.structure_docs), m.structure_markets, m.known_structures
+    )
+
+
+# ---------------------------------------------------------------- feeds and files
+
+
+def feed_rule(m: Market) -> DataFrame:
+    return pages.feed_rule(m.feed_orders)
+
+
+def ingest_pages(m: Market) -> DataFrame:
+    return pages.parse_pages(m.feed_pages, F.col("order_set"))
+
+
+def ingest_pages_legacy(m: Market) -> DataFrame:
+    return pages.parse_legacy_pages(m.legacy_pages, F.col("order_set"))
+
+
+def legacy_next_pages(m: Market) -> DataFrame:
+    following = pages.next_legacy_pages(m.legacy_pages)
+    return following.groupBy("url", "next_url").agg(F.count(F.lit(1)).alias("n"))
+
+
+def page_quarantine(m: Market) -> DataFrame:
+    return pages.quarantine(m.feed_pages).withColumn("n_chars", F.length("body")).drop("body")
+
+
+def page_manifest(m: Market) -> DataFrame:
+    return pages.page_manifest(m.feed_pages)
+
+
+def region_completeness(m: Market) -> DataFrame:
+    return pages.region_completeness(page_manifest(m))
+
+
+def order_set_bucket(m: Market) -> DataFrame:
+    """Orders per table part; snapshot numbers are spread to reach several parts."""
+    spread = m.orders.withColumn("order_set", F.col("order_set") * 170)
+    bucket = snapshots.order_set_bucket(F.col("order_set")).alias("order_set_bucket")
+    return spread.groupBy("order_set", bucket).agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+def snapshot_tsv_roundtrip(m: Market) -> DataFrame:
+    path = new_path(m.spark, "snapshot-tsv")
+    snapshots.write_snapshot_tsv(m.orders, path)
+    return snapshots.read_snapshot_tsv(m.spark, path)
+
+
+def snapshot_table(m: Market) -> DataFrame:
+    """Orders written to and read from the partitioned table, newest published snapshot."""
+    path = new_path(m.spark, "orders")
+    snapshots.append_snapshot(m.orders, path)
+    return listing.current_orders(snapshots.read_snapshots(m.spark, path), m.manifest).select(
+        "order_id", "type_id", "buy", "volume", "price", "station_id", "region_id"
+    )
+
+
+def snapshot_files(m: Market) -> DataFrame:
+    files = m.manifest.select(
+        F.concat(F.lit("/books/orderset-"), F.col("order_set") * 5, F.lit(".csv.gz")).alias("path")
+    )
+    return snapshots.snapshot_listing(files)
+
+
+def aggregate_dump(m: Market) -> DataFrame:
+    path = new_path(m.spark, "aggregates-csv")
+    aggregates = agg_region(m)
+    snapshots.write_aggregate_dump(aggregates, path)
+    schema = snapshots.dump_rows(aggregates).schema
+    return m.spark.read.schema(schema).csv(path, header=True)
+
+
+def retained_orders(m: Market) -> DataFrame:
+    """Snapshots half a day apart, so that some are older than two days."""
+    slow = m.manifest.withColumn(
+        "downloaded",
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 12 * order_set)"),
+    )
+    kept = snapshots.retain(m.orders, slow, datetime(2024, 1, 4, 12))
+    return kept.select("order_set", "order_id", "type_id", "station_id", "volume", "price")
+
+
+def stream_aggregates(m: Market) -> DataFrame:
+    """Publish every snapshot, let the stream aggregate them, read what it stored."""
+    spark = m.spark
+    root = new_path(spark, "stream")
+    snapshots.append_snapshot(m.orders, f"{root}/orders")
+    m.manifest.select(F.col("order_set").cast("long"), "downloaded").write.parquet(
+        f"{root}/manifest"
+    )
+    start_stream(
+        spark, f"{root}/orders", f"{root}/manifest", f"{root}/aggregates", f"{root}/checkpoint"
+    ).awaitTermination()
+    stored = spark.read.parquet(f"{root}/aggregates")
+    return _stable(stored).select(*depth.GROUP, *depth.STATISTICS)
+
+
 QUERIES = [
     agg_region,
     agg_global,
@@ -71,6 +411,57 @@ QUERIES = [
     agg_all_scopes,
     price_levels,
     agg_wide,
+    *LISTINGS,
+    order_history_sell,
+    order_history_buy,
+    market_view_doc,
+    distinct_orders,
+    latest_order_set,
+    top_stations_sell,
+    top_stations_buy,
+    top_stations_json,
+    item_board,
+    serving_rows,
+    serving_decode,
+    live_aggregates,
+    agg_lookup,
+    agg_lookup_json,
+    paste_parse,
+    paste_rules,
+    paste_inventory,
+    appraisal_list_roundtrip,
+    appraisal_lines,
+    appraisal_totals,
+    published_types,
+    dict_types,
+    dict_regions,
+    dict_stations,
+    type_search,
+    market_group_children,
+    market_group_roots,
+    market_group_types,
+    market_group_tree,
+    security_class,
+    region_universe,
+    group_types_flat,
+    type_upsert,
+    type_missing,
+    structure_regions,
+    structure_stations,
+    feed_rule,
+    ingest_pages,
+    ingest_pages_legacy,
+    legacy_next_pages,
+    page_quarantine,
+    page_manifest,
+    region_completeness,
+    order_set_bucket,
+    snapshot_tsv_roundtrip,
+    snapshot_table,
+    snapshot_files,
+    aggregate_dump,
+    retained_orders,
+    stream_aggregates,
 ]
 
 

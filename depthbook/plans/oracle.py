@@ -108,6 +108,22 @@ def sql(body: str, *views: str) -> str:
     return "with " + ",\n".join([VIEWS.strip(), *[v.strip() for v in views]]) + "\n" + body.strip()
 
 
+def _wide() -> str:
+    """Two decimals, rounded half up on the decimal digits of the number."""
+    columns = []
+    for name, short in (
+        ("weighted_average", "wavg"), ("max_price", "max"), ("min_price", "min"),
+        ("stddev", "stddev"), ("median", "median"), ("volume", "volume"),
+        ("order_count", "count"), ("percentile", "fivep"),
+    ):
+        for side, match in (("sell", "not buy"), ("buy", "buy")):
+            value = f"max({name}) filter ({match})"
+            if name not in ("volume", "order_count"):
+                value = f"cast(cast({value} as varchar) as decimal(19,2))"
+            columns.append(f"{value} as {short}_{side}")
+    return ", ".join(columns)
+
+
 def depth_oracles() -> dict[str, str]:
     whole = f"select {STATS_COLUMNS} from stats"
     return {
@@ -122,30 +138,454 @@ def depth_oracles() -> dict[str, str]:
             "select order_set, loc_id, type_id, buy, price, volume from levels",
             stats_views("region"),
         ),
-        "agg_wide": sql(
+        "agg_wide": sql(f"select order_set, loc_id, type_id, {_wide()} from stats group by all",
+                        stats_views("region")),
+    }
+
+
+
+# ---------------------------------------------------------------------- listings
+
+
+def _listing(
+    side: str, joins: str = "", extra: str = "o.region_id", price: str = "price", source: str = "latest"
+) -> str:
+    ranged = ', "range"' if side == "buy" else ""
+    return sql(f"""
+        select order_id, o.type_id, issued, o.volume, volume_entered, min_volume, {price} as price,
+               o.station_id{ranged}, duration, station_name, type_name, region_name, {extra}
+        from {source} o
+        join mkt_stations sta on o.station_id = sta.station_id
+        join mkt_types it on o.type_id = it.type_id
+        join mkt_regions mr on o.region_id = mr.region_id {joins}
+        where {"buy" if side == "buy" else "not buy"}""")
+
+
+def listing_oracles() -> dict[str, str]:
+    plain, api = {"joins": ""}, {
+        "joins": "join mkt_systems ms on sta.system_id = ms.system_id",
+        "extra": "o.region_id, security, sta.system_id",
+        "price": "cast(round(price, 2) as decimal(19,2))",
+    }
+    empire = {"joins": "join mkt_region_class rc on o.region_id = rc.region_id and region_type <= 2"}
+    hub = {"joins": "join mkt_hubs hub on o.station_id = hub.station_id"}
+    made = {}
+    for side in ("sell", "buy"):
+        made[f"orders_region_api_{side}"] = _listing(side, **api)
+        for name, form in (
+            ("type", plain), ("region", plain), ("station", plain), ("empire", empire), ("hub", hub)
+        ):
+            made[f"orders_{name}_{side}"] = _listing(side, **form)
+        made[f"order_history_{side}"] = _listing(side, extra="order_set", source="mkt_orders")
+    return made
+
+
+def _view(side: str) -> str:
+    ranged = '"range" := "range", ' if side == "buy" else ""
+    order = "-price" if side == "buy" else "price"
+    return f"""
+        select order_set, type_id, (n - 1) // 1000 as page, max(type_name) as type_name,
+               count(*) as n_orders,
+               cast(to_json(list(struct_pack(order_id, type_id, issued := issued_text,
+                 volume, volume_entered, min_volume, price := cast(price as varchar), station_id,
+                 {ranged}duration, station_name, type_name, region_name, region_id,
+                 security := cast(security as varchar), system_id) order by n)) as varchar) as orders,
+               '{side}' as side
+        from (
+          select o.*, strftime(issued, '%Y-%m-%d %H:%M:%S') as issued_text,
+                 row_number() over (partition by type_id
+                   order by {order}, region_id, order_id, station_id, volume) as n
+          from (
+            select o.order_set, o.order_id, o.type_id, issued, o.volume, volume_entered, min_volume,
+                   cast(round(price, 2) as decimal(19,2)) as price, o.station_id, "range", duration,
+                   station_name, type_name, region_name, o.region_id, security, sta.system_id
+            from latest o join mkt_stations sta on o.station_id = sta.station_id
+            join mkt_types it on o.type_id = it.type_id
+            join mkt_regions mr on o.region_id = mr.region_id
+            join mkt_systems ms on sta.system_id = ms.system_id
+            where {"buy" if side == "buy" else "not buy"}) o)
+        group by order_set, type_id, page"""
+
+
+def order_oracles() -> dict[str, str]:
+    return {
+        "market_view_doc": sql(_view("buy") + " union all " + _view("sell")),
+        "distinct_orders": sql("""
+            select * exclude (n) from (
+              select *, row_number() over (partition by order_set, order_id
+                order by region_id, station_id, type_id, price, volume, issued, buy) as n
+              from mkt_orders) where n = 1"""),
+        "latest_order_set": sql("select max(order_set) as order_set from mkt_manifest"),
+    }
+
+
+# ------------------------------------------------------------------------ boards
+
+
+def _top(side: str) -> str:
+    return f"""
+        select coun, station_name, station_id, vol from (
+          select station_id, count(*) as coun, cast(sum(volume) as bigint) as vol from latest
+          where {"buy" if side == "buy" else "not buy"} group by station_id)
+        join mkt_stations using (station_id) order by coun desc, station_id limit 10"""
+
+
+def _top_json(side: str) -> str:
+    return f"""
+        select '{side}' as side, cast(to_json(list(struct_pack(coun := coun,
+          "stationName" := station_name, "stationID" := station_id, vol := vol)
+          order by coun desc, station_id)) as varchar) as board
+        from ({_top(side)})"""
+
+
+_BOARD_ITEMS = """items(place, type_id, label) as (values (0, 34, 'Tritanium'), (1, 35, 'Pyrite'),
+  (2, 36, 'Mexallon'), (3, 37, 'Isogen'), (4, 38, 'Nocxium'), (5, 39, 'Zydrine'), (6, 40, 'Megacyte'),
+  (7, 11399, 'Morphite'), (8, 44992, 'PLEX'), (9, 40520, 'Skill Injector'))"""
+
+_STATISTICS = (
+    "weighted_average", "max_price", "min_price", "stddev", "median", "volume", "order_count",
+    "percentile",
+)
+
+
+def board_oracles() -> dict[str, str]:
+    sides = ", ".join(
+        f"coalesce(max(cast({name} as double)) filter ({match}), 0) as {side}_{name}"
+        for side, match in (("buy", "buy"), ("sell", "not buy"))
+        for name in _STATISTICS
+    )
+    return {
+        "top_stations_sell": sql(_top("sell")),
+        "top_stations_buy": sql(_top("buy")),
+        "top_stations_json": sql(f"({_top_json('sell')}) union all ({_top_json('buy')})"),
+        "item_board": sql(
+            f"""
+            select cast(h.station_id as bigint) as loc_id, place, cast(i.type_id as bigint) as type_id,
+                   label, {sides}
+            from mkt_hubs h cross join items i
+            left join (select * from stats where order_set = (select max(order_set) from mkt_manifest)) s
+              on s.loc_id = h.station_id and s.type_id = i.type_id
+            group by all""",
+            _BOARD_ITEMS,
+            stats_views("station"),
+        ),
+    }
+
+
+# ----------------------------------------------------------------------- lookups
+
+
+def _number_text(value: str) -> str:
+    """Twelve significant digits; a plain whole number gets one decimal."""
+    text = f"printf('%.12g', cast({value} as double))"
+    return f"case when {text} similar to '.*[.e].*' then {text} else {text} || '.0' end"
+
+
+def _payload() -> str:
+    fields = [
+        f"coalesce(cast({n} as varchar), '')" if n == "order_count"
+        else f"coalesce({_number_text(n)}, '')"
+        for n in _STATISTICS
+    ]
+    return " || '|' || ".join(fields)
+
+
+_SERVING = f"""
+serving as (
+  select order_set, loc_id || '|' || type_id || '|' || case when buy then 'true' else 'false' end as key,
+         {_payload()} as payload, loc_id, type_id, buy
+  from stats)"""
+
+_REQUESTS = """
+requests as (
+  select c_custkey as request_id, c_mktsegment = 'BUILDING' as in_body,
+         case when c_nationkey % 4 = 0 then cast(10000000 + c_custkey % 5 as varchar) end as region,
+         case when c_nationkey % 4 <= 1 then cast(60000000 + c_custkey % 90 as varchar) end as station,
+         case when c_nationkey % 4 <= 2 then cast(30000000 + c_custkey % 25 as varchar) end as system,
+         cast(c_custkey % 199 as varchar) as a, cast(c_custkey % 83 as varchar) as b, c_acctbal
+  from customer),
+tokens as (
+  select distinct request_id,
+         coalesce(case when in_body and c_acctbal > 5000 then '10000002'
+                       when in_body and c_acctbal > 2000 then '30000003' end,
+                  region, station, system, '0') as place,
+         unnest(case when in_body then [b, '7'] else [a, b, '0' || b, 'abc'] end) as token
+  from requests),
+current_stats as (
+  select * from stats where order_set = (select max(order_set) from mkt_manifest)),
+sides(buy, side) as (values (true, 'buy'), (false, 'sell')),
+found as (
+  select request_id, place, token, side, s.* exclude (order_set, loc_id, type_id, buy)
+  from tokens cross join sides
+  left join current_stats s on cast(s.loc_id as varchar) = place
+    and cast(s.type_id as varchar) = token and s.buy = sides.buy)"""
+
+
+def _side_document() -> str:
+    labels = (
+        "weightedAverage", "max", "min", "stddev", "median", "volume", "orderCount", "percentile",
+    )
+    fields = []
+    for name, label in zip(_STATISTICS, labels, strict=True):
+        shown = f"cast({name} as varchar)" if name == "order_count" else _number_text(name)
+        fields.append(f"\"{label}\" := case when coalesce({name}, 0) = 0 then '0' else {shown} end")
+    return f"struct_pack({', '.join(fields)})"
+
+
+def lookup_oracles() -> dict[str, str]:
+    numbers = ", ".join(f"coalesce(cast({n} as double), 0) as {n}" for n in _STATISTICS)
+    decoded = []
+    for name in _STATISTICS:
+        text = f"cast({name} as varchar)" if name == "order_count" else _number_text(name)
+        decoded.append(f"coalesce(cast({text} as double), 0) as {name}")
+    expiry = "downloaded + interval 5400 second"
+    return {
+        "serving_rows": sql(
+            f"""select s.order_set, key, payload, {expiry} as expires_at
+            from serving s join mkt_manifest m on s.order_set = m.order_set""",
+            stats_views("region"), _SERVING,
+        ),
+        "serving_decode": sql(
+            f"select order_set, loc_id, type_id, buy, {', '.join(decoded)} from stats",
+            stats_views("region"),
+        ),
+        "live_aggregates": sql(
+            f"""select key, order_set, payload, {expiry} as expires_at from (
+              select s.*, downloaded, row_number() over (partition by key order by s.order_set desc) as n
+              from serving s join mkt_manifest m on s.order_set = m.order_set
+              where {expiry} >= timestamp '2024-01-01 03:40:00') where n = 1""",
+            stats_views("region"), _SERVING,
+        ),
+        "agg_lookup": sql(
+            f"select request_id, place, token, side, {numbers} from found",
+            stats_views("all"), _REQUESTS,
+        ),
+        "agg_lookup_json": sql(
+            """select request_id, token, cast(to_json(struct_pack(
+                 buy := max(doc) filter (side = 'buy'), sell := max(doc) filter (side = 'sell')))
+                 as varchar) as entry
+               from (select *, """ + _side_document() + """ as doc from found)
+               group by request_id, token""",
+            stats_views("all"), _REQUESTS,
+        ),
+    }
+
+
+# --------------------------------------------------------------------- appraisal
+
+_INVENTORY = """
+inventory as (
+  select list_id, type_id, cast(sum(qty) as bigint) as quantity from mkt_paste group by list_id, type_id)"""
+
+_LINES = """
+prices as (
+  select loc_id, type_id, max(percentile) filter (buy) as best_buy,
+         max(percentile) filter (not buy) as best_sell,
+         max(cast(max_price as double)) filter (buy) as max_buy,
+         max(cast(min_price as double)) filter (not buy) as min_sell
+  from stats where order_set = (select max(order_set) from mkt_manifest) group by loc_id, type_id),
+lines as (
+  select i.list_id, cast(10000000 + o_custkey % 5 as bigint) as loc_id, i.type_id, type_name,
+         cast(quantity as double) as quantity,
+         quantity * coalesce(best_buy, 0) as pbuy, quantity * coalesce(best_sell, 0) as psell,
+         quantity * coalesce(max_buy, 0) as mbuy, quantity * coalesce(min_sell, 0) as msell,
+         quantity * t.volume as volume
+  from inventory i join orders on i.list_id = o_orderkey join mkt_types t on i.type_id = t.type_id
+  left join prices p on p.loc_id = 10000000 + o_custkey % 5 and p.type_id = i.type_id
+  where o_orderpriority <> '5-LOW')"""
+
+
+def appraisal_oracles() -> dict[str, str]:
+    totals = ", ".join(
+        f"cast(sum(cast(floor({t} * 10000) as bigint)) as bigint) as {t}"
+        for t in ("pbuy", "mbuy", "psell", "msell", "volume")
+    )
+    return {
+        "paste_parse": sql("select list_id, type_id, qty as quantity from mkt_paste"),
+        "paste_rules": sql("""
+            select case l_linenumber when 1 then 2 when 2 then 3 when 3 then 4 when 4 then 6 when 5 then 7
+                   when 6 then 8 else 11 end as rule, count(*) as n_lines
+            from lineitem join mkt_types on l_partkey = mkt_types.type_id
+            where published and market_group_id is not null group by rule"""),
+        "paste_inventory": sql("select * from inventory", _INVENTORY),
+        "appraisal_list_roundtrip": sql("select * from inventory", _INVENTORY),
+        "appraisal_lines": sql("select * from lines", stats_views("region"), _INVENTORY, _LINES),
+        "appraisal_totals": sql(
+            f"select list_id, loc_id, {totals} from lines group by list_id, loc_id",
+            stats_views("region"), _INVENTORY, _LINES,
+        ),
+    }
+
+
+# ---------------------------------------------------------------- reference data
+
+_TREE = """
+tree as (
+  select market_group_id, group_name, 0 as depth, market_group_id as root_group_id, group_name as path
+  from mkt_groups where parent_group_id is null
+  union all
+  select g.market_group_id, g.group_name, depth + 1, root_group_id, path || '/' || g.group_name
+  from mkt_groups g join tree t on g.parent_group_id = t.market_group_id)"""
+
+
+def refdata_oracles() -> dict[str, str]:
+    children = """select coalesce(parent_group_id, 0) as opened_group_id, parent_group_id,
+                         market_group_id, group_name, has_types from mkt_groups"""
+    listed = "from mkt_types where market_group_id is not null"
+    return {
+        "published_types": sql(f"select type_id, type_name, volume {listed} and published"),
+        "dict_types": sql(f"select type_id as value, type_name as label {listed}"),
+        "dict_regions": sql("""
+            select region_id as value, region_name as label from mkt_regions
+            where region_id < 11000000 and region_id not in (10000004, 10000017)"""),
+        "dict_stations": sql("select station_id as value, station_name as label from mkt_stations"),
+        "type_search": sql(f"""
+            select type_id as value, type_name as label {listed} and type_name ilike '%ing%'"""),
+        "market_group_children": sql(children),
+        "market_group_roots": sql(children + " where parent_group_id is null"),
+        "market_group_types": sql(f"select market_group_id, type_id, type_name, icon_id {listed}"),
+        "market_group_tree": sql("select * from tree", _TREE).replace("with ", "with recursive ", 1),
+        "security_class": sql("""
+            select system_id, security, case when security > 0.5 then 'high'
+              when security > 0 then 'low' else 'null' end as security_class,
+              case when security = 0 then '0' when security = 1 then '1'
+                else cast(security as varchar) end as security_text
+            from mkt_systems"""),
+        "region_universe": sql("""
+            select order_set, region_id, count(*) as n_orders from mkt_orders
+            where region_id between 10000001 and 10000069 and region_id not in (10000024, 10000026)
+            group by order_set, region_id"""),
+        "group_types_flat": sql(f"select cast(market_group_id as bigint) as market_group_id, type_id {listed}"),
+        "type_missing": sql(f"""
+            select type_id {listed} and type_id in (select p_partkey from part where p_size = 25)"""),
+        "type_upsert": sql("""
+            select type_id, case when takes then new_name else type_name end as type_name,
+                   cast(case when takes then 2 else group_id end as bigint) as group_id,
+                   cast(case when takes then new_group else market_group_id end as bigint) as market_group_id,
+                   case when takes then new_capacity else capacity end as capacity,
+                   case when takes then coalesce(new_published, false) else published end as published,
+                   case when takes then new_portion else portion_size end as portion_size,
+                   case when takes then new_volume else volume end as volume,
+                   case when known then mass else new_mass end as mass
+            from (
+              select p_partkey as type_id, p_size <= 40 as known, p_name as type_name, 1 as group_id,
+                     p_size as market_group_id, cast(5.0 as double) as capacity, true as published,
+                     1 as portion_size, p_retailprice as volume, cast(7.5 as double) as mass,
+                     upper(p_name) as new_name,
+                     case when p_size % 10 <> 0 then p_size + 1000 end as new_group,
+                     case when p_size > 20 then cast(p_size as double) * 1.5 end as new_capacity,
+                     case when p_size % 6 <> 0 then p_size % 4 <> 0 end as new_published,
+                     case when p_size > 10 then p_size end as new_portion,
+                     case when p_size % 9 <> 0 then cast(p_size as double) / 4 end as new_volume,
+                     case when p_size > 30 then p_retailprice end as new_mass,
+                     p_size not in (25, 7) and (p_size > 40 or p_size % 9 <> 0) as takes
+              from part)"""),
+        "structure_regions": sql("""
+            select 1000000000000 + station_id as station_id, region_id
+            from mkt_stations join mkt_systems using (system_id) where station_id % 10 = 0"""),
+        "structure_stations": sql("""
+            select 1000000000000 + s_suppkey as station_id, s_name as station_name,
+                   cast(case s_suppkey % 7 when 0 then 35826 when 1 then 35827 when 2 then 35833
+                     when 3 then 35834 else 40340 end as bigint) as station_type_id,
+                   cast(30000000 + s_nationkey as bigint) as system_id,
+                   s_acctbal as x, s_acctbal * 2 as y, -s_acctbal as z
+            from supplier
+            where s_nationkey <> 7 and s_suppkey % 7 <= 4 and s_suppkey % 5 <> 0 and s_acctbal <= 8000"""),
+    }
+
+
+# ---------------------------------------------------------------- feeds and files
+
+_FEED = """
+feed as (
+  select * exclude (system_id) replace (case when station_id % 10 = 0 then 1000000000000 + station_id
+           else station_id end as station_id),
+         case when station_id % 10 = 0 and order_set % 2 = 0 then 1 else 0 end as structure,
+         cast(1 + order_id % 40 as int) as page
+  from mkt_orders),
+ruled as (
+  select * from feed where not (structure = 0 and station_id > 100000000 and buy)),
+page_counts as (
+  select region_id, structure, page, cast(sum(case when volume = 50 then 0 else 1 end) as bigint) as n_orders,
+         count(*) filter (volume = 50) as n_failed
+  from feed group by all
+  union all select region_id, 0, 41, 0, 0 from mkt_regions
+  union all select region_id, 0, 42, 0, 1 from mkt_regions)"""
+
+_ORDER_COLUMNS = """order_id, type_id, issued, buy, volume, volume_entered, min_volume, price, station_id,
+  "range", duration, region_id, order_set"""
+
+
+def feed_oracles() -> dict[str, str]:
+    return {
+        "feed_rule": sql("select * exclude (page) from ruled", _FEED),
+        "ingest_pages": sql(f"select {_ORDER_COLUMNS} from ruled where volume <> 50", _FEED),
+        "ingest_pages_legacy": sql(
+            f"select {_ORDER_COLUMNS} from (select * replace (cast(region_id as bigint) as region_id) from mkt_orders)"
+        ),
+        "legacy_next_pages": sql("""
+            select 'https://feed.example/market/' || region_id || '/orders/all/' as url,
+                   'https://feed.example/market/' || region_id || '/orders/all/?page=2' as next_url,
+                   count(*) as n
+            from mkt_orders where volume > 25 group by region_id"""),
+        "page_quarantine": sql(
+            """
+            select order_set, region_id, structure, page, region_id || '-' || page || '.txt' as file_name,
+                   cast(length(cast(to_json([struct_pack(order_id, type_id,
+                     issued := strftime(issued, '%Y-%m-%dT%H:%M:%SZ'), is_buy_order := buy,
+                     volume_remain := volume, volume_total := volume_entered, min_volume,
+                     price := cast(cast(price as bigint) as varchar) || '.00',
+                     location_id := station_id, "range", duration)]) as varchar)) as int) - 2 as n_chars
+            from feed where volume = 50
+            union all
+            select 0, region_id, 0, 42, region_id || '-42.txt', 17 from mkt_regions""",
+            _FEED,
+        ),
+        "page_manifest": sql("select *, n_orders > 0 as has_next from page_counts", _FEED),
+        "region_completeness": sql(
             """
-            select order_set, loc_id, type_id,
-              cast(max(weighted_average) filter (not buy) as decimal(19,2)) as wavg_sell,
-              cast(max(weighted_average) filter (buy) as decimal(19,2)) as wavg_buy,
-              cast(max(max_price) filter (not buy) as decimal(19,2)) as max_sell,
-              cast(max(max_price) filter (buy) as decimal(19,2)) as max_buy,
-              cast(max(min_price) filter (not buy) as decimal(19,2)) as min_sell,
-              cast(max(min_price) filter (buy) as decimal(19,2)) as min_buy,
-              cast(max(stddev) filter (not buy) as decimal(19,2)) as stddev_sell,
-              cast(max(stddev) filter (buy) as decimal(19,2)) as stddev_buy,
-              cast(max(median) filter (not buy) as decimal(19,2)) as median_sell,
-              cast(max(median) filter (buy) as decimal(19,2)) as median_buy,
-              max(volume) filter (not buy) as volume_sell,
-              max(volume) filter (buy) as volume_buy,
-              max(order_count) filter (not buy) as count_sell,
-              max(order_count) filter (buy) as count_buy,
-              cast(max(percentile) filter (not buy) as decimal(19,2)) as fivep_sell,
-              cast(max(percentile) filter (buy) as decimal(19,2)) as fivep_buy
-            from stats group by order_set, loc_id, type_id""",
+            select region_id, structure, max(page) as last_page, cast(sum(n_orders) as bigint) as n_orders,
+                   bool_or(n_orders = 0 and n_failed = 0) and sum(n_failed) = 0 as complete
+            from page_counts group by region_id, structure""",
+            _FEED,
+        ),
+        "order_set_bucket": sql("""
+            select order_set * 170 as order_set, cast((order_set * 170) // 100 % 10 as bigint) as order_set_bucket,
+                   count(*) as n_orders
+            from mkt_orders group by order_set"""),
+        "snapshot_tsv_roundtrip": sql(f"""
+            select {_ORDER_COLUMNS} from (select * replace (cast(region_id as bigint) as region_id,
+              cast(order_set as bigint) as order_set) from mkt_orders)"""),
+        "snapshot_table": sql(
+            "select order_id, type_id, buy, volume, price, station_id, region_id from latest"
+        ),
+        "snapshot_files": sql("""
+            select 'orderset-' || order_set * 5 || '.csv.gz' as name,
+                   '/books/orderset-' || order_set * 5 || '.csv.gz' as path from mkt_manifest"""),
+        "aggregate_dump": sql(
+            """
+            select loc_id || '|' || type_id || '|' || case when buy then 'true' else 'false' end as what,
+                   weighted_average as weightedaverage, max_price as maxval, min_price as minval, stddev,
+                   median, cast(volume as double) as volume, order_count as numorders,
+                   percentile as fivepercent, order_set as "orderSet" from stats""",
             stats_views("region"),
         ),
+        "retained_orders": sql("""
+            select order_set, order_id, type_id, station_id, volume, price from mkt_orders
+            where timestamp '2024-01-01' + order_set * interval 12 hour
+              >= timestamp '2024-01-04 12:00:00' - interval 2 day"""),
+        "stream_aggregates": sql(f"select {STATS_COLUMNS} from stats", stats_views("region")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**depth_oracles()}
+    return {
+        **depth_oracles(),
+        **listing_oracles(),
+        **order_oracles(),
+        **board_oracles(),
+        **lookup_oracles(),
+        **appraisal_oracles(),
+        **refdata_oracles(),
+        **feed_oracles(),
+    }

@@ -18,6 +18,8 @@ SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
     " c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
     " p_retailprice double",
@@ -188,3 +190,207 @@ class Market:
             line.alias("line"),
             expected.cast("long").alias("expected_qty"),
         )
+
+    # ------------------------------------------------------------ landed feeds
+
+    @property
+    def feed_orders(self) -> DataFrame:
+        """Orders as a feed delivers them: some stations are structures with own feeds."""
+        at_structure = F.col("station_id") % 10 == 0
+        own_feed = at_structure & (F.col("order_set") % 2 == 0)
+        return (
+            self.orders.drop("system_id")
+            .withColumn("structure", F.when(own_feed, 1).otherwise(0))
+            .withColumn(
+                "station_id",
+                F.when(at_structure, 1000000000000 + F.col("station_id")).otherwise(
+                    F.col("station_id")
+                ),
+            )
+        )
+
+    @property
+    def feed_stations(self) -> DataFrame:
+        at_structure = F.col("station_id") % 10 == 0
+        moved = F.when(at_structure, 1000000000000 + F.col("station_id"))
+        return self.stations.withColumn("station_id", F.coalesce(moved, F.col("station_id")))
+
+    @property
+    def feed_pages(self) -> DataFrame:
+        """Page bodies, delivered in parts: lots of fifty are broken, each region ends
+        with an empty page, and one more page is an error document."""
+        issued = F.date_format("issued", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        order = F.struct(
+            "order_id",
+            "type_id",
+            issued.alias("issued"),
+            F.col("buy").alias("is_buy_order"),
+            F.col("volume").alias("volume_remain"),
+            F.col("volume_entered").alias("volume_total"),
+            "min_volume",
+            "price",
+            F.col("station_id").alias("location_id"),
+            "range",
+            "duration",
+        )
+        body = F.to_json(F.array(order))
+        broken = F.expr("substring(body, 1, length(body) - 2)")
+        filled = (
+            self.feed_orders.select(
+                "order_set",
+                "region_id",
+                "structure",
+                (1 + F.col("order_id") % 40).cast("int").alias("page"),
+                body.alias("body"),
+                "volume",
+            )
+            .withColumn("body", F.when(F.col("volume") == 50, broken).otherwise(F.col("body")))
+            .drop("volume")
+        )
+        ends = self.regions.select(
+            F.lit(0).alias("order_set"),
+            "region_id",
+            F.lit(0).alias("structure"),
+            F.inline(
+                F.array(
+                    F.struct(F.lit(41).alias("page"), F.lit("[]").alias("body")),
+                    F.struct(F.lit(42).alias("page"), F.lit('{"error": "gone"}').alias("body")),
+                )
+            ),
+        )
+        return filled.unionByName(ends)
+
+    @property
+    def legacy_pages(self) -> DataFrame:
+        order = F.struct(
+            F.col("order_id").alias("id"),
+            F.col("type_id").alias("type"),
+            F.date_format("issued", "yyyy-MM-dd'T'HH:mm:ss").alias("issued"),
+            "buy",
+            "volume",
+            F.col("volume_entered").alias("volumeEntered"),
+            F.col("min_volume").alias("minVolume"),
+            "price",
+            F.col("station_id").alias("stationID"),
+            "range",
+            "duration",
+        )
+        url = F.concat(
+            F.lit("https://feed.example/market/"), F.col("region_id").cast("string"), F.lit("/orders/all/")
+        )
+        following = F.when(
+            F.col("volume") > 25, F.struct(F.concat(url, F.lit("?page=2")).alias("href"))
+        )
+        doc = F.struct(F.array(order).alias("items"), following.alias("next"))
+        return self.orders.select("order_set", url.alias("url"), F.to_json(doc).alias("body"))
+
+    # ---------------------------------------------------- reference documents
+
+    @property
+    def group_docs(self) -> DataFrame:
+        """Market group documents, delivered in parts of one type."""
+        doc = F.struct("market_group_id", F.array("type_id").alias("types"))
+        known = self.types.where(F.col("market_group_id").isNotNull())
+        return known.select(F.to_json(doc).alias("body"))
+
+    @property
+    def stored_types(self) -> DataFrame:
+        """The types table before an update: large sizes are not known yet."""
+        return (
+            self.table("part")
+            .where(F.col("p_size") <= 40)
+            .select(
+                F.col("p_partkey").alias("type_id"),
+                F.col("p_name").alias("type_name"),
+                F.lit(1).cast("long").alias("group_id"),
+                F.col("p_size").cast("long").alias("market_group_id"),
+                F.lit(5.0).alias("capacity"),
+                F.lit(True).alias("published"),
+                F.lit(1).alias("portion_size"),
+                F.col("p_retailprice").alias("volume"),
+                F.lit(7.5).alias("mass"),
+            )
+        )
+
+    @property
+    def type_docs(self) -> DataFrame:
+        """Fetched type documents; some do not arrive, some lack fields."""
+        size = F.col("p_size")
+        doc = F.struct(
+            F.col("p_partkey").alias("type_id"),
+            F.when(size != 7, F.upper("p_name")).alias("name"),
+            F.lit(2).alias("group_id"),
+            F.when(size % 10 != 0, size + 1000).alias("market_group_id"),
+            F.when(size > 20, size * 1.5).alias("capacity"),
+            F.when(size % 6 != 0, size % 4 != 0).alias("published"),
+            F.when(size > 10, size).alias("portion_size"),
+            F.when(size % 9 != 0, size / 4.0).alias("volume"),
+            F.when(size > 30, F.col("p_retailprice")).alias("mass"),
+        )
+        return self.table("part").where(size != 25).select(F.to_json(doc).alias("body"))
+
+    @property
+    def structure_docs(self) -> DataFrame:
+        kinds = F.array(*[F.lit(k) for k in (35826, 35827, 35833, 35834, 40340, 35825, 35832)])
+        position = F.struct(
+            F.col("s_acctbal").alias("x"),
+            (F.col("s_acctbal") * 2).alias("y"),
+            (-F.col("s_acctbal")).alias("z"),
+        )
+        doc = F.struct(
+            F.col("s_name").alias("name"),
+            F.get(kinds, (F.col("s_suppkey") % 7).cast("int")).alias("type_id"),
+            (30000000 + F.col("s_nationkey")).alias("solar_system_id"),
+            position.alias("position"),
+        )
+        return self.table("supplier").select(
+            (1000000000000 + F.col("s_suppkey")).alias("structure_id"),
+            F.when(F.col("s_nationkey") == 7, 403).otherwise(200).alias("status"),
+            F.to_json(doc).alias("body"),
+        )
+
+    @property
+    def structure_markets(self) -> DataFrame:
+        return self.table("supplier").select(
+            (1000000000000 + F.col("s_suppkey")).alias("structure_id"),
+            F.when(F.col("s_suppkey") % 5 == 0, 403).otherwise(200).alias("status"),
+        )
+
+    @property
+    def known_structures(self) -> DataFrame:
+        known = self.table("supplier").where(F.col("s_acctbal") > 8000)
+        return known.select((1000000000000 + F.col("s_suppkey")).alias("station_id"))
+
+    # ----------------------------------------------------------------- requests
+
+    @property
+    def lookup_requests(self) -> DataFrame:
+        key, kind = F.col("c_custkey"), F.col("c_nationkey") % 4
+        region = F.when(kind == 0, (10000000 + key % 5).cast("string"))
+        station = F.when(kind <= 1, (60000000 + key % 90).cast("string"))
+        system = F.when(kind <= 2, (30000000 + key % 25).cast("string"))
+        token = [(key % n).cast("string") for n in (199, 83)]
+        types = F.concat(
+            token[0], F.lit(",,"), token[1], F.lit(","), token[0], F.lit(",0"), token[1], F.lit(",abc")
+        )
+        in_body = F.col("c_mktsegment") == "BUILDING"
+        return self.table("customer").select(
+            key.alias("request_id"),
+            region.alias("region"),
+            station.alias("station"),
+            system.alias("system"),
+            types.alias("types"),
+            F.when(F.col("c_acctbal") > 5000, "10000002").alias("body_region"),
+            F.lit(None).cast("string").alias("body_station"),
+            F.when(F.col("c_acctbal") > 2000, "30000003").alias("body_system"),
+            F.when(in_body, F.concat(token[1], F.lit(",7"))).alias("body_types"),
+        )
+
+    @property
+    def appraisal_requests(self) -> DataFrame:
+        region = F.when(F.col("o_orderpriority") == "5-LOW", "everywhere").otherwise(
+            (10000000 + F.col("o_custkey") % 5).cast("string")
+        )
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("list_id"), region.alias("region")
+        )

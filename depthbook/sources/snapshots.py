@@ -44,12 +44,12 @@ def append_snapshot(orders: DataFrame, path: str) -> None:
     Ranges of types go to separate files, so a query for a type skips the others
     by file statistics; a type that fills many files is cut by price.
     """
-    (
+    placed = (
         orders.withColumn("order_set_bucket", order_set_bucket(F.col("order_set")))
         .repartitionByRange("order_set", "type_id", "price")
         .sortWithinPartitions("order_set", "type_id", "price")
-        .transform(_replace_partitions, path, "order_set_bucket", "order_set")
     )
+    _replace_partitions(placed, path, "order_set_bucket", "order_set")
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -73,7 +73,8 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_aggregates(aggregates: DataFrame, path: str) -> None:
-    _replace_partitions(aggregates, path, "order_set")
+    """Write aggregates or serving rows; files are evened out per snapshot."""
+    _replace_partitions(aggregates.hint("rebalance", "order_set"), path, "order_set")
 
 
 def retain(
