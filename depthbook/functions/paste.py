@@ -26,8 +26,8 @@ def clean_line(line: Column) -> Column:
     return F.trim(F.lower(text), F.lit(PASTE_TRIM))
 
 
-def is_skipped(clean: Column) -> Column:
-    return clean.contains(PASTE_SKIP)
+def is_skipped(line: Column) -> Column:
+    return F.lower(line).contains(PASTE_SKIP)
 
 
 def rule_number(clean: Column) -> Column:
@@ -77,7 +77,8 @@ def quantity_text(fields: Column) -> Column:
 
 
 def item_name(fields: Column) -> Column:
-    return F.get(fields, F.lit(2))
+    # Never NULL, so a join on the name needs no NULL test that would read the line again.
+    return F.coalesce(F.get(fields, F.lit(2)), F.lit(""))
 
 
 def leading_number(text: Column) -> Column:

@@ -21,8 +21,8 @@ def parse_pasted(lines: DataFrame) -> DataFrame:
     """Item name and quantity of each line; blueprint copies are left out."""
     clean, fields = F.col("clean"), F.col("fields")
     return (
-        lines.withColumn("clean", paste.clean_line(F.col("line")))
-        .where(~paste.is_skipped(clean))
+        lines.where(~paste.is_skipped(F.col("line")))
+        .withColumn("clean", paste.clean_line(F.col("line")))
         .withColumn("fields", paste.read_line(clean))
         .withColumn("name", paste.item_name(fields))
         .withColumn("quantity_text", paste.quantity_text(fields))
@@ -33,9 +33,9 @@ def parse_pasted(lines: DataFrame) -> DataFrame:
 
 def rule_counts(lines: DataFrame) -> DataFrame:
     """How many lines each rule decides."""
-    clean = lines.select(paste.clean_line(F.col("line")).alias("clean"))
+    kept = lines.where(~paste.is_skipped(F.col("line")))
     return (
-        clean.where(~paste.is_skipped(F.col("clean")))
+        kept.select(paste.clean_line(F.col("line")).alias("clean"))
         .groupBy(paste.rule_number(F.col("clean")).alias("rule"))
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
@@ -83,7 +83,8 @@ def store_lists(inventory: DataFrame) -> DataFrame:
 
 def stored_inventory(stored: DataFrame) -> DataFrame:
     pairs = F.from_json("list", "map<string, double>")
-    return stored.select("list_id", F.explode(pairs).alias("type_text", "quantity")).select(
+    entries = stored.select("list_id", F.explode_outer(pairs).alias("type_text", "quantity"))
+    return entries.where(F.col("type_text").isNotNull()).select(
         "list_id", F.col("type_text").cast("long").alias("type_id"), "quantity"
     )
 

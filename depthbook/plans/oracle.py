@@ -535,7 +535,7 @@ def feed_oracles() -> dict[str, str]:
                      issued := strftime(issued, '%Y-%m-%dT%H:%M:%SZ'), is_buy_order := buy,
                      volume_remain := volume, volume_total := volume_entered, min_volume,
                      price := cast(cast(price as bigint) as varchar) || '.00',
-                     location_id := station_id, "range", duration)]) as varchar)) as int) - 2 as n_chars
+                     location_id := station_id, "range", duration)]) as varchar)) as int) + 1 as n_chars
             from feed where volume = 50
             union all
             select 0, region_id, 0, 42, region_id || '-42.txt', 17 from mkt_regions""",

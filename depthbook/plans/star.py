@@ -217,8 +217,8 @@ class Market:
 
     @property
     def feed_pages(self) -> DataFrame:
-        """Page bodies, delivered in parts: lots of fifty are broken, each region ends
-        with an empty page, and one more page is an error document."""
+        """Page bodies, delivered in parts: those of lots of fifty are broken, each region
+        ends with an empty page, and one more page is an error document."""
         issued = F.date_format("issued", "yyyy-MM-dd'T'HH:mm:ss'Z'")
         order = F.struct(
             "order_id",
@@ -233,19 +233,14 @@ class Market:
             "range",
             "duration",
         )
-        body = F.to_json(F.array(order))
-        broken = F.expr("substring(body, 1, length(body) - 2)")
-        filled = (
-            self.feed_orders.select(
-                "order_set",
-                "region_id",
-                "structure",
-                (1 + F.col("order_id") % 40).cast("int").alias("page"),
-                body.alias("body"),
-                "volume",
-            )
-            .withColumn("body", F.when(F.col("volume") == 50, broken).otherwise(F.col("body")))
-            .drop("volume")
+        noise = F.when(F.col("volume") == 50, "<").otherwise("")
+        body = F.concat(noise, F.to_json(F.array(order)))
+        filled = self.feed_orders.select(
+            "order_set",
+            "region_id",
+            "structure",
+            (1 + F.col("order_id") % 40).cast("int").alias("page"),
+            body.alias("body"),
         )
         ends = self.regions.select(
             F.lit(0).alias("order_set"),

@@ -13,7 +13,8 @@ def group_types_flat(docs: DataFrame) -> DataFrame:
     doc = F.from_json("body", MARKET_GROUP_DOC)
     return (
         docs.select(doc.alias("doc"))
-        .select("doc.market_group_id", F.explode("doc.types").alias("type_id"))
+        .select("doc.market_group_id", F.explode_outer("doc.types").alias("type_id"))
+        .where(F.col("type_id").isNotNull())
     )
 
 
