@@ -13,11 +13,19 @@ def market_key(loc: Column, type_id: Column, buy: Column) -> Column:
 
 def float_text(value: Column) -> Column:
     """A float with twelve significant digits, no padding zeros and at least one decimal."""
-    padded = F.format_string("%.12g", value.cast("double"))
-    bare = F.regexp_replace(padded, r"(\.[0-9]*?)0+(e|$)", "$1$2")
+    number = value.cast("double")
+    digits = F.format_string("%.12g", number)
+
+    # Up to here twelve digits are never all in front of the point.
+    size = F.abs(number)
+    usual = (size < 9e10) & ((size >= 1e-4) | (size == 0))
+    short = F.rtrim(digits, F.lit("0"))
+    usual_text = F.when(short.endswith("."), F.concat(short, F.lit("0"))).otherwise(short)
+
+    bare = F.regexp_replace(digits, r"(\.[0-9]*?)0+(e|$)", "$1$2")
     bare = F.regexp_replace(bare, r"\.(e|$)", "$1")
-    text = F.when(bare.rlike("[.e]"), bare).otherwise(F.concat(bare, F.lit(".0")))
-    return F.when(value.isNotNull(), text)
+    other_text = F.when(bare.rlike("[.e]"), bare).otherwise(F.concat(bare, F.lit(".0")))
+    return F.when(usual, usual_text).when(number.isNotNull(), other_text)
 
 
 def payload(*values: Column) -> Column:

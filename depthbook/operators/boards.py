@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depthbook.functions.constants import BOARD_ITEMS, BOARD_STATION
+from depthbook.functions.text import minute_text
 from depthbook.operators.depth import STATISTICS
 
 
@@ -52,6 +53,19 @@ def top_stations_json(orders: DataFrame, stations: DataFrame, side: str, n: int
     )
 
 
+def front_page(
+    orders: DataFrame, stations: DataFrame, updated: Column | None = None, n: int = 10
+) -> DataFrame:
+    """Both boards and the time of the update in one row; `updated` is now by default."""
+    moment = F.current_timestamp() if updated is None else updated
+    sell = top_stations_json(orders, stations, "sell", n).select(F.col("board").alias("fp_sell"))
+    buy = top_stations_json(orders, stations, "buy", n).select(F.col("board").alias("fp_buy"))
+    # One row each.
+    return sell.select(
+        "fp_sell", buy.scalar().alias("fp_buy"), minute_text(moment).alias("fp_lastupdate")
+    )
+
+
 def item_board(
     aggregates: DataFrame,
     locs: Sequence[int] = (BOARD_STATION,),

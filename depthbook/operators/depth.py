@@ -19,7 +19,8 @@ from depthbook.functions.constants import (
 )
 from depthbook.operators.skew import HOT_ROWS, apart, before_piece, hot_keys, in_pieces
 
-GROUP = ["order_set", "loc_id", "type_id", "buy"]
+# The most selective column leads: sorts compare it first.
+GROUP = ["type_id", "loc_id", "order_set", "buy"]
 HOT_KEY = ["order_set", "type_id", "buy"]
 STATISTICS = [
     "weighted_average",
@@ -128,7 +129,7 @@ def _walk_in_pieces(levels: DataFrame) -> DataFrame:
     Each group is cut along the walk; a piece is walked by itself and continues
     from the totals of the pieces before it. Only rows per piece meet per group.
     """
-    cut = in_pieces(levels, [*GROUP, "walk"])
+    cut = in_pieces(levels, [*GROUP, "walk"], unique=True)
     piece_key = [*GROUP, "piece"]
     per_group = Window.partitionBy(*GROUP)
     best = (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from depthbook.functions.constants import AGGREGATE_TTL_SECONDS, STATISTIC_NAMES
 from depthbook.functions.text import float_text, market_key, payload, payload_field
 from depthbook.operators.depth import STATISTICS
+from depthbook.operators.skew import small_table
 
 REQUEST_COLUMNS = ("region", "station", "system", "types")
 
@@ -32,7 +33,7 @@ def serving_rows(aggregates: DataFrame, manifest: DataFrame | None = None) -> Da
         return rows
     lifetime = F.make_dt_interval(secs=F.lit(AGGREGATE_TTL_SECONDS))
     expiry = manifest.select("order_set", (F.col("downloaded") + lifetime).alias("expires_at"))
-    return rows.join(expiry, "order_set")
+    return rows.join(small_table(expiry), "order_set")
 
 
 def decode_serving_rows(rows: DataFrame) -> DataFrame:

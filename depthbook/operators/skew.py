@@ -21,6 +21,21 @@ HOT_ROWS = 1_000_000
 MOST_HOT_KEYS = 1_000
 
 
+MOST_SMALL_ROWS = 10_000
+
+
+def small_table(rows: DataFrame) -> DataFrame:
+    """A table to broadcast if it has at most MOST_SMALL_ROWS rows; else the table as it is.
+
+    For tables that are small by nature, like the list of snapshots, but whose size
+    the planner can only guess.
+    """
+    head = rows.limit(MOST_SMALL_ROWS + 1).collect()
+    if len(head) > MOST_SMALL_ROWS:
+        return rows
+    return F.broadcast(rows.sparkSession.createDataFrame(head, rows.schema))
+
+
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than `hot_rows` rows, at most MOST_HOT_KEYS of them; None if there are none.
 
@@ -47,14 +62,20 @@ def apart(rows: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFra
     )
 
 
-def in_pieces(rows: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def in_pieces(rows: DataFrame, order: Sequence[Column | str], unique: bool) -> DataFrame:
     """Rows with a `piece` number that follows `order` and cuts any group, however large.
 
     The cut points are sampled, so the result is written down before it is used twice.
+    Without `unique`, equal rows are numbered first (and that written down), so that
+    copies can be cut apart too.
     """
     pieces = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(order)
+    if not unique:
+        rows = checkpointed(rows.withColumn("row_number", F.monotonically_increasing_id()))
+        keys.append("row_number")
     return checkpointed(
-        rows.repartitionByRange(pieces, *order).withColumn("piece", F.spark_partition_id())
+        rows.repartitionByRange(pieces, *keys).withColumn("piece", F.spark_partition_id())
     )
 
 
@@ -80,10 +101,10 @@ def with_position(
         return rows.withColumn("position", F.row_number().over(whole_group).cast("long"))
 
     ordinary, large = apart(rows, hot, group)
-    cut = in_pieces(large, [*group, *order])
+    cut = in_pieces(large, [*group, *order], unique=False)
     counts = cut.groupBy(*group, "piece").agg(F.count(F.lit(1)).alias("in_piece"))
     counts = counts.withColumn("before", before_piece(counts, group, "in_piece")).drop("in_piece")
-    within = Window.partitionBy(*group, "piece").orderBy(*order)
+    within = Window.partitionBy(*group, "piece").orderBy(*order, "row_number")
     placed = (
         cut.join(counts, [*group, "piece"])
         .withColumn("position", F.col("before") + F.row_number().over(within))

@@ -150,6 +150,11 @@ def top_stations_json(m: Market) -> DataFrame:
     return made[0].unionByName(made[1])
 
 
+def front_page(m: Market) -> DataFrame:
+    newest = m.manifest.agg(F.max("downloaded").alias("downloaded")).scalar()
+    return boards.front_page(_current(m), m.stations, newest)
+
+
 def item_board(m: Market) -> DataFrame:
     aggregates = depth.aggregate_scope(_current(m), "station", HUB_STATIONS)
     return boards.item_board(_stable(aggregates), HUB_STATIONS)
@@ -339,6 +344,10 @@ def region_completeness(m: Market) -> DataFrame:
     return pages.region_completeness(page_manifest(m))
 
 
+def pages_to_fetch(m: Market) -> DataFrame:
+    return pages.pages_to_fetch(page_manifest(m))
+
+
 def order_set_bucket(m: Market) -> DataFrame:
     """Orders per table part; snapshot numbers are spread to reach several parts."""
     spread = m.orders.withColumn("order_set", F.col("order_set") * 170)
@@ -420,6 +429,7 @@ QUERIES = [
     top_stations_sell,
     top_stations_buy,
     top_stations_json,
+    front_page,
     item_board,
     serving_rows,
     serving_decode,
@@ -455,6 +465,7 @@ QUERIES = [
     page_quarantine,
     page_manifest,
     region_completeness,
+    pages_to_fetch,
     order_set_bucket,
     snapshot_tsv_roundtrip,
     snapshot_table,

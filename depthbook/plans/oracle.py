@@ -258,6 +258,10 @@ def board_oracles() -> dict[str, str]:
         "top_stations_sell": sql(_top("sell")),
         "top_stations_buy": sql(_top("buy")),
         "top_stations_json": sql(f"({_top_json('sell')}) union all ({_top_json('buy')})"),
+        "front_page": sql(f"""
+            select (select board from ({_top_json("sell")})) as fp_sell,
+                   (select board from ({_top_json("buy")})) as fp_buy,
+                   strftime((select max(downloaded) from mkt_manifest), '%Y-%m-%d %H:%M') as fp_lastupdate"""),
         "item_board": sql(
             f"""
             select cast(h.station_id as bigint) as loc_id, place, cast(i.type_id as bigint) as type_id,
@@ -549,6 +553,15 @@ def feed_oracles() -> dict[str, str]:
             from page_counts group by region_id, structure""",
             _FEED,
         ),
+        "pages_to_fetch": sql(
+            """
+            select region_id, structure, page, true as again from page_counts where n_failed > 0
+            union all
+            select region_id, structure, page + 1, false from page_counts c where n_orders > 0
+              and page = (select max(page) from page_counts d
+                          where d.region_id = c.region_id and d.structure = c.structure)""",
+            _FEED,
+        ),
         "order_set_bucket": sql("""
             select order_set * 170 as order_set, cast((order_set * 170) // 100 % 10 as bigint) as order_set_bucket,
                    count(*) as n_orders

@@ -20,6 +20,7 @@ from depthbook.functions.constants import (
 )
 from depthbook.functions.schemas import MANIFEST, ORDERS
 from depthbook.functions.text import file_name, market_key, natural_key
+from depthbook.operators.skew import small_table
 
 # ------------------------------------------------------------------- tables
 
@@ -42,11 +43,11 @@ def append_snapshot(orders: DataFrame, path: str) -> None:
     """Write snapshots to the orders table, each replacing only itself.
 
     Ranges of types go to separate files, so a query for a type skips the others
-    by file statistics; a type that fills many files is cut by price.
+    by file statistics; a type that fills many files is cut by price and order.
     """
     placed = (
         orders.withColumn("order_set_bucket", order_set_bucket(F.col("order_set")))
-        .repartitionByRange("order_set", "type_id", "price")
+        .repartitionByRange("order_set", "type_id", "price", "order_id")
         .sortWithinPartitions("order_set", "type_id", "price")
     )
     _replace_partitions(placed, path, "order_set_bucket", "order_set")
@@ -83,7 +84,7 @@ def retain(
     """Orders of snapshots downloaded within the last `days`."""
     now = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
     kept = manifest.where(F.col("downloaded") >= now - F.lit(timedelta(days=days)))
-    return orders.join(kept.select("order_set"), "order_set", "left_semi")
+    return orders.join(small_table(kept.select("order_set")), "order_set", "left_semi")
 
 
 # --------------------------------------------------------------- text files

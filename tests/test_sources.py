@@ -189,3 +189,39 @@ def test_locale_order(spark):
     plain = [r.label for r in refdata.dict_stations(stations).collect()]
     by_locale = [r.label for r in refdata.dict_stations(stations, by_locale=True).collect()]
     assert plain == ["A", "C", "a", "b"] and by_locale == ["A", "a", "b", "C"]
+
+
+def test_pages_to_fetch(spark, landed):
+    accounts = pages.page_manifest(pages.read_pages(spark, landed))
+    asked = sorted(
+        (r.region_id, r.structure, r.page, r.again) for r in pages.pages_to_fetch(accounts).collect()
+    )
+    assert asked == [
+        (10000001, 1, 2, False),
+        (10000002, 0, 1, True),
+        (10000002, 0, 2, True),
+        (10000002, 0, 3, True),
+    ]
+
+
+def test_load_snapshot(spark, landed, tmp_path):
+    from depthbook.plans.jobs import load_snapshot
+
+    stations = spark.createDataFrame(
+        [(60003760, "hub", 30000142)], "station_id long, station_name string, system_id long"
+    )
+    regions = spark.createDataFrame([(10000001, "north")], "region_id long, region_name string")
+    root = str(tmp_path / "tables")
+    for _ in range(2):
+        load_snapshot(spark, landed, root, 17, datetime(2024, 1, 1), stations, regions)
+    assert spark.read.parquet(f"{root}/orders").count() == 3
+    served = {r.key for r in spark.read.parquet(f"{root}/serving").collect()}
+    assert served == {
+        "0|34|false", "0|34|true", "10000001|34|false", "10000001|34|true", "30000142|34|false",
+        "60003760|34|false", "1000000000001|34|false", "1000000000001|34|true",
+    }
+    dump = spark.read.csv(f"{root}/dump", header=True)
+    assert {r.what for r in dump.collect()} == {"10000001|34|false", "10000001|34|true"}
+    front = spark.read.json(f"{root}/front").collect()[0]
+    assert json.loads(front.fp_sell)[0]["stationName"] == "hub" and front.fp_buy == "[]"
+    assert spark.read.parquet(f"{root}/quarantine").count() == 3
