@@ -74,6 +74,10 @@ def _best_price_first(side: str) -> Column:
     return F.desc("price") if side == "buy" else F.asc("price")
 
 
+# Orders of equal price and region follow each other by these.
+TIES = ["order_id", "station_id", "volume", "issued", "range"]
+
+
 def order_listing(
     orders: DataFrame,
     dims: Dimensions,
@@ -81,20 +85,23 @@ def order_listing(
     scope: str = "all",
     type_id: int | None = None,
     scope_id: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Orders of one side, best price first within each listing.
 
     scope: `all`, `region`, `station`, `empire`, `hub`, or `api` (a region or 0 for
-    all, prices rounded to cents, with system and security). Without `type_id` the
-    listings of all types follow each other, likewise for regions and stations
-    without `scope_id`.
+    all, prices rounded to cents, with system and security).
+
+    With `type_id` (and `scope_id` for a region or station) this is one sorted
+    listing. Without, it is the listings of all types (and regions or stations), and
+    each order has its `position` in its listing instead of a sort of everything.
     """
     rows = _of_side(orders, side)
+    listing_key = ["type_id"]
     if type_id is not None:
         rows = rows.where(F.col("type_id") == type_id)
-    leading: list[str] = []
     if scope in ("region", "station"):
-        leading = [f"{scope}_id"]
+        listing_key = [f"{scope}_id", "type_id"]
         if scope_id is not None:
             rows = rows.where(F.col(f"{scope}_id") == scope_id)
     elif scope == "api" and scope_id:
@@ -104,31 +111,41 @@ def order_listing(
         rows = rows.join(empire.select("region_id"), "region_id", "left_semi")
     elif scope == "hub":
         rows = rows.join(dims.hubs.select("station_id"), "station_id", "left_semi")
+    one_listing = type_id is not None and (len(listing_key) == 1 or scope_id is not None)
 
     named = _named(rows, dims)
+    chosen = _columns(side, "region_id")
     if scope == "api":
         named = named.join(dims.systems.select("system_id", "security"), "system_id")
         named = named.withColumn("price", F.round("price", 2).cast("decimal(19,2)"))
         chosen = _columns(side, "region_id", "security", "system_id")
-    else:
-        chosen = _columns(side, "region_id")
-    return named.select(*chosen).orderBy(
-        *leading, "type_id", _best_price_first(side), "region_id", "order_id"
-    )
+    order = [_best_price_first(side), "region_id", *TIES]
+    if one_listing:
+        return named.orderBy(*order).select(*chosen)
+    # Joins only drop orders, so hot listings can be found before them.
+    placed = with_position(named, listing_key, order, hot_rows, counted=rows)
+    return placed.select(*chosen, "position")
 
 
 def order_history(
-    orders: DataFrame, dims: Dimensions, side: str, order_id: int | None = None
+    orders: DataFrame,
+    dims: Dimensions,
+    side: str,
+    order_id: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """An order through all snapshots, newest first; all orders without `order_id`."""
+    """An order through all snapshots, newest first.
+
+    Without `order_id` the histories of all orders, with the `position` in each.
+    """
     rows = _of_side(orders, side)
+    order = [F.desc("order_set"), "type_id", "price", "region_id", *TIES]
+    chosen = _columns(side, "order_set")
     if order_id is not None:
-        rows = rows.where(F.col("order_id") == order_id)
-    return (
-        _named(rows, dims)
-        .select(*_columns(side, "order_set"))
-        .orderBy("order_id", F.desc("order_set"), "type_id", "station_id")
-    )
+        found = rows.where(F.col("order_id") == order_id)
+        return _named(found, dims).orderBy(*order).select(*chosen)
+    placed = with_position(_named(rows, dims), ["order_id"], order, hot_rows, counted=rows)
+    return placed.select(*chosen, "position")
 
 
 def distinct_orders(orders: DataFrame) -> DataFrame:
@@ -178,9 +195,8 @@ def market_view_pages(
         .join(dims.systems.select("system_id", "security"), "system_id")
         .withColumn("price", F.round("price", 2).cast("decimal(19,2)"))
     )
-    price = -F.col("price") if side == "buy" else F.col("price")
-    order = [price, F.col("region_id"), F.col("order_id"), F.col("station_id"), F.col("volume")]
-    placed = with_position(named, ["order_set", "type_id"], order, hot_rows)
+    order = [_best_price_first(side), "region_id", *TIES]
+    placed = with_position(named, ["order_set", "type_id"], order, hot_rows, counted=rows)
     page = F.floor((F.col("position") - 1) / page_orders)
     listed = F.transform(F.array_sort(F.collect_list(F.struct("position", "doc"))), lambda e: e.doc)
     return (

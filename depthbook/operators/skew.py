@@ -90,12 +90,16 @@ def before_piece(totals: DataFrame, group: Sequence[str], column: str) -> Column
 def with_position(
     rows: DataFrame,
     group: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Add `position`, counted from 1 in `order` within each group."""
+    """Add `position`, counted from 1 in `order` within each group.
+
+    `counted`: rows to find hot groups in, if some at least as many are cheaper to read.
+    """
     group, order = list(group), list(order)
-    hot = hot_keys(rows, group, hot_rows)
+    hot = hot_keys(rows if counted is None else counted, group, hot_rows)
     whole_group = Window.partitionBy(*group).orderBy(*order)
     if hot is None:
         return rows.withColumn("position", F.row_number().over(whole_group).cast("long"))

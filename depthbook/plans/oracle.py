@@ -148,35 +148,55 @@ def depth_oracles() -> dict[str, str]:
 
 
 def _listing(
-    side: str, joins: str = "", extra: str = "o.region_id", price: str = "price", source: str = "latest"
+    side: str,
+    joins: str = "",
+    extra: str = "o.region_id",
+    price: str = "price",
+    source: str = "latest",
+    key: str = "o.type_id",
+    order: str = "",
 ) -> str:
-    ranged = ', "range"' if side == "buy" else ""
+    buy = side == "buy"
+    order = order or ("price desc" if buy else "price")
     return sql(f"""
         select order_id, o.type_id, issued, o.volume, volume_entered, min_volume, {price} as price,
-               o.station_id{ranged}, duration, station_name, type_name, region_name, {extra}
+               o.station_id{', "range"' if buy else ""}, duration, station_name, type_name,
+               region_name, {extra},
+               row_number() over (partition by {key} order by {order}, o.region_id, order_id,
+                 o.station_id, o.volume, issued, "range") as position
         from {source} o
         join mkt_stations sta on o.station_id = sta.station_id
         join mkt_types it on o.type_id = it.type_id
         join mkt_regions mr on o.region_id = mr.region_id {joins}
-        where {"buy" if side == "buy" else "not buy"}""")
+        where {"buy" if buy else "not buy"}""")
 
 
 def listing_oracles() -> dict[str, str]:
-    plain, api = {"joins": ""}, {
-        "joins": "join mkt_systems ms on sta.system_id = ms.system_id",
-        "extra": "o.region_id, security, sta.system_id",
-        "price": "cast(round(price, 2) as decimal(19,2))",
+    forms = {
+        "region_api": {
+            "joins": "join mkt_systems ms on sta.system_id = ms.system_id",
+            "extra": "o.region_id, security, sta.system_id",
+            "price": "cast(round(price, 2) as decimal(19,2))",
+        },
+        "type": {},
+        "region": {"key": "o.region_id, o.type_id"},
+        "station": {"key": "o.station_id, o.type_id"},
+        "empire": {
+            "joins": "join mkt_region_class rc on o.region_id = rc.region_id and region_type <= 2"
+        },
+        "hub": {"joins": "join mkt_hubs hub on o.station_id = hub.station_id"},
+    }
+    history = {
+        "extra": "order_set",
+        "source": "mkt_orders",
+        "key": "order_id",
+        "order": "order_set desc, o.type_id, price",
     }
-    empire = {"joins": "join mkt_region_class rc on o.region_id = rc.region_id and region_type <= 2"}
-    hub = {"joins": "join mkt_hubs hub on o.station_id = hub.station_id"}
     made = {}
     for side in ("sell", "buy"):
-        made[f"orders_region_api_{side}"] = _listing(side, **api)
-        for name, form in (
-            ("type", plain), ("region", plain), ("station", plain), ("empire", empire), ("hub", hub)
-        ):
+        for name, form in forms.items():
             made[f"orders_{name}_{side}"] = _listing(side, **form)
-        made[f"order_history_{side}"] = _listing(side, extra="order_set", source="mkt_orders")
+        made[f"order_history_{side}"] = _listing(side, **history)
     return made
 
 
@@ -194,7 +214,7 @@ def _view(side: str) -> str:
         from (
           select o.*, strftime(issued, '%Y-%m-%d %H:%M:%S') as issued_text,
                  row_number() over (partition by type_id
-                   order by {order}, region_id, order_id, station_id, volume) as n
+                   order by {order}, region_id, order_id, station_id, volume, issued, "range") as n
           from (
             select o.order_set, o.order_id, o.type_id, issued, o.volume, volume_entered, min_volume,
                    cast(round(price, 2) as decimal(19,2)) as price, o.station_id, "range", duration,

@@ -195,6 +195,16 @@ def test_view_pages_are_bounded_and_whole(spark, market):
             assert len(docs) == listed.count()
 
 
+def test_positions_follow_the_sorted_listing(spark, market):
+    orders = market.orders.withColumn("type_id", F.col("type_id") % 3)
+    for hot_rows in (10**6, 10):
+        every = listing.order_listing(orders, dims(market), "buy", hot_rows=hot_rows)
+        one = listing.order_listing(orders, dims(market), "buy", type_id=2)
+        placed = every.where("type_id = 2").orderBy("position").collect()
+        assert [r.position for r in placed] == list(range(1, len(placed) + 1))
+        assert [tuple(r)[:-1] for r in placed] == [tuple(r) for r in one.collect()]
+
+
 def test_distinct_orders(spark):
     rows = spark.createDataFrame(
         [(1, 5, 10, 3), (1, 5, 9, 8), (1, 6, 9, 1), (2, 5, 10, 3)],
