@@ -11,21 +11,25 @@ def market_key(loc: Column, type_id: Column, buy: Column) -> Column:
     return F.concat_ws("|", loc.cast("string"), type_id.cast("string"), buy.cast("string"))
 
 
-def float_text(value: Column) -> Column:
-    """A float with twelve significant digits, no padding zeros and at least one decimal."""
-    number = value.cast("double")
-    digits = F.format_string("%.12g", number)
+def twelve_digits(value: Column) -> Column:
+    """Twelve significant digits, padded with zeros. Costly: project it before `number_text`."""
+    return F.when(value.isNotNull(), F.format_string("%.12g", value.cast("double")))
 
-    # Up to here twelve digits are never all in front of the point.
-    size = F.abs(number)
-    usual = (size < 9e10) & ((size >= 1e-4) | (size == 0))
+
+def number_text(digits: Column) -> Column:
+    """The digits without padding zeros; a plain number keeps at least one decimal."""
     short = F.rtrim(digits, F.lit("0"))
-    usual_text = F.when(short.endswith("."), F.concat(short, F.lit("0"))).otherwise(short)
+    return (
+        F.when(digits.contains("e"), F.regexp_replace(digits, r"\.?0*e", "e"))
+        .when(~digits.contains("."), F.concat(digits, F.lit(".0")))
+        .when(short.endswith("."), F.concat(short, F.lit("0")))
+        .otherwise(short)
+    )
 
-    bare = F.regexp_replace(digits, r"(\.[0-9]*?)0+(e|$)", "$1$2")
-    bare = F.regexp_replace(bare, r"\.(e|$)", "$1")
-    other_text = F.when(bare.rlike("[.e]"), bare).otherwise(F.concat(bare, F.lit(".0")))
-    return F.when(usual, usual_text).when(number.isNotNull(), other_text)
+
+def float_text(value: Column) -> Column:
+    """A float with twelve significant digits, no padding zeros and at least one decimal."""
+    return number_text(twelve_digits(value))
 
 
 def payload(*values: Column) -> Column:

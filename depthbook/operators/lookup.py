@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depthbook.functions.constants import AGGREGATE_TTL_SECONDS, STATISTIC_NAMES
-from depthbook.functions.text import float_text, market_key, payload, payload_field
+from depthbook.functions.text import market_key, number_text, payload, payload_field, twelve_digits
 from depthbook.operators.depth import STATISTICS
 from depthbook.operators.skew import small_table
 
@@ -18,17 +18,30 @@ REQUEST_COLUMNS = ("region", "station", "system", "types")
 # ------------------------------------------------------------- serving rows
 
 
+def _digits() -> list[Column]:
+    """Every statistic but the count as padded digits."""
+    return [
+        F.col(n) if n == "order_count" else twelve_digits(F.col(n)).alias(n) for n in STATISTICS
+    ]
+
+
+def _texts() -> list[Column]:
+    """The final texts of a row made by `_digits`."""
+    return [
+        F.col(n).cast("string") if n == "order_count" else number_text(F.col(n))
+        for n in STATISTICS
+    ]
+
+
 def serving_rows(aggregates: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """Key and payload per aggregate; with a manifest also the time the row expires.
 
     Payload fields keep the order of STATISTICS. The level count is written as an
     integer, all else as a float.
     """
-    texts = [
-        F.col(name) if name == "order_count" else float_text(F.col(name)) for name in STATISTICS
-    ]
     key = market_key(F.col("loc_id"), F.col("type_id"), F.col("buy"))
-    rows = aggregates.select("order_set", key.alias("key"), payload(*texts).alias("payload"))
+    digits = aggregates.select("order_set", key.alias("key"), *_digits())
+    rows = digits.select("order_set", "key", payload(*_texts()).alias("payload"))
     if manifest is None:
         return rows
     lifetime = F.make_dt_interval(secs=F.lit(AGGREGATE_TTL_SECONDS))
@@ -117,20 +130,18 @@ def lookup_document(requests: DataFrame, aggregates: DataFrame) -> DataFrame:
     Numbers are texts, missing ones the number 0 in text form. Entries are kept
     apart: a request may ask for more types than one row can hold.
     """
-    found = lookup_aggregates(requests, aggregates)
-
-    def text(name: str) -> Column:
-        value = F.col(name)
-        shown = value.cast("long").cast("string") if name == "order_count" else float_text(value)
-        return F.when(value == 0, "0").otherwise(shown)
-
-    side_doc = F.struct(
-        *[text(n).alias(label) for n, label in zip(STATISTICS, STATISTIC_NAMES, strict=True)]
+    found = lookup_aggregates(requests, aggregates).withColumn(
+        "order_count", F.col("order_count").cast("long")
     )
+    digits = found.select("request_id", "token", "side", *_digits())
+    texts = [
+        F.when(text.isin("0", "0.0"), "0").otherwise(text).alias(label)
+        for text, label in zip(_texts(), STATISTIC_NAMES, strict=True)
+    ]
     sides = {s: F.max(F.when(F.col("side") == s, F.col("doc"))) for s in ("buy", "sell")}
     entry = F.struct(sides["buy"].alias("buy"), sides["sell"].alias("sell"))
     return (
-        found.withColumn("doc", side_doc)
+        digits.select("request_id", "token", "side", F.struct(*texts).alias("doc"))
         .groupBy("request_id", "token")
         .agg(F.to_json(entry).alias("entry"))
     )

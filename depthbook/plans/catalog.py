@@ -198,6 +198,15 @@ def paste_parse(m: Market) -> DataFrame:
     )
 
 
+def paste_blocks(m: Market) -> DataFrame:
+    """Blocks of three lines, one of them a blueprint copy, read line by line."""
+    block = F.concat_ws("\n", "line", F.lit("Some Blueprint Copy\t7"), "line")
+    blocks = m.pasted.select("list_id", block.alias("block"))
+    parsed = appraisal.parse_pasted(appraisal.split_blocks(blocks))
+    inventory = appraisal.paste_inventory(parsed, m.types)
+    return inventory.withColumn("quantity", F.col("quantity").cast("long"))
+
+
 def paste_rules(m: Market) -> DataFrame:
     return appraisal.rule_counts(m.pasted)
 
@@ -437,6 +446,7 @@ QUERIES = [
     agg_lookup,
     agg_lookup_json,
     paste_parse,
+    paste_blocks,
     paste_rules,
     paste_inventory,
     appraisal_list_roundtrip,

@@ -431,6 +431,9 @@ def appraisal_oracles() -> dict[str, str]:
                    when 6 then 8 else 11 end as rule, count(*) as n_lines
             from lineitem join mkt_types on l_partkey = mkt_types.type_id
             where published and market_group_id is not null group by rule"""),
+        "paste_blocks": sql(
+            "select list_id, type_id, 2 * quantity as quantity from inventory", _INVENTORY
+        ),
         "paste_inventory": sql("select * from inventory", _INVENTORY),
         "appraisal_list_roundtrip": sql("select * from inventory", _INVENTORY),
         "appraisal_lines": sql("select * from lines", stats_views("region"), _INVENTORY, _LINES),

@@ -40,6 +40,8 @@ def test_blueprint_copies_are_left_out(spark):
     blocks = spark.createDataFrame([(1, "Rifter Blueprint Copy\n2 Rifter\nRIFTER")], "list_id int, block string")
     parsed = appraisal.parse_pasted(appraisal.split_blocks(blocks)).collect()
     assert sorted((r.name, r.quantity) for r in parsed) == [("rifter", 1.0), ("rifter", 2.0)]
+    ids = blocks.select(appraisal.list_identifier(blocks.list_id, blocks.block).alias("i"))
+    assert ids.first().i == ids.first().i and len(ids.first().i) == 64
 
 
 def test_leading_numbers(spark):

@@ -210,3 +210,23 @@ def test_region_volumes_add_up_to_global(spark, market):
     for (scope, *key), volume in list(sums.items()):
         if scope == "region":
             assert sums[("global", *key)] == volume
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_two_exchanges_and_one_sort(market):
+    """Levels and groups are exchanged once each; all windows share one sort."""
+    plan = plan_of(depth.aggregate_scope(market.orders, "region"))
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Sort [") == 1
+    assert "l_orderkey" not in plan and "l_shipdate" not in plan  # columns not needed are not read
+
+
+def test_pieces_bound_every_window_over_rows(spark):
+    """In the walk in pieces, rows are only ever windowed per piece."""
+    book = levels(spark, CASES).withColumn("walk", depth._walk_order(True))
+    for line in plan_of(depth._walk_in_pieces(book)).splitlines():
+        if "Window [" in line and "walk#" in line:
+            assert "piece#" in line.split("windowspecdefinition(", 1)[1].split("walk#")[0]

@@ -31,6 +31,9 @@ def test_entry_has_rows(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     frame = QUERIES[name](spark, FOLDER)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("EvalPython", "InPandas", "CartesianProduct", "NestedLoopJoin"):
+        assert unwanted not in plan
     columns = sorted(frame.columns)
     found = sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=repr)
     result = duck.execute(ORACLES[name])

@@ -115,6 +115,9 @@ def test_snapshot_table_is_written_once_and_read_when_published(spark, market, t
     assert stored.where("order_set = 2").count() == rows.where("order_set = 2").count()
     seen = listing.current_orders(stored, snapshots.read_manifest(spark, manifest))
     assert {r.order_set for r in seen.select("order_set").distinct().collect()} == {1}
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+    assert "order_set" in filters and "Subquery" in filters  # other snapshots are not read
     snapshots.publish_snapshot(spark, manifest, 2, datetime(2024, 1, 2))
     snapshots.publish_snapshot(spark, manifest, 2, datetime(2024, 1, 3))
     listed = snapshots.read_manifest(spark, manifest)
