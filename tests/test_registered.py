@@ -5,8 +5,9 @@ import pytest
 from conftest import FOLDER
 
 import __spark_entry__ as entry
+from depthbook.plans import catalog, oracle
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), oracle.oracle_sql()
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
@@ -42,3 +43,7 @@ def test_query_equals_sql(spark, duck, name):
     places = [names.index(c) for c in columns]
     expected = sorted((tuple(r[i] for i in places) for r in result.fetchall()), key=repr)
     assert found == expected
+
+
+def test_entry_registers_them():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
