@@ -35,23 +35,43 @@ WINDOW = 2048
 #: Open windows a task may hold: 4,096 windows of 2,048 ids of four bytes are 32 MB.
 MOST_OPEN = 4096
 #: Distinct words whose ids a Python worker remembers before it starts anew.
-MOST_WORDS = 200_000
+MOST_WORDS = 600_000
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+#: Signs that are one piece when they follow a word; the apostrophe is not among them, as it may join.
+_SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+#: The characters that stand for bytes in byte-level vocabularies: printable Latin-1 for themselves, then from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+
+
 class _Words(dict):
-    """Ids of a word as bytes. The tokenizer never joins what white space parts, so words may be encoded alone."""
+    """Ids of a word as bytes. The tokenizer never joins what white space parts, so words may be encoded alone.
+
+    A plain Latin word is looked up in lower case and without the signs after it; the tokenizer takes these apart too.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = found = np.asarray(ids, dtype="<u4").tobytes()
+        bare = word.rstrip(_SIGNS)
+        if bare.isalpha() and max(bare) < "\u0130":  # composed, and lower case is one character for one
+            plain = bare.lower()
+            if plain == word:
+                ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTES))]
+                found = np.asarray(ids, dtype="<u4").tobytes()
+            else:
+                found = self[plain] + (self[word[len(bare) :]] if len(bare) < len(word) else b"")
+        else:
+            found = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self[word] = found
         return found
 
     def encode(self, text: str) -> bytes:
