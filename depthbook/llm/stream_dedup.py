@@ -56,6 +56,8 @@ def stream_groups(arrivals_path: str, arrivals: DataFrame, state_dir: str) -> Da
     settings = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # Else every partition of the state sets aside 4 MB for its manifest.
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     }
     with _settings(spark, settings):
         groups = (
