@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depthbook.llm import lsh_forest, packing, stream_dedup
+from depthbook.llm import lsh_forest, packing, secret_scan, stream_dedup, toxicity_chain
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_secret_scan": secret_scan.op2_secret_scan,
         "op5_lsh_forest": lsh_forest.op5_lsh_forest,
         "op7_stream_dedup": stream_dedup.op7_stream_dedup,
+        "op9_toxicity_chain": toxicity_chain.op9_toxicity_chain,
         "op10_packing": packing.op10_packing,
     }
 
