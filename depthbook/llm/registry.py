@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depthbook.llm import lsh_forest, packing, secret_scan, stream_dedup, toxicity_chain
+from depthbook.llm import lsh_forest, packing, quality_ledger, secret_scan, stream_dedup, toxicity_chain, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": url_filter.op1_url_filter,
         "op2_secret_scan": secret_scan.op2_secret_scan,
+        "op3_quality_ledger": quality_ledger.op3_quality_ledger,
         "op5_lsh_forest": lsh_forest.op5_lsh_forest,
         "op7_stream_dedup": stream_dedup.op7_stream_dedup,
         "op9_toxicity_chain": toxicity_chain.op9_toxicity_chain,
@@ -20,4 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_stream_dedup": stream_dedup.ORACLE_OP7}
+    return {
+        "op1_url_filter": url_filter.ORACLE_OP1,
+        "op3_quality_ledger": quality_ledger.ORACLE_OP3,
+        "op7_stream_dedup": stream_dedup.ORACLE_OP7,
+    }
