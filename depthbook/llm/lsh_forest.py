@@ -12,8 +12,9 @@
    candidates, those whose classes are not connected yet.
 5. Where a region held more classes than the neighbours cover, links between components could still be missing. These
    classes take an exact pass: linked sets share one of the smallest hashes of each (prefix filter). Only hashes found
-   in several components matter; for their classes the filter is repeated in the order of rarity, pairs are formed
-   between components only, and confirmed. So the neighbours limit costs no link.
+   in several components matter; for their classes the filter is repeated in the order of rarity, with a bound from
+   the hashes' places, and gives pairs of components. The distances between the components' pivots and of members to
+   their pivot leave, by the triangle inequality, few pairs of members to confirm. So the limit costs no link.
 
 Cases: null or empty texts have an empty set and stay alone; texts of fewer than five words have one shingle; rows that
 repeat an id are all kept as rows, and equal rows are in one class; a null id never is the smallest unless the whole
@@ -115,26 +116,22 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (a, b, text_a, text_b) the pairs that link."""
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, text_a, text_b) with the sizes of the sets' intersection and union."""
     last, known = None, None
     for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        keep = []
+        a = batch.column(0).to_pylist()
+        shared, union = [], []
         for i, (text_a, text_b) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-            if a[i] != last:
+            if known is None or a[i] != last:
                 last, known = a[i], shingles(text_a.as_py())
-            other = shingles(text_b.as_py())
-            small, large = sorted((len(known), len(other)))
-            if 100 * small < PERCENT * large:
-                continue
-            both = np.concatenate([known, other])
+            both = np.concatenate([known, shingles(text_b.as_py())])
             both.sort()
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            if 100 * shared >= PERCENT * (len(both) - shared):
-                keep.append(i)
+            shared.append(int(np.count_nonzero(both[1:] == both[:-1])))
+            union.append(len(both) - shared[-1])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"]
+            [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(union, pa.int64())],
+            ["a", "b", "shared", "of_all"],
         )
 
 
@@ -151,11 +148,15 @@ def _prefix(size):
     return size - F.ceil(size * PERCENT / 100) + 1
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return rows.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long")
+    return rows.select("a", "b", "text_a", "text_b").mapInArrow(_measured, "a long, b long, shared long, of_all long")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    return _compared(pairs, texts).where(f"100 * shared >= {PERCENT} * of_all").select("a", "b")
 
 
 def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -218,24 +219,41 @@ def _exact_pass(open_nodes: DataFrame, texts: DataFrame, roots: DataFrame) -> Da
     tokens = stored(tokens.select("node", F.explode("tokens").alias("token")), "tokens")
     rarity = tokens.groupBy("token").agg(F.count("*").alias("times"))
     ordered = tokens.join(rarity, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("times", "token"))).alias("tokens"))
+    # From its place on, a token leaves room for so many shared ones; that bounds the size of a linked set.
+    room = F.col("size") - F.col("place")
+    most = F.floor((room * (100 + PERCENT) - F.col("size") * PERCENT) / PERCENT)
     postings = ordered.select(
-        "node", F.size("tokens").alias("size"), F.explode(F.slice("tokens", 1, _prefix(F.size("tokens")).cast("int"))).alias("t")
-    ).select("node", "size", F.col("t.token").alias("token"), "t.times")
-    postings = stored(postings.where("times > 1").join(suspects, "node").select("node", "size", "token", "root"), "postings")
-    held = postings.groupBy("token", "root").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    sides = held.alias("x").join(held.alias("y"), "token").where("x.root < y.root").where(
-        f"100 * y.high >= {PERCENT} * x.low and 100 * x.high >= {PERCENT} * y.low"
+        "node",
+        F.size("tokens").alias("size"),
+        F.posexplode(F.slice("tokens", 1, _prefix(F.size("tokens")).cast("int"))).alias("place", "t"),
+    ).select("node", "size", F.col("t.token").alias("token"), "t.times", most.alias("most"))
+    postings = postings.where("times > 1").join(suspects, "node").select("node", "size", "most", "token", "root")
+    postings = stored(postings, "postings")
+    held = postings.groupBy("token", "root").agg(F.min("size").alias("low"), F.max("most").alias("most"))
+    sides = held.alias("x").join(held.alias("y"), "token")
+    sides = sides.where("x.root < y.root and x.low <= y.most and y.low <= x.most")
+    sides = stored(sides.select(F.col("x.root").alias("a"), F.col("y.root").alias("b")).distinct(), "sides")
+
+    # Distances of pivots and of members to their own pivot (a component's smallest node) bound those of members.
+    distance = F.col("of_all") - F.col("shared")
+    far = (distance / F.col("of_all") - (1 - PERCENT / 100) - 1e-9).alias("far")
+    sides = stored(_compared(sides, texts).select(F.col("a").alias("root_a"), F.col("b").alias("root_b"), far), "sides")
+    ends = sides.select(F.explode(F.array("root_a", "root_b")).alias("root")).distinct()
+    members = suspects.join(ends, "root", "left_semi").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    away = _compared(members, texts).select(
+        F.col("a").alias("root"), F.col("b").alias("node"), (distance / F.col("of_all")).alias("away")
     )
-    sides = sides.select("token", F.col("x.root").alias("root_a"), F.col("y.root").alias("root_b"))
-    pairs = sides.join(
-        postings.select("token", F.col("root").alias("root_a"), F.col("node").alias("p"), F.col("size").alias("size_p")),
-        ["token", "root_a"],
-    ).join(
-        postings.select("token", F.col("root").alias("root_b"), F.col("node").alias("q"), F.col("size").alias("size_q")),
-        ["token", "root_b"],
+    away = stored(away, "members")
+    widest = away.groupBy("root").agg(F.max("away").alias("widest"))
+    left = away.select(F.col("root").alias("root_a"), F.col("node").alias("p"), F.col("away").alias("away_p"))
+    right = away.select(F.col("root").alias("root_b"), F.col("node").alias("q"), F.col("away").alias("away_q"))
+    pairs = (
+        sides.join(widest.select(F.col("root").alias("root_a"), F.col("widest").alias("widest_a")), "root_a")
+        .join(widest.select(F.col("root").alias("root_b"), F.col("widest").alias("widest_b")), "root_b")
+        .where("widest_a + widest_b >= far")
     )
-    pairs = pairs.where(f"100 * least(size_p, size_q) >= {PERCENT} * greatest(size_p, size_q)")
-    pairs = pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    pairs = pairs.join(left, "root_a").where("away_p + widest_b >= far").join(right, "root_b").where("away_p + away_q >= far")
+    pairs = stored(pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")), "pairs")
     return _confirmed(pairs, texts)
 
 
