@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depthbook.llm import lsh_forest, packing, quality_ledger, secret_scan, stream_dedup, toxicity_chain, url_filter
+from depthbook.llm import lsh_forest, packing, quality_ledger, reply_trees, secret_scan, stream_dedup, toxicity_chain, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_secret_scan": secret_scan.op2_secret_scan,
         "op3_quality_ledger": quality_ledger.op3_quality_ledger,
         "op5_lsh_forest": lsh_forest.op5_lsh_forest,
+        "op6_reply_trees": reply_trees.op6_reply_trees,
         "op7_stream_dedup": stream_dedup.op7_stream_dedup,
         "op9_toxicity_chain": toxicity_chain.op9_toxicity_chain,
         "op10_packing": packing.op10_packing,
@@ -25,5 +26,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": url_filter.ORACLE_OP1,
         "op3_quality_ledger": quality_ledger.ORACLE_OP3,
+        "op6_reply_trees": reply_trees.ORACLE_OP6,
         "op7_stream_dedup": stream_dedup.ORACLE_OP7,
     }
