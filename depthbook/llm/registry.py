@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depthbook.llm import lsh_forest, packing, quality_ledger, reply_trees, secret_scan, stream_dedup, toxicity_chain, url_filter
+from depthbook.llm import lsh_forest, packing, quality_ledger, reply_trees, secret_scan, stream_dedup, toxicity_chain, unit_dedup, url_filter, word_bpe
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,9 +14,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_filter": url_filter.op1_url_filter,
         "op2_secret_scan": secret_scan.op2_secret_scan,
         "op3_quality_ledger": quality_ledger.op3_quality_ledger,
+        "op4_word_bpe": word_bpe.op4_word_bpe,
         "op5_lsh_forest": lsh_forest.op5_lsh_forest,
         "op6_reply_trees": reply_trees.op6_reply_trees,
         "op7_stream_dedup": stream_dedup.op7_stream_dedup,
+        "op8_unit_dedup": unit_dedup.op8_unit_dedup,
         "op9_toxicity_chain": toxicity_chain.op9_toxicity_chain,
         "op10_packing": packing.op10_packing,
     }
