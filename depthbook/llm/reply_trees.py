@@ -86,9 +86,8 @@ def best_paths(posts: DataFrame, per_tree: int | None = None) -> DataFrame:
         # A jump of 2**k reaches the posts that this bit of the distance leads to.
         further = paths.join(up, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("node_id") == F.col("n")))
         further = further.where(F.col("place") >= 2**k)
-        paths = paths.union(
-            further.select("tree_id", "leaf", "rank", (F.col("place") - 2**k).alias("place"), F.col("up").alias("node_id"))
-        )
+        further = further.select("tree_id", "leaf", "rank", (F.col("place") - 2**k).alias("place"), F.col("up").alias("node_id"))
+        paths = checkpointed(paths.union(further))  # else the plan would double with every jump
     return paths
 
 
