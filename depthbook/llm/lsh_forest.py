@@ -13,8 +13,9 @@
 5. Where a region held more classes than the neighbours cover, links between components could still be missing. These
    classes take an exact pass: linked sets share one of the smallest hashes of each (prefix filter). Only hashes found
    in several components matter; for their classes the filter is repeated in the order of rarity, with a bound from
-   the hashes' places, and gives pairs of components. The distances between the components' pivots and of members to
-   their pivot leave, by the triangle inequality, few pairs of members to confirm. So the limit costs no link.
+   the hashes' places, and gives pairs of components. A set whose own hashes, that no one else has, are too many is
+   out; the distances between the components' pivots and of members to their pivot leave, by the triangle
+   inequality, few pairs of members to confirm. So the limit costs no link.
 
 Cases: null or empty texts have an empty set and stay alone; texts of fewer than five words have one shingle; rows that
 repeat an id are all kept as rows, and equal rows are in one class; a null id never is the smallest unless the whole
@@ -41,6 +42,8 @@ TREES = 32
 DEPTH = 4
 NEIGHBOURS = 4
 MOST_IN_REGION = 400
+#: Members of a component that the exact pass holds together.
+BLOCK = 32
 #: Distinct words whose hashes a Python worker remembers before it starts anew.
 MOST_WORDS = 300_000
 
@@ -135,6 +138,28 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _linked_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the members of one list and those of another that the bounds do not rule out."""
+    for batch in batches:
+        links = []
+        for row in batch.to_pylist():
+            own, sets = row["members"], {}
+            for q in row["partners"]:
+                for p in own:
+                    if p["away"] + q["away"] < q["far"] or p["size"] > q["reach"] or q["size"] > p["reach"]:
+                        continue
+                    for x in (p, q):
+                        if x["node"] not in sets:
+                            sets[x["node"]] = shingles(x["text"])
+                    both = np.concatenate([sets[p["node"]], sets[q["node"]]])
+                    both.sort()
+                    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                    if 100 * shared >= PERCENT * (len(both) - shared):
+                        links.append(sorted((p["node"], q["node"])))
+        a, b = ([link[i] for link in links] for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [shingles(text.as_py()).view(np.int64) for text in batch.column(1)]
@@ -219,16 +244,20 @@ def _exact_pass(open_nodes: DataFrame, texts: DataFrame, roots: DataFrame) -> Da
     tokens = stored(tokens.select("node", F.explode("tokens").alias("token")), "tokens")
     rarity = tokens.groupBy("token").agg(F.count("*").alias("times"))
     ordered = tokens.join(rarity, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("times", "token"))).alias("tokens"))
-    # From its place on, a token leaves room for so many shared ones; that bounds the size of a linked set.
-    room = F.col("size") - F.col("place")
-    most = F.floor((room * (100 + PERCENT) - F.col("size") * PERCENT) / PERCENT)
+    # A set of which so many elements are left can be linked to sets of at most that size. What is left are the
+    # elements that anyone else has at all, and for a common element of two sets those from its place on.
+    reach = lambda left: F.floor((left * (100 + PERCENT) - F.col("size") * PERCENT) / PERCENT)
+    ordered = ordered.select("node", "tokens", F.size("tokens").alias("size"))
+    ordered = ordered.withColumn("reach", reach(F.size(F.filter("tokens", lambda t: t["times"] > 1))))
+    ordered = stored(ordered.where(f"100 * reach >= {PERCENT} * size").join(suspects, "node"), "ordered")
     postings = ordered.select(
         "node",
-        F.size("tokens").alias("size"),
-        F.posexplode(F.slice("tokens", 1, _prefix(F.size("tokens")).cast("int"))).alias("place", "t"),
-    ).select("node", "size", F.col("t.token").alias("token"), "t.times", most.alias("most"))
-    postings = postings.where("times > 1").join(suspects, "node").select("node", "size", "most", "token", "root")
-    postings = stored(postings, "postings")
+        "root",
+        "size",
+        F.posexplode(F.slice("tokens", 1, _prefix(F.col("size")).cast("int"))).alias("place", "t"),
+    ).select("node", "root", "size", F.col("t.token").alias("token"), "t.times", reach(F.col("size") - F.col("place")).alias("most"))
+    postings = stored(postings.where("times > 1"), "postings")
+    suspects = ordered.select("node", "root", "size", "reach")
     held = postings.groupBy("token", "root").agg(F.min("size").alias("low"), F.max("most").alias("most"))
     sides = held.alias("x").join(held.alias("y"), "token")
     sides = sides.where("x.root < y.root and x.low <= y.most and y.low <= x.most")
@@ -240,21 +269,34 @@ def _exact_pass(open_nodes: DataFrame, texts: DataFrame, roots: DataFrame) -> Da
     sides = stored(_compared(sides, texts).select(F.col("a").alias("root_a"), F.col("b").alias("root_b"), far), "sides")
     ends = sides.select(F.explode(F.array("root_a", "root_b")).alias("root")).distinct()
     members = suspects.join(ends, "root", "left_semi").select(F.col("root").alias("a"), F.col("node").alias("b"))
-    away = _compared(members, texts).select(
-        F.col("a").alias("root"), F.col("b").alias("node"), (distance / F.col("of_all")).alias("away")
-    )
-    away = stored(away, "members")
-    widest = away.groupBy("root").agg(F.max("away").alias("widest"))
-    left = away.select(F.col("root").alias("root_a"), F.col("node").alias("p"), F.col("away").alias("away_p"))
-    right = away.select(F.col("root").alias("root_b"), F.col("node").alias("q"), F.col("away").alias("away_q"))
-    pairs = (
-        sides.join(widest.select(F.col("root").alias("root_a"), F.col("widest").alias("widest_a")), "root_a")
-        .join(widest.select(F.col("root").alias("root_b"), F.col("widest").alias("widest_b")), "root_b")
-        .where("widest_a + widest_b >= far")
+    away = _compared(members, texts).select(F.col("b").alias("node"), (distance / F.col("of_all")).alias("away"))
+    away = stored(away.join(suspects, "node"), "members")
+    sized = away.groupBy("root").agg(F.max("away").alias("widest"), F.count("*").alias("members"))
+    sized = checkpointed(sized)
+    for end in ("a", "b"):
+        sides = sides.join(sized.select(*[F.col(c).alias(f"{c}_{end}") for c in sized.columns]), f"root_{end}")
+    # The larger component of a pair is held in blocks; the members of its partners meet it in blocks too.
+    larger = F.col("members_a") >= F.col("members_b")
+    sides = sides.where("widest_a + widest_b >= far").select(
+        F.when(larger, F.col("root_a")).otherwise(F.col("root_b")).alias("root"),
+        F.when(larger, F.col("root_b")).otherwise(F.col("root_a")).alias("partner"),
+        F.when(larger, F.col("widest_a")).otherwise(F.col("widest_b")).alias("widest"),
+        "far",
     )
-    pairs = pairs.join(left, "root_a").where("away_p + widest_b >= far").join(right, "root_b").where("away_p + away_q >= far")
-    pairs = stored(pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")), "pairs")
-    return _confirmed(pairs, texts)
+    of_partner = away.withColumnRenamed("root", "partner")
+    partners = sides.join(of_partner, "partner").where("away + widest >= far").drop("widest", "partner")
+    wanted = away.join(sides.select("root").distinct(), "root", "left_semi").withColumn("far", F.lit(0.0))
+    blocks = _blocks(wanted, texts, "members").join(_blocks(partners, texts, "partners"), "root")
+    return blocks.select("members", "partners").mapInArrow(_linked_in_blocks, "a long, b long")
+
+
+def _blocks(rows: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """Rows per root in lists of about BLOCK, with texts."""
+    counts = rows.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("n"))
+    fields = ["node", "away", "size", "reach", "far", "text"]
+    rows = rows.join(counts, "root").join(texts.select("node", "text"), "node")
+    block = F.pmod(F.xxhash64("node"), F.col("n")).alias("block")
+    return rows.groupBy("root", block).agg(F.collect_list(F.struct(*fields)).alias(name)).drop("block")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
