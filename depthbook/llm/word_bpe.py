@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,9 +35,9 @@ from depthbook.llm.common import python_path, table, text_of
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Bytes of text of a block; a longer document is a block of its own.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 #: Bytes of what a task hands on at a time.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 
 
 @functools.lru_cache(maxsize=2)
@@ -150,20 +151,28 @@ def _encode(ranks: str) -> Callable:
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block, words, mark = None, [], None
+    docs, found, size = [], [], 0
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "ids"])
+
     for batch in batches:
-        docs, found = [], []
-        columns = [batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 5)]
-        for of, kind, n, doc, body, check in zip(*columns, strict=True):
-            if of != block:
-                block, words, mark = of, [], check
-            if check != mark or kind == 0 and n != len(words):
+        for of, kind, n, doc, body, check in zip(*batch.columns, strict=True):
+            if of.as_py() != block:
+                block, words, mark = of.as_py(), [], check.as_py()
+            kind = kind.as_py()
+            if check.as_py() != mark or kind == 0 and n.as_py() != len(words):
                 raise RuntimeError("the documents came in other blocks the second time; store them first")
             if kind == 0:
-                words.append(body)
-            else:
-                docs.append(doc)
-                found.append(b"".join([words[i] for i in _from_planes(body)]))
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "ids"])
+                words.append(body.as_py())
+                continue
+            docs.append(doc.as_py())
+            found.append(b"".join([words[i] for i in _from_planes(body.as_py())]))
+            size += len(found[-1])
+            if size > BATCH_BYTES:
+                yield made()
+                docs, found, size = [], [], 0
+    yield made()
 
 
 def encoded(docs: DataFrame, ranks: str = RANKS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -179,12 +188,18 @@ def encoded(docs: DataFrame, ranks: str = RANKS, block_bytes: int = BLOCK_BYTES)
     return both.mapInArrow(_assemble, "doc_id long, ids binary")
 
 
+def _bytes_of(ids: bytes, ranks: str) -> bytes:
+    of = token_bytes(ranks)
+    return b"".join([of[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
 def _decode(ranks: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(ranks)
         for batch in batches:
-            texts = [b"".join([table[i] for i in np.frombuffer(ids.as_py(), "<u4").tolist()]) for ids in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], ["doc_id", "ids", "bytes"])
+            for at in range(0, len(batch), 64):
+                part = batch.slice(at, 64)
+                texts = [_bytes_of(ids.as_py(), ranks) for ids in part.column(1)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], ["doc_id", "ids", "bytes"])
 
     return run
 
@@ -195,18 +210,27 @@ def decoded(rows: DataFrame, ranks: str = RANKS) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(_decode(ranks), "doc_id long, ids binary, bytes binary")
 
 
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [" ".join(map(str, np.frombuffer(ids.as_py(), "<u4").tolist())) for ids in batch.column(1)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(texts, pa.string()), batch.column(2), pa.array([len(i) // 4 for i in batch.column(1).to_pylist()], pa.int64())],
-            ["doc_id", "listed", "bytes", "n_tokens"],
-        )
+def _digests(ranks: str) -> Callable:
+    """Per document its number of ids, and digests of their decimal list and of what they decode to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count, listed, text = [], [], []
+            for ids in batch.column(1):
+                ids = ids.as_py()
+                numbers = np.frombuffer(ids, "<u4").tolist()
+                count.append(len(numbers))
+                listed.append(hashlib.sha256(" ".join(map(str, numbers)).encode()).hexdigest())
+                text.append(hashlib.sha256(_bytes_of(ids, ranks)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(count, pa.int64()), pa.array(listed, pa.string()), pa.array(text, pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return run
 
 
 def op4_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decoded(encoded(table(spark, sf_dir, "documents")))
-    rows = rows.mapInArrow(_listed, "doc_id long, listed string, bytes binary, n_tokens long")
-    return rows.select(
-        "doc_id", "n_tokens", F.sha2("listed", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256")
-    )
+    rows = encoded(table(spark, sf_dir, "documents"))
+    # Decoded text is digested where it is made, so that it need not pass through another worker.
+    return rows.mapInArrow(_digests(RANKS), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
