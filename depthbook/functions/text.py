@@ -57,11 +57,19 @@ def only_digits(text: Column) -> Column:
 
 
 def natural_key(name: Column) -> Column:
-    """Sort key under which digit runs compare as numbers: `s-9` comes before `s-10`."""
+    """Sort key under which digit runs of any length compare as numbers: `s-9` before `s-10`.
+
+    A run is its digits without leading zeros, after their count.
+    """
     runs = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.transform(
-        runs, lambda run: F.when(run.rlike("^[0-9]"), F.lpad(run, 38, "0")).otherwise(run)
-    )
+
+    def key(run: Column) -> Column:
+        digits = F.ltrim(run, F.lit("0"))
+        return F.when(
+            run.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)
+        ).otherwise(run)
+
+    return F.transform(runs, key)
 
 
 def file_name(path: Column) -> Column:
@@ -73,9 +81,6 @@ def security_class(security: Column) -> Column:
 
 
 def security_text(security: Column) -> Column:
-    """Security with one significant digit; two digits are enough for the range -1 to 1."""
-    exact = security.cast("decimal(10,4)")
-    tenth = F.round(exact, 1).cast("decimal(10,1)").cast("string")
-    hundredth = F.round(exact, 2).cast("decimal(10,2)").cast("string")
-    text = F.when(F.abs(exact) < F.lit("0.095").cast("decimal(10,4)"), hundredth).otherwise(tenth)
-    return F.regexp_replace(text, r"\.0+$", "")
+    """Security with one significant digit, however small."""
+    short = F.format_string("%.0e", security.cast("double")).cast("decimal(38,30)")
+    return F.when(security == 0, "0").otherwise(F.regexp_replace(short.cast("string"), r"\.?0+$", ""))

@@ -148,4 +148,8 @@ def appraise(
 
 
 def appraisal_totals(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("list_id", "loc_id").agg(*[F.sum(t).alias(t) for t in TOTALS])
+    """Sums per list and location, in decimals, so that they do not depend on the order of lines."""
+    exact = {t: F.col(t).cast("decimal(30,6)") for t in TOTALS}
+    return lines.groupBy("list_id", "loc_id").agg(
+        *[F.sum(exact[t]).cast("decimal(38,6)").alias(t) for t in TOTALS]
+    )

@@ -73,7 +73,7 @@ def item_board(
 ) -> DataFrame:
     """Both sides of a fixed list of items at fixed locations; what is not traded is zero.
 
-    `aggregates` are those of one snapshot.
+    `aggregates` hold one row per location, type and side, see `lookup.live_statistics`.
     """
     spark = aggregates.sparkSession
     wanted = spark.createDataFrame(

@@ -17,11 +17,10 @@ from depthbook.functions.constants import (
     GLOBAL_LOC,
     OUTLIER_FACTOR,
 )
-from depthbook.operators.skew import HOT_ROWS, apart, before_piece, hot_keys, in_pieces
+from depthbook.operators.skew import HOT_ROWS, apart, before_piece, hot_keys, price_step
 
 # The most selective column leads: sorts compare it first.
 GROUP = ["type_id", "loc_id", "order_set", "buy"]
-HOT_KEY = ["order_set", "type_id", "buy"]
 STATISTICS = [
     "weighted_average",
     "max_price",
@@ -126,10 +125,13 @@ def _walk(levels: DataFrame) -> DataFrame:
 def _walk_in_pieces(levels: DataFrame) -> DataFrame:
     """The same columns for groups too large for one window.
 
-    Each group is cut along the walk; a piece is walked by itself and continues
-    from the totals of the pieces before it. Only rows per piece meet per group.
+    Each group is cut along the walk by steps of the price; a piece is walked by itself
+    and continues from the totals of the pieces before it. Only rows per piece meet per
+    group.
     """
-    cut = in_pieces(levels, [*GROUP, "walk"], unique=True)
+    step = price_step(F.col("price"))
+    falls = F.col("walk") != F.col("price")
+    cut = levels.withColumn("piece", F.when(falls, -step).otherwise(step))
     piece_key = [*GROUP, "piece"]
     per_group = Window.partitionBy(*GROUP)
     best = (
@@ -171,6 +173,22 @@ def _ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def _spread() -> Column:
+    """Sample standard deviation of the prices from exact sums of whole price units.
+
+    n * sum(p^2) - sum(p)^2 is a whole number, so the result does not depend on the
+    order of addition. Prices whose squares do not fit 38 digits fall back to floats.
+    """
+    units = (F.col("price") * 10_000).cast("decimal(19,0)")
+    n = F.count("price").cast("decimal(10,0)")
+    squares = F.try_multiply(n, F.try_sum(F.try_multiply(units, units).cast("decimal(38,0)")))
+    total = F.sum(units).cast("decimal(19,0)")
+    cross = F.try_subtract(squares.cast("decimal(38,0)"), F.try_multiply(total, total).cast("decimal(38,0)"))
+    pairs = F.count("price").cast("double") * (F.count("price").cast("double") - 1)
+    exact = F.sqrt(F.try_divide(cross.cast("double"), pairs)) / 10_000
+    return F.when(F.count("price") > 1, F.coalesce(exact, F.stddev_samp(F.col("price").cast("double"))))
+
+
 def _statistics(walked: DataFrame) -> DataFrame:
     price, kept = F.col("price"), F.col("kept")
     # Share of the level in the best twentieth, times twenty to stay an integer.
@@ -188,7 +206,7 @@ def _statistics(walked: DataFrame) -> DataFrame:
             _ratio(F.sum(price * kept), F.sum("kept")).alias("weighted_average"),
             F.max("price").alias("max_price"),
             F.min("price").alias("min_price"),
-            F.coalesce(F.stddev_samp(price.cast("double")), F.lit(EMPTY_STATISTIC)).alias("stddev"),
+            F.coalesce(_spread(), F.lit(EMPTY_STATISTIC)).alias("stddev"),
             _ratio(F.sum("middle"), F.count("middle")).alias("median"),
             F.sum("kept").alias("volume"),
             F.count("price").alias("order_count"),
@@ -198,17 +216,15 @@ def _statistics(walked: DataFrame) -> DataFrame:
 
 
 def depth_stats(
-    levels: DataFrame, buy_best_first: bool = True, hot: DataFrame | None = None
+    levels: DataFrame, buy_best_first: bool = True, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Eight statistics per group of price levels.
 
-    `hot` lists (snapshot, type, side) keys whose groups are walked in pieces.
+    Groups of more than `hot_rows` levels are walked in pieces.
     A group without any volume has no averages (NULL).
     """
     levels = levels.withColumn("walk", _walk_order(buy_best_first))
-    if hot is None:
-        return _statistics(_walk(levels))
-    ordinary, large = apart(levels, hot, HOT_KEY)
+    ordinary, large = apart(levels, hot_keys(levels, GROUP, hot_rows), GROUP)
     return _statistics(_walk(ordinary)).unionByName(_statistics(_walk_in_pieces(large)))
 
 
@@ -232,16 +248,14 @@ def aggregate_scope(
             orders = with_station_system(orders, stations)
         if ids is not None:
             orders = orders.where(loc.isin(list(ids)))
-    hot = hot_keys(orders, HOT_KEY, hot_rows)
-    return depth_stats(price_levels(orders, loc), buy_best_first, hot)
+    return depth_stats(price_levels(orders, loc), buy_best_first, hot_rows)
 
 
 def aggregate_all_scopes(
     orders: DataFrame, stations: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Statistics of every global, region, system and station location in one pass."""
-    hot = hot_keys(orders, HOT_KEY, hot_rows)
-    return depth_stats(all_scope_levels(orders, stations), hot=hot)
+    return depth_stats(all_scope_levels(orders, stations), hot_rows=hot_rows)
 
 
 def wide_aggregates(aggregates: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthbook.functions.constants import EMPIRE_CLASS
@@ -123,7 +123,7 @@ def order_listing(
     if one_listing:
         return named.orderBy(*order).select(*chosen)
     # Joins only drop orders, so hot listings can be found before them.
-    placed = with_position(named, listing_key, order, hot_rows, counted=rows)
+    placed = with_position(named, listing_key, order, side == "buy", hot_rows, counted=rows)
     return placed.select(*chosen, "position")
 
 
@@ -132,7 +132,6 @@ def order_history(
     dims: Dimensions,
     side: str,
     order_id: int | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """An order through all snapshots, newest first.
 
@@ -144,7 +143,9 @@ def order_history(
     if order_id is not None:
         found = rows.where(F.col("order_id") == order_id)
         return _named(found, dims).orderBy(*order).select(*chosen)
-    placed = with_position(_named(rows, dims), ["order_id"], order, hot_rows, counted=rows)
+    # A history has a row per snapshot and feed, so no group is large.
+    history = Window.partitionBy("order_id").orderBy(*order)
+    placed = _named(rows, dims).withColumn("position", F.row_number().over(history).cast("long"))
     return placed.select(*chosen, "position")
 
 
@@ -156,8 +157,10 @@ def distinct_orders(orders: DataFrame) -> DataFrame:
     rest = [c for c in orders.columns if c not in ("order_set", "order_id")]
     lead = [c for c in ("region_id", "station_id", "type_id", "price", "volume") if c in rest]
     ordered = lead + [c for c in rest if c not in lead]
-    kept = orders.groupBy("order_set", "order_id").agg(F.min(F.struct(*ordered)).alias("kept"))
-    return kept.select("order_set", "order_id", "kept.*").select(*orders.columns)
+    # A rank of one keeps a row per key in each task before the shuffle; a minimum of
+    # whole rows would sort both before and after it.
+    same = Window.partitionBy("order_set", "order_id").orderBy(*ordered)
+    return orders.withColumn("copy", F.row_number().over(same)).where("copy = 1").drop("copy")
 
 
 def _document_order(side: str) -> Column:
@@ -196,7 +199,8 @@ def market_view_pages(
         .withColumn("price", F.round("price", 2).cast("decimal(19,2)"))
     )
     order = [_best_price_first(side), "region_id", *TIES]
-    placed = with_position(named, ["order_set", "type_id"], order, hot_rows, counted=rows)
+    group = ["order_set", "type_id"]
+    placed = with_position(named, group, order, side == "buy", hot_rows, counted=rows)
     page = F.floor((F.col("position") - 1) / page_orders)
     listed = F.transform(F.array_sort(F.collect_list(F.struct("position", "doc"))), lambda e: e.doc)
     return (

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthbook.functions.constants import AGGREGATE_TTL_SECONDS, STATISTIC_NAMES
 from depthbook.functions.text import market_key, number_text, payload, payload_field, twelve_digits
 from depthbook.operators.depth import STATISTICS
-from depthbook.operators.skew import small_table
 
 REQUEST_COLUMNS = ("region", "station", "system", "types")
 
@@ -44,9 +43,8 @@ def serving_rows(aggregates: DataFrame, manifest: DataFrame | None = None) -> Da
     rows = digits.select("order_set", "key", payload(*_texts()).alias("payload"))
     if manifest is None:
         return rows
-    lifetime = F.make_dt_interval(secs=F.lit(AGGREGATE_TTL_SECONDS))
-    expiry = manifest.select("order_set", (F.col("downloaded") + lifetime).alias("expires_at"))
-    return rows.join(small_table(expiry), "order_set")
+    expiry = manifest.select("order_set", _expiry("downloaded").alias("expires_at"))
+    return rows.join(expiry, "order_set")
 
 
 def decode_serving_rows(rows: DataFrame) -> DataFrame:
@@ -61,19 +59,36 @@ def decode_serving_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def _newest(rows: DataFrame, *key: str) -> DataFrame:
+    """The row of the newest snapshot per key. A rank of one drops older rows before the shuffle."""
+    latest = Window.partitionBy(*key).orderBy(F.desc("order_set"))
+    return rows.withColumn("age", F.row_number().over(latest)).where("age = 1").drop("age")
+
+
+def _expiry(column: str) -> Column:
+    return F.col(column) + F.make_dt_interval(secs=F.lit(AGGREGATE_TTL_SECONDS))
+
+
+def _moment(now: datetime | Column) -> Column:
+    return now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+
+
 def live_aggregates(history: DataFrame, now: datetime | Column) -> DataFrame:
-    """The newest serving row per key that has not expired at `now`.
+    """The newest serving row per key that has not expired at `now`."""
+    alive = history.where(F.col("expires_at") >= _moment(now))
+    return _newest(alive, "key").select("key", "order_set", "payload", "expires_at")
+
+
+def live_snapshots(manifest: DataFrame, now: datetime | Column) -> DataFrame:
+    """Snapshots whose aggregates have not expired at `now`."""
+    return manifest.where(_expiry("downloaded") >= _moment(now)).select("order_set")
 
-    A maximum of a struct: combined before the shuffle, without sorting any key.
-    """
-    now = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
-    newest = F.max(F.struct("order_set", "payload", "expires_at")).alias("newest")
-    return (
-        history.where(F.col("expires_at") >= now)
-        .groupBy("key")
-        .agg(newest)
-        .select("key", "newest.*")
-    )
+
+def live_statistics(aggregates: DataFrame, manifest: DataFrame, now: datetime | Column) -> DataFrame:
+    """What lookups, boards and appraisals read: per location, type and side the newest
+    aggregates that have not expired. A key that the newest snapshot lacks is still served."""
+    alive = aggregates.join(live_snapshots(manifest, now), "order_set", "left_semi")
+    return _newest(alive, "loc_id", "type_id", "buy")
 
 
 # ------------------------------------------------------------------ lookups
@@ -106,7 +121,10 @@ def _exact_id(text: Column) -> Column:
 
 
 def lookup_aggregates(requests: DataFrame, aggregates: DataFrame) -> DataFrame:
-    """Both sides of every requested type; what is not on the market is zero."""
+    """Both sides of every requested type; what is not on the market is zero.
+
+    `aggregates` hold one row per location, type and side, see `live_statistics`.
+    """
     wanted = (
         resolve_requests(requests)
         .withColumn("loc_id", _exact_id(F.col("place")))

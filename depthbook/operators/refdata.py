@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from depthbook.functions.constants import (
@@ -147,10 +147,14 @@ def upsert_types(current: DataFrame, incoming: DataFrame) -> DataFrame:
     unknown type is added with its mass, provided it has a name.
     """
     fields = [c for c in incoming.columns if c != "type_id"]
+    best = Window.partitionBy("type_id").orderBy(
+        F.desc(F.col("volume").isNotNull()), *[F.desc(c) for c in fields]
+    )
     fetched = (
         incoming.where(F.col("name").isNotNull())
-        .groupBy("type_id")
-        .agg(F.max(F.struct(F.col("volume").isNotNull().alias("whole"), *fields)).alias("new"))
+        .withColumn("copy", F.row_number().over(best))
+        .where("copy = 1")
+        .select("type_id", F.struct(*fields).alias("new"))
     )
     old = current.withColumn("known", F.lit(True))
     joined = old.join(fetched, "type_id", "full_outer")

@@ -1,9 +1,11 @@
 """Keeping hot groups out of single tasks.
 
 A window over a group runs in one task. That is right for ordinary groups and
-wrong for a group that holds a large part of all rows. Groups are therefore
-counted first; the few hot ones are walked in pieces cut by a range partitioning
-of their sort order, all others in a plain window. Both ways give equal results.
+wrong for a group that holds a large part of all rows. Groups are counted, and the
+hot ones, however many, are walked in pieces; all others in a plain window. Both
+ways give equal results. Everything is part of one lazy plan: no job runs while a
+query is built, hot keys stay a table that Spark joins as it sees fit, and pieces
+are functions of the row, so any recomputation cuts a group at the same places.
 """
 
 from __future__ import annotations
@@ -13,76 +15,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depthbook.functions.session import checkpointed
-
+#: Rows that one task sorts and walks without trouble. A physical parameter: results
+#: do not depend on it.
 HOT_ROWS = 1_000_000
-# A key beyond these holds at most a thousandth of all rows, so a plain window
-# fits it; the list also bounds what is collected and broadcast.
-MOST_HOT_KEYS = 1_000
-
-
-MOST_SMALL_ROWS = 10_000
-
-
-def small_table(rows: DataFrame) -> DataFrame:
-    """A table to broadcast if it has at most MOST_SMALL_ROWS rows; else the table as it is.
-
-    For tables that are small by nature, like the list of snapshots, but whose size
-    the planner can only guess.
-    """
-    head = rows.limit(MOST_SMALL_ROWS + 1).collect()
-    if len(head) > MOST_SMALL_ROWS:
-        return rows
-    return F.broadcast(rows.sparkSession.createDataFrame(head, rows.schema))
-
+#: Price steps per doubling. A group has at most 64 doublings, so about a quarter of a
+#: million pieces, of which one window sums the totals.
+STEPS = 4_096
+#: Orders of one price and region are cut by ranges of this many ids.
+ID_RANGE = 65_536
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than `hot_rows` rows, at most MOST_HOT_KEYS of them; None if there are none.
 
-    One narrow scan of the key columns, combined before the shuffle.
-    """
-    largest = (
-        rows.groupBy(*keys)
-        .count()
-        .where(F.col("count") > hot_rows)
-        .orderBy(F.desc("count"), *keys)
-        .limit(MOST_HOT_KEYS)
-        .select(*keys)
-    )
-    found = largest.collect()
-    return rows.sparkSession.createDataFrame(found, largest.schema) if found else None
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than `hot_rows` rows; counts are combined before their shuffle."""
+    return rows.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
 
 
 def apart(rows: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(ordinary rows, hot rows). `hot` has at most MOST_HOT_KEYS rows, so it is broadcast."""
-    listed = F.broadcast(hot)
-    return (
-        rows.join(listed, list(keys), "left_anti"),
-        rows.join(listed, list(keys), "left_semi"),
-    )
-
+    """(ordinary rows, hot rows)."""
+    return rows.join(hot, list(keys), "left_anti"), rows.join(hot, list(keys), "left_semi")
 
-def in_pieces(rows: DataFrame, order: Sequence[Column | str], unique: bool) -> DataFrame:
-    """Rows with a `piece` number that follows `order` and cuts any group, however large.
 
-    The cut points are sampled, so the result is written down before it is used twice.
-    Without `unique`, equal rows are numbered first (and that written down), so that
-    copies can be cut apart too.
-    """
-    pieces = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = list(order)
-    if not unique:
-        rows = checkpointed(rows.withColumn("row_number", F.monotonically_increasing_id()))
-        keys.append("row_number")
-    return checkpointed(
-        rows.repartitionByRange(pieces, *keys).withColumn("piece", F.spark_partition_id())
-    )
+def price_step(price: Column) -> Column:
+    """A whole number that never falls as the price rises, and seldom stays for long."""
+    units = F.greatest(price.cast("double"), F.lit(0.0)) * 10_000 + 1
+    return F.floor(F.log2(units) * STEPS)
 
 
-def before_piece(totals: DataFrame, group: Sequence[str], column: str) -> Column:
+def before_piece(totals: DataFrame, group: Sequence[str], column: str, *order: Column | str) -> Column:
     """Sum of `column` over the earlier pieces of the group; `totals` has a row per piece."""
     earlier = (
-        Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*group)
+        .orderBy(*(order or ("piece",)))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     return F.coalesce(F.sum(totals[column]).over(earlier), F.lit(0))
 
@@ -91,29 +55,48 @@ def with_position(
     rows: DataFrame,
     group: Sequence[str],
     order: Sequence[Column | str],
+    descending: bool,
     hot_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add `position`, counted from 1 in `order` within each group.
 
-    `counted`: rows to find hot groups in, if some at least as many are cheaper to read.
+    `order` starts with the price (falling if `descending`), then region_id and
+    order_id. Hot groups are cut by price step, then by price and region, then by
+    ranges of order ids: a row's position is what lies before its piece at each of the
+    three depths, and its place in its own piece. Rows equal in all of these share a
+    piece. `counted`: rows to find hot groups in, if some at least as many are cheaper
+    to read.
     """
     group, order = list(group), list(order)
     hot = hot_keys(rows if counted is None else counted, group, hot_rows)
     whole_group = Window.partitionBy(*group).orderBy(*order)
-    if hot is None:
-        return rows.withColumn("position", F.row_number().over(whole_group).cast("long"))
-
     ordinary, large = apart(rows, hot, group)
-    cut = in_pieces(large, [*group, *order], unique=False)
-    counts = cut.groupBy(*group, "piece").agg(F.count(F.lit(1)).alias("in_piece"))
-    counts = counts.withColumn("before", before_piece(counts, group, "in_piece")).drop("in_piece")
-    within = Window.partitionBy(*group, "piece").orderBy(*order, "row_number")
-    placed = (
-        cut.join(counts, [*group, "piece"])
-        .withColumn("position", F.col("before") + F.row_number().over(within))
-        .select(*rows.columns, "position")
+    placed = ordinary.withColumn("position", F.row_number().over(whole_group).cast("long"))
+
+    sign = -1 if descending else 1
+    cut = large.withColumns(
+        {
+            "cut_1": sign * price_step(F.col("price")),
+            "cut_2": sign * F.col("price"),
+            "cut_3": F.col("region_id"),
+            "cut_4": F.floor(F.col("order_id") / ID_RANGE),
+        }
+    )
+    depths = [group, [*group, "cut_1"], [*group, "cut_1", "cut_2", "cut_3"]]
+    steps = [["cut_1"], ["cut_2", "cut_3"], ["cut_4"]]
+    counts = cut.groupBy(*group, "cut_1", "cut_2", "cut_3", "cut_4").agg(F.count("*").alias("n"))
+    # A window per depth over one row per piece; deeper windows stay within a piece of the depth above.
+    third = counts.withColumn("before", before_piece(counts, depths[2], "n", *steps[2]))
+    second = counts.groupBy(*depths[2]).agg(F.sum("n").alias("n"))
+    second = second.withColumn("before_2", before_piece(second, depths[1], "n", *steps[1]))
+    first = second.groupBy(*depths[1]).agg(F.sum("n").alias("n"))
+    first = first.withColumn("before_1", before_piece(first, depths[0], "n", *steps[0])).drop("n")
+    starts = third.drop("n").join(second.drop("n"), depths[2]).join(first, depths[1])
+    starts = starts.withColumn("before", F.col("before") + F.col("before_2") + F.col("before_1"))
+    piece = [*depths[2], "cut_4"]
+    within = Window.partitionBy(*piece).orderBy(*order)
+    pieces = cut.join(starts.drop("before_2", "before_1"), piece).withColumn(
+        "position", F.col("before") + F.row_number().over(within)
     )
-    return ordinary.withColumn(
-        "position", F.row_number().over(whole_group).cast("long")
-    ).unionByName(placed)
+    return placed.unionByName(pieces.select(*placed.columns))

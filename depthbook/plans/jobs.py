@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from depthbook.operators.boards import front_page
 from depthbook.operators.depth import aggregate_all_scopes
 from depthbook.operators.lookup import serving_rows
-from depthbook.sources.pages import page_manifest, parse_pages, quarantine, read_pages
+from depthbook.sources.pages import elements_of, orders_of, page_accounts, read_pages, rejected
 from depthbook.sources.snapshots import (
     append_aggregates,
     append_snapshot,
@@ -32,14 +32,16 @@ def load_snapshot(
 ) -> None:
     """Load the pages under `landed` as snapshot `order_set` into the tables under `root`.
 
-    Orders are written, then published; aggregates follow and are served once
+    Pages are parsed once, into a staged table of their elements. Orders are written, then published; aggregates follow and are served once
     written. Running it again replaces the snapshot. Each step starts from what the
     one before it stored.
     """
-    pages = read_pages(spark, landed)
-    append_snapshot(parse_pages(pages, order_set), f"{root}/orders")
-    quarantine(pages).write.mode("overwrite").parquet(f"{root}/quarantine/order_set={order_set}")
-    page_manifest(pages).write.mode("overwrite").parquet(f"{root}/pages/order_set={order_set}")
+    staged = f"{root}/elements/order_set={order_set}"
+    elements_of(read_pages(spark, landed)).write.mode("overwrite").parquet(staged)
+    elements = spark.read.parquet(staged)
+    append_snapshot(orders_of(elements, order_set), f"{root}/orders")
+    rejected(elements).write.mode("overwrite").parquet(f"{root}/quarantine/order_set={order_set}")
+    page_accounts(elements).write.mode("overwrite").parquet(f"{root}/pages/order_set={order_set}")
     publish_snapshot(spark, f"{root}/manifest", order_set, downloaded)
 
     this = F.col("order_set") == order_set

@@ -88,7 +88,8 @@ summed as (
          cast(sum(kept) over g as bigint) as total from weighed
   window g as (partition by order_set, loc_id, type_id, buy)),
 shared as (
-  select *, case when 20 * running <= total then 20 * kept
+  select *, cast(price * 10000 as hugeint) as units,
+         case when 20 * running <= total then 20 * kept
                  else greatest(0, total - 20 * (running - kept)) end as share
   from summed),
 stats as (
@@ -96,7 +97,8 @@ stats as (
          case when sum(kept) > 0 then cast(sum(price * kept) as double) / cast(sum(kept) as double) end
            as weighted_average,
          max(price) as max_price, min(price) as min_price,
-         round(coalesce(stddev_samp(cast(price as double)), 0.01), 4) as stddev,
+         coalesce(sqrt(cast(count(*) * sum(units * units) - sum(units) * sum(units) as double)
+           / nullif(cast(count(*) as double) * (cast(count(*) as double) - 1), 0)) / 10000, 0.01) as stddev,
          median(cast(price as double)) as median,
          cast(sum(kept) as bigint) as volume, count(*) as order_count,
          case when sum(share) > 0 then cast(sum(price * share) as double) / cast(sum(share) as double) end
@@ -134,6 +136,8 @@ def depth_oracles() -> dict[str, str]:
         "agg_system": sql(whole, stats_views("system", best_first=False)),
         "agg_system_best_first": sql(whole, stats_views("system")),
         "agg_all_scopes": sql(whole, stats_views("all")),
+        "agg_global_pieces": sql(whole, stats_views("global")),
+        "agg_all_scopes_pieces": sql(whole, stats_views("all")),
         "price_levels": sql(
             "select order_set, loc_id, type_id, buy, price, volume from levels",
             stats_views("region"),
@@ -230,6 +234,8 @@ def _view(side: str) -> str:
 def order_oracles() -> dict[str, str]:
     return {
         "market_view_doc": sql(_view("buy") + " union all " + _view("sell")),
+        "market_view_pieces": sql(_view("buy") + " union all " + _view("sell")),
+        "orders_type_sell_pieces": _listing("sell"),
         "distinct_orders": sql("""
             select * exclude (n) from (
               select *, row_number() over (partition by order_set, order_id
@@ -239,6 +245,14 @@ def order_oracles() -> dict[str, str]:
     }
 
 
+LIVE = """
+live as (
+  select * exclude (age) from (
+    select *, row_number() over (partition by loc_id, type_id, buy order by order_set desc) as age from stats
+    where order_set in (select order_set from mkt_manifest
+      where downloaded + interval 5400 second >= timestamp '2024-01-01 03:40:00')) where age = 1)"""
+
+
 # ------------------------------------------------------------------------ boards
 
 
@@ -287,11 +301,12 @@ def board_oracles() -> dict[str, str]:
             select cast(h.station_id as bigint) as loc_id, place, cast(i.type_id as bigint) as type_id,
                    label, {sides}
             from mkt_hubs h cross join items i
-            left join (select * from stats where order_set = (select max(order_set) from mkt_manifest)) s
+            left join live s
               on s.loc_id = h.station_id and s.type_id = i.type_id
             group by all""",
             _BOARD_ITEMS,
             stats_views("station"),
+            LIVE,
         ),
     }
 
@@ -335,13 +350,11 @@ tokens as (
                   region, station, system, '0') as place,
          unnest(case when in_body then [b, '7'] else [a, b, '0' || b, 'abc'] end) as token
   from requests),
-current_stats as (
-  select * from stats where order_set = (select max(order_set) from mkt_manifest)),
 sides(buy, side) as (values (true, 'buy'), (false, 'sell')),
 found as (
   select request_id, place, token, side, s.* exclude (order_set, loc_id, type_id, buy)
   from tokens cross join sides
-  left join current_stats s on cast(s.loc_id as varchar) = place
+  left join live s on cast(s.loc_id as varchar) = place
     and cast(s.type_id as varchar) = token and s.buy = sides.buy)"""
 
 
@@ -382,7 +395,7 @@ def lookup_oracles() -> dict[str, str]:
         ),
         "agg_lookup": sql(
             f"select request_id, place, token, side, {numbers} from found",
-            stats_views("all"), _REQUESTS,
+            stats_views("all"), LIVE, _REQUESTS,
         ),
         "agg_lookup_json": sql(
             """select request_id, token, cast(to_json(struct_pack(
@@ -390,7 +403,7 @@ def lookup_oracles() -> dict[str, str]:
                  as varchar) as entry
                from (select *, """ + _side_document() + """ as doc from found)
                group by request_id, token""",
-            stats_views("all"), _REQUESTS,
+            stats_views("all"), LIVE, _REQUESTS,
         ),
     }
 
@@ -407,7 +420,7 @@ prices as (
          max(percentile) filter (not buy) as best_sell,
          max(cast(max_price as double)) filter (buy) as max_buy,
          max(cast(min_price as double)) filter (not buy) as min_sell
-  from stats where order_set = (select max(order_set) from mkt_manifest) group by loc_id, type_id),
+  from live group by loc_id, type_id),
 lines as (
   select i.list_id, cast(10000000 + o_custkey % 5 as bigint) as loc_id, i.type_id, type_name,
          cast(quantity as double) as quantity,
@@ -421,7 +434,7 @@ lines as (
 
 def appraisal_oracles() -> dict[str, str]:
     totals = ", ".join(
-        f"cast(sum(cast(floor({t} * 10000) as bigint)) as bigint) as {t}"
+        f"cast(sum(cast(cast({t} as varchar) as decimal(30,6))) as decimal(38,6)) as {t}"
         for t in ("pbuy", "mbuy", "psell", "msell", "volume")
     )
     return {
@@ -436,10 +449,10 @@ def appraisal_oracles() -> dict[str, str]:
         ),
         "paste_inventory": sql("select * from inventory", _INVENTORY),
         "appraisal_list_roundtrip": sql("select * from inventory", _INVENTORY),
-        "appraisal_lines": sql("select * from lines", stats_views("region"), _INVENTORY, _LINES),
+        "appraisal_lines": sql("select * from lines", stats_views("region"), LIVE, _INVENTORY, _LINES),
         "appraisal_totals": sql(
             f"select list_id, loc_id, {totals} from lines group by list_id, loc_id",
-            stats_views("region"), _INVENTORY, _LINES,
+            stats_views("region"), LIVE, _INVENTORY, _LINES,
         ),
     }
 
@@ -475,9 +488,10 @@ def refdata_oracles() -> dict[str, str]:
         "security_class": sql("""
             select system_id, security, case when security > 0.5 then 'high'
               when security > 0 then 'low' else 'null' end as security_class,
-              case when security = 0 then '0' when security = 1 then '1'
-                else cast(security as varchar) end as security_text
-            from mkt_systems"""),
+              case when security = 0 then '0' else regexp_replace(cast(cast(printf('%.0e', security)
+                as decimal(38,30)) as varchar), '\\.?0+$', '') end as security_text
+            from (select system_id, cast(security as double) * case system_id % 3 when 0 then 0.042
+                    when 1 then 0.00137 else 1.0 end as security from mkt_systems)"""),
         "region_universe": sql("""
             select order_set, region_id, count(*) as n_orders from mkt_orders
             where region_id between 10000001 and 10000069 and region_id not in (10000024, 10000026)
@@ -525,19 +539,26 @@ def refdata_oracles() -> dict[str, str]:
 
 _FEED = """
 feed as (
-  select * exclude (system_id) replace (case when station_id % 10 = 0 then 1000000000000 + station_id
-           else station_id end as station_id),
-         case when station_id % 10 = 0 and order_set % 2 = 0 then 1 else 0 end as structure,
-         cast(1 + order_id % 40 as int) as page
-  from mkt_orders),
+  select *, (page % 13 = 5) as broken, volume in (48, 50) as bad,
+         row_number() over (partition by order_set, region_id, structure, page
+           order by order_id, type_id, station_id, volume, price, issued) - 1 as ordinal
+  from (
+    select * exclude (system_id) replace (case when station_id % 10 = 0 then 1000000000000 + station_id
+             else station_id end as station_id),
+           case when station_id % 10 = 0 and order_set % 2 = 0 then 1 else 0 end as structure,
+           cast(order_id // 50 as int) as page
+    from mkt_orders)),
 ruled as (
-  select * from feed where not (structure = 0 and station_id > 100000000 and buy)),
+  select * exclude (broken, bad, ordinal), broken, bad from feed
+  where not (structure = 0 and station_id > 100000000 and buy)),
 page_counts as (
-  select region_id, structure, page, cast(sum(case when volume = 50 then 0 else 1 end) as bigint) as n_orders,
-         count(*) filter (volume = 50) as n_failed
+  select region_id, structure, page,
+         count(*) filter (not broken and not bad) as n_orders,
+         count(*) filter (not broken and bad) as n_rejected,
+         count(distinct order_set) filter (broken) as n_failed
   from feed group by all
-  union all select region_id, 0, 41, 0, 0 from mkt_regions
-  union all select region_id, 0, 42, 0, 1 from mkt_regions)"""
+  union all select region_id, 0, 2000000000, 0, 0, 0 from mkt_regions
+  union all select region_id, 0, 2000000001, 0, 0, 1 from mkt_regions)"""
 
 _ORDER_COLUMNS = """order_id, type_id, issued, buy, volume, volume_entered, min_volume, price, station_id,
   "range", duration, region_id, order_set"""
@@ -545,34 +566,40 @@ _ORDER_COLUMNS = """order_id, type_id, issued, buy, volume, volume_entered, min_
 
 def feed_oracles() -> dict[str, str]:
     return {
-        "feed_rule": sql("select * exclude (page) from ruled", _FEED),
-        "ingest_pages": sql(f"select {_ORDER_COLUMNS} from ruled where volume <> 50", _FEED),
+        "feed_rule": sql("select * exclude (page, broken, bad) from ruled", _FEED),
+        "ingest_pages": sql(
+            f"""select {_ORDER_COLUMNS} from (
+              select * replace (case when volume <> 49 then min_volume end as min_volume) from ruled
+              where not broken and not bad)""",
+            _FEED,
+        ),
         "ingest_pages_legacy": sql(
-            f"select {_ORDER_COLUMNS} from (select * replace (cast(region_id as bigint) as region_id) from mkt_orders)"
+            f"""select {_ORDER_COLUMNS} from (
+              select * replace (cast(region_id as bigint) as region_id) from mkt_orders where volume <> 50)"""
         ),
         "legacy_next_pages": sql("""
             select 'https://feed.example/market/' || region_id || '/orders/all/' as url,
                    'https://feed.example/market/' || region_id || '/orders/all/?page=2' as next_url,
                    count(*) as n
-            from mkt_orders where volume > 25 group by region_id"""),
+            from (select distinct order_set, region_id, order_id // 50 as page from mkt_orders)
+            where page % 2 = 0 group by region_id"""),
         "page_quarantine": sql(
             """
-            select order_set, region_id, structure, page, region_id || '-' || page || '.txt' as file_name,
-                   cast(length(cast(to_json([struct_pack(order_id, type_id,
-                     issued := strftime(issued, '%Y-%m-%dT%H:%M:%SZ'), is_buy_order := buy,
-                     volume_remain := volume, volume_total := volume_entered, min_volume,
-                     price := cast(cast(price as bigint) as varchar) || '.00',
-                     location_id := station_id, "range", duration)]) as varchar)) as int) + 1 as n_chars
-            from feed where volume = 50
+            select order_set, region_id, structure, page, cast(ordinal as int) as ordinal,
+                   region_id || '-' || page || '.txt' as file_name
+            from feed where bad and not broken
+            union all
+            select distinct order_set, region_id, structure, page, cast(null as int),
+                   region_id || '-' || page || '.txt' from feed where broken
             union all
-            select 0, region_id, 0, 42, region_id || '-42.txt', 17 from mkt_regions""",
+            select 0, region_id, 0, 2000000001, null, region_id || '-2000000001.txt' from mkt_regions""",
             _FEED,
         ),
-        "page_manifest": sql("select *, n_orders > 0 as has_next from page_counts", _FEED),
+        "page_manifest": sql("select *, n_orders + n_rejected > 0 as has_next from page_counts", _FEED),
         "region_completeness": sql(
             """
             select region_id, structure, max(page) as last_page, cast(sum(n_orders) as bigint) as n_orders,
-                   bool_or(n_orders = 0 and n_failed = 0) and sum(n_failed) = 0 as complete
+                   bool_or(n_orders + n_rejected = 0 and n_failed = 0) and sum(n_failed) = 0 as complete
             from page_counts group by region_id, structure""",
             _FEED,
         ),
@@ -580,7 +607,7 @@ def feed_oracles() -> dict[str, str]:
             """
             select region_id, structure, page, true as again from page_counts where n_failed > 0
             union all
-            select region_id, structure, page + 1, false from page_counts c where n_orders > 0
+            select region_id, structure, page + 1, false from page_counts c where n_orders + n_rejected > 0
               and page = (select max(page) from page_counts d
                           where d.region_id = c.region_id and d.structure = c.structure)""",
             _FEED,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HUB_SUPPLIERS = (1, 2, 3, 5, 8)
+PAGE_ORDER = ["order_id", "type_id", "station_id", "volume", "price", "issued"]
 
 # Given, so that opening a table needs no job to look into its files.
 SCHEMAS = {
@@ -215,41 +216,52 @@ class Market:
         moved = F.when(at_structure, 1000000000000 + F.col("station_id"))
         return self.stations.withColumn("station_id", F.coalesce(moved, F.col("station_id")))
 
+    @staticmethod
+    def _pages(orders: DataFrame, keys: list[str]) -> DataFrame:
+        """Orders with their `element` gathered to pages of fifty order ids, in a fixed order."""
+        listed = F.array_sort(F.collect_list(F.struct(*PAGE_ORDER, "element")))
+        elements = F.array_join(F.transform(listed, lambda e: e.element), ",")
+        number = F.call_function("div", F.col("order_id"), F.lit(50))
+        return (
+            orders.withColumn("page", number.cast("int"))
+            .groupBy(*keys, "page")
+            .agg(F.concat(F.lit("["), elements, F.lit("]")).alias("listed"))
+        )
+
     @property
     def feed_pages(self) -> DataFrame:
-        """Page bodies, delivered in parts: those of lots of fifty are broken, each region
-        ends with an empty page, and one more page is an error document."""
+        """Pages of many orders. Orders of fifty lots lack their place, those of forty-eight have
+        a text for their volume, those of forty-nine lack an optional field. Some pages are
+        broken, each region ends with an empty page, and one more page is an error document."""
         issued = F.date_format("issued", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        volume = F.col("volume")
         order = F.struct(
             "order_id",
             "type_id",
             issued.alias("issued"),
             F.col("buy").alias("is_buy_order"),
-            F.col("volume").alias("volume_remain"),
+            F.when(volume == 48, "many").otherwise(volume.cast("string")).alias("volume_remain"),
             F.col("volume_entered").alias("volume_total"),
-            "min_volume",
+            F.when(volume != 49, F.col("min_volume")).alias("min_volume"),
             "price",
-            F.col("station_id").alias("location_id"),
+            F.when(volume != 50, F.col("station_id")).alias("location_id"),
             "range",
             "duration",
         )
-        noise = F.when(F.col("volume") == 50, "<").otherwise("")
-        body = F.concat(noise, F.to_json(F.array(order)))
-        filled = self.feed_orders.select(
-            "order_set",
-            "region_id",
-            "structure",
-            (1 + F.col("order_id") % 40).cast("int").alias("page"),
-            body.alias("body"),
-        )
+        # Numbers of the feed are not texts.
+        element = F.regexp_replace(F.to_json(order), r'"volume_remain":"(\d+)"', r'"volume_remain":$1')
+        keys = ["order_set", "region_id", "structure"]
+        pages = self._pages(self.feed_orders.withColumn("element", element), keys)
+        noise = F.when(F.col("page") % 13 == 5, "<").otherwise("")
+        filled = pages.select(*keys, "page", F.concat(noise, "listed").alias("body"))
         ends = self.regions.select(
             F.lit(0).alias("order_set"),
             "region_id",
             F.lit(0).alias("structure"),
             F.inline(
                 F.array(
-                    F.struct(F.lit(41).alias("page"), F.lit("[]").alias("body")),
-                    F.struct(F.lit(42).alias("page"), F.lit('{"error": "gone"}').alias("body")),
+                    F.struct(F.lit(2000000000).alias("page"), F.lit("[]").alias("body")),
+                    F.struct(F.lit(2000000001).alias("page"), F.lit('{"error": "gone"}').alias("body")),
                 )
             ),
         )
@@ -257,6 +269,8 @@ class Market:
 
     @property
     def legacy_pages(self) -> DataFrame:
+        """Pages of the older feed. Orders of fifty lots lack their price; every second page names
+        the next one."""
         order = F.struct(
             F.col("order_id").alias("id"),
             F.col("type_id").alias("type"),
@@ -265,28 +279,31 @@ class Market:
             "volume",
             F.col("volume_entered").alias("volumeEntered"),
             F.col("min_volume").alias("minVolume"),
-            "price",
+            F.when(F.col("volume") != 50, F.col("price")).alias("price"),
             F.col("station_id").alias("stationID"),
             "range",
             "duration",
         )
+        keys = ["order_set", "region_id"]
+        pages = self._pages(self.orders.withColumn("element", F.to_json(order)), keys)
         url = F.concat(
             F.lit("https://feed.example/market/"), F.col("region_id").cast("string"), F.lit("/orders/all/")
         )
         following = F.when(
-            F.col("volume") > 25, F.struct(F.concat(url, F.lit("?page=2")).alias("href"))
-        )
-        doc = F.struct(F.array(order).alias("items"), following.alias("next"))
-        return self.orders.select("order_set", url.alias("url"), F.to_json(doc).alias("body"))
+            F.col("page") % 2 == 0, F.concat(F.lit(',"next":{"href":"'), url, F.lit('?page=2"}'))
+        ).otherwise("")
+        body = F.concat(F.lit('{"items":'), "listed", following, F.lit("}"))
+        return pages.select("order_set", url.alias("url"), body.alias("body"))
 
     # ---------------------------------------------------- reference documents
 
     @property
     def group_docs(self) -> DataFrame:
-        """Market group documents, delivered in parts of one type."""
-        doc = F.struct("market_group_id", F.array("type_id").alias("types"))
+        """Market group documents, delivered in parts of up to fifty types."""
         known = self.types.where(F.col("market_group_id").isNotNull())
-        return known.select(F.to_json(doc).alias("body"))
+        part = F.call_function("div", F.col("type_id"), F.lit(50)).alias("part")
+        listed = known.groupBy("market_group_id", part).agg(F.sort_array(F.collect_list("type_id")).alias("types"))
+        return listed.select(F.to_json(F.struct("market_group_id", "types")).alias("body"))
 
     @property
     def stored_types(self) -> DataFrame:

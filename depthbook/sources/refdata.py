@@ -20,15 +20,12 @@ def group_types_flat(docs: DataFrame) -> DataFrame:
 
 def parse_types(docs: DataFrame) -> DataFrame:
     """(body) of type documents to records; documents without an id are left out."""
-    return (
-        docs.select(F.from_json("body", TYPE_DOC).alias("doc"))
-        .select("doc.*")
-        .where(F.col("type_id").isNotNull())
-    )
+    # Expanded, not selected: a condition on the fields would else be pushed below and parse again.
+    fields = F.inline_outer(F.array(F.from_json("body", TYPE_DOC)))
+    return docs.select(fields).where(F.col("type_id").isNotNull())
 
 
 def parse_structures(docs: DataFrame) -> DataFrame:
     """(structure_id, status, body) with the document's fields in place of the body."""
-    return docs.select(
-        "structure_id", "status", F.from_json("body", STRUCTURE_DOC).alias("doc")
-    ).select("structure_id", "status", "doc.*")
+    fields = F.inline_outer(F.array(F.from_json("body", STRUCTURE_DOC)))
+    return docs.select("structure_id", "status", fields)

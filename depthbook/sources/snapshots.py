@@ -20,14 +20,13 @@ from depthbook.functions.constants import (
 )
 from depthbook.functions.schemas import MANIFEST, ORDERS
 from depthbook.functions.text import file_name, market_key, natural_key
-from depthbook.operators.skew import small_table
 
 # ------------------------------------------------------------------- tables
 
 
 def order_set_bucket(order_set: Column) -> Column:
     """Which of the ten table parts a snapshot belongs to."""
-    return F.floor(order_set / SNAPSHOTS_PER_BUCKET) % BUCKETS
+    return F.call_function("div", order_set, F.lit(SNAPSHOTS_PER_BUCKET)) % BUCKETS
 
 
 def _replace_partitions(rows: DataFrame, path: str, *columns: str) -> None:
@@ -84,7 +83,7 @@ def retain(
     """Orders of snapshots downloaded within the last `days`."""
     now = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
     kept = manifest.where(F.col("downloaded") >= now - F.lit(timedelta(days=days)))
-    return orders.join(small_table(kept.select("order_set")), "order_set", "left_semi")
+    return orders.join(kept.select("order_set"), "order_set", "left_semi")
 
 
 # --------------------------------------------------------------- text files

@@ -65,8 +65,7 @@ def test_literal_cases(spark):
 
 def test_literal_cases_in_pieces(spark):
     book = levels(spark, CASES)
-    hot = book.select(*depth.HOT_KEY).distinct()
-    check_cases(depth.depth_stats(book, hot=hot))
+    check_cases(depth.depth_stats(book, hot_rows=0))
 
 
 def test_buy_walked_from_the_lowest_price(spark):
@@ -121,8 +120,7 @@ def random_cases(seed, n):
 def test_random_books_equal_the_model(spark, pieces):
     cases = random_cases(7, 120)
     book = levels(spark, cases)
-    hot = book.select(*depth.HOT_KEY).distinct() if pieces else None
-    for row in depth.depth_stats(book, hot=hot).collect():
+    for row in depth.depth_stats(book, hot_rows=0 if pieces else 1000).collect():
         buy, listed = cases[row.type_id]
         for name, value in model(listed, buy).items():
             got = row[name]
@@ -150,8 +148,7 @@ def test_hot_groups_do_not_change_results(spark, market):
     for scope in ("region", "global"):
         plain = depth.aggregate_scope(orders, scope)
         cut = depth.aggregate_scope(orders, scope, hot_rows=2)
-        columns = [c for c in plain.columns if c != "stddev"]
-        assert as_set(plain, columns) == as_set(cut, columns)
+        assert as_set(plain) == as_set(cut, plain.columns)
 
 
 def test_one_type_holding_a_third_of_all_orders(spark, market):
@@ -161,28 +158,50 @@ def test_one_type_holding_a_third_of_all_orders(spark, market):
     orders = market.orders.withColumn(
         "type_id", F.when(F.col("order_id") % 3 == 0, 1).otherwise(F.col("type_id"))
     ).withColumn("price", (F.col("price") + F.col("order_id") / 10000).cast("decimal(19,4)"))
-    hot = skew.hot_keys(orders, depth.HOT_KEY, hot_rows=100)
+    levels_ = depth.price_levels(orders, F.lit(0))
+    hot = skew.hot_keys(levels_, depth.GROUP, hot_rows=100)
     assert {r.type_id for r in hot.collect()} == {1}
     plain = depth.aggregate_scope(orders, "global")
     cut = depth.aggregate_scope(orders, "global", hot_rows=100)
-    columns = [c for c in plain.columns if c != "stddev"]
-    assert as_set(plain, columns) == as_set(cut, columns)
-
+    assert as_set(plain) == as_set(cut, plain.columns)
+
+
+def test_any_number_of_hot_groups(spark):
+    """More hot keys than any list would hold; every one is found, placed and walked in pieces."""
+    rows = spark.range(9000).selectExpr(
+        "id % 3000 as k", "cast(id % 7 as decimal(19,4)) as price", "id % 2 as region_id", "id as order_id"
+    )
+    assert skew.hot_keys(rows, ["k"], hot_rows=2).count() == 3000
+    order = [depth.F.col("price"), "region_id", "order_id"]
+    plain = skew.with_position(rows, ["k"], order, False)
+    cut = skew.with_position(rows, ["k"], order, False, hot_rows=2)
+    assert as_set(plain, cut.columns) == as_set(cut)
 
-def test_hot_list_is_bounded(spark):
-    rows = spark.range(5000).selectExpr("id % 2000 as k")
-    assert skew.hot_keys(rows, ["k"], hot_rows=1).count() == skew.MOST_HOT_KEYS
-    assert skew.hot_keys(rows, ["k"], hot_rows=10) is None
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_positions_in_pieces(spark, descending):
+    """Many equal prices, ids far apart, and rows that are equal in every respect."""
+    rows = spark.range(6000).selectExpr(
+        "id % 3 = 0 as third",
+        "cast(case when id % 2 = 0 then 5 else hash(id) % 50 + 60 end as decimal(19,4)) as price",
+        "id % 4 as region_id",
+        "(id div 2) * 40000 as order_id",
+    )
+    price = depth.F.desc("price") if descending else depth.F.col("price")
+    order = [price, "region_id", "order_id"]
+    plain = skew.with_position(rows, ["third"], order, descending)
+    cut = skew.with_position(rows, ["third"], order, descending, hot_rows=1500)
+    assert as_set(plain, cut.columns) == as_set(cut)
 
-def test_positions_in_pieces(spark):
-    from pyspark.sql import functions as F
 
-    rows = spark.range(3000).selectExpr("id", "id % 3 = 0 as third", "hash(id) % 50 as v")
-    order = [F.col("v"), F.col("id")]
-    plain = skew.with_position(rows, ["third"], order)
-    cut = skew.with_position(rows, ["third"], order, hot_rows=1500)
-    assert as_set(plain, cut.columns) == as_set(cut)
+def test_no_job_while_a_query_is_built(spark, market):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "queries that are only built")
+    depth.aggregate_all_scopes(market.orders, market.stations)
+    depth.aggregate_scope(market.orders, "global", hot_rows=2)
+    jobs = tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
 
 
 def test_all_scopes_is_the_union_of_scopes(spark, market):
@@ -216,12 +235,17 @@ def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-def test_two_exchanges_and_one_sort(market):
-    """Levels and groups are exchanged once each; all windows share one sort."""
+def test_columns_not_needed_are_not_read(market):
     plan = plan_of(depth.aggregate_scope(market.orders, "region"))
-    assert plan.count("Exchange hashpartitioning") == 2
+    assert "l_orderkey" not in plan and "l_shipdate" not in plan
+
+
+def test_ordinary_walk_is_one_exchange_and_one_sort(spark):
+    """All windows and the final grouping share one exchange by group and one sort."""
+    book = levels(spark, CASES).withColumn("walk", depth._walk_order(True))
+    plan = plan_of(depth._statistics(depth._walk(book)))
+    assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
-    assert "l_orderkey" not in plan and "l_shipdate" not in plan  # columns not needed are not read
 
 
 def test_pieces_bound_every_window_over_rows(spark):

@@ -48,12 +48,13 @@ def test_number_texts(spark):
 
 
 def test_presentation(spark):
-    rows = spark.createDataFrame([(0.9,), (0.5,), (0.0,), (-0.2,), (1.0,), (0.05,)], "s double")
+    rows = spark.createDataFrame([(0.9,), (0.5,), (0.0,), (-0.2,), (1.0,), (0.05,), (0.004,), (-0.0042,)], "s double")
     shown = rows.select("s", text.security_class(F.col("s")), text.security_text(F.col("s")))
     got = {r[0]: (r[1], r[2]) for r in shown.collect()}
     assert got == {
         0.9: ("high", "0.9"), 0.5: ("low", "0.5"), 0.0: ("null", "0"), -0.2: ("null", "-0.2"),
         1.0: ("high", "1"), 0.05: ("low", "0.05"),
+        0.004: ("low", "0.004"), -0.0042: ("null", "-0.004"),
     }
     one = spark.range(1).select(
         text.display_number(F.lit(1234567.125), 2),
@@ -92,6 +93,32 @@ def test_live_rows_expire(spark):
     assert live(datetime(2024, 1, 1, 3)) == {}
 
 
+def test_live_statistics(spark):
+    """A key that the newest snapshot lacks is served from the one before, until that expires."""
+    manifest = spark.createDataFrame(
+        [(1, datetime(2024, 1, 1, 0)), (2, datetime(2024, 1, 1, 1))],
+        "order_set long, downloaded timestamp_ntz",
+    )
+    both = aggregates(spark).withColumn("order_set", F.lit(1)).unionByName(
+        aggregates(spark).where("buy").withColumn("order_set", F.lit(2))
+    )
+
+    def live(now):
+        rows = lookup.live_statistics(both, manifest, now)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan
+        return {(r.type_id, r.buy): r.order_set for r in rows.collect()}
+
+    assert live(datetime(2024, 1, 1, 1, 30)) == {(34, True): 2, (35, False): 1}
+    assert live(datetime(2024, 1, 1, 2)) == {(34, True): 2}
+
+
+def test_natural_order_of_any_length(spark):
+    names = ["s-9", "s-10", "s-" + "1" * 41, "s-" + "1" * 40 + "2", "s-010"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string").orderBy(text.natural_key(F.col("n")), "n")
+    assert [r.n for r in rows.collect()] == ["s-9", "s-010", "s-10", "s-" + "1" * 41, "s-" + "1" * 40 + "2"]
+
+
 def requests(spark, rows):
     names = ["request_id", *lookup.REQUEST_COLUMNS, *[f"body_{n}" for n in lookup.REQUEST_COLUMNS]]
     schema = ", ".join(f"{n} {'int' if n == 'request_id' else 'string'}" for n in names)

@@ -52,7 +52,8 @@ def landed(tmp_path):
 
 def test_pages(spark, landed):
     orders = pages.read_order_pages(spark, landed, 17)
-    assert sorted(r.order_id for r in orders.collect()) == [1, 3, 4]
+    # of a page with one element that is no order, the others are taken
+    assert sorted(r.order_id for r in orders.collect()) == [1, 3, 4, 5]
     first = orders.where("order_id = 1").collect()[0]
     assert first.issued == datetime(2017, 9, 1, 12, 30)
     assert (str(first.price), first.order_set, first.region_id) == ("5.0100", 17, 10000001)
@@ -60,19 +61,53 @@ def test_pages(spark, landed):
 
 def test_page_accounts(spark, landed):
     raw = pages.read_pages(spark, landed)
-    kept = {(r.region_id, r.page): r.file_name for r in pages.quarantine(raw).collect()}
+    kept = {(r.region_id, r.page, r.ordinal): (r.file_name, r.text) for r in pages.quarantine(raw).collect()}
     assert kept == {
-        (10000002, 1): "10000002-1.txt",
-        (10000002, 2): "10000002-2.txt",
-        (10000002, 3): "10000002-3.txt",
+        (10000002, 1, None): ("10000002-1.txt", "<html>gateway timeout</html>"),
+        (10000002, 2, None): ("10000002-2.txt", json.dumps({"error": "not an order"}, indent=1)),
+        (10000002, 3, 1): ("10000002-3.txt", '{"order_id":6}'),
     }
     accounts = pages.page_manifest(raw)
     by_page = {(r.region_id, r.structure, r.page): (r.n_orders, r.has_next) for r in accounts.collect()}
     assert by_page[10000001, 0, 1] == (2, True) and by_page[10000001, 0, 3] == (0, False)
+    assert {(r.n_orders, r.n_rejected, r.n_failed) for r in accounts.where("page = 3").collect()} == {(0, 0, 0), (1, 1, 0)}
     ends = {(r.region_id, r.structure): r.complete for r in pages.region_completeness(accounts).collect()}
     assert ends == {(10000001, 0): True, (10000001, 1): False, (10000002, 0): False}
 
 
+def test_one_bad_field_costs_one_order(spark):
+    """Optional fields may be absent; a field of the wrong kind or a missing id costs that order only."""
+    body = json.dumps([
+        {k: v for k, v in order(1).items() if k not in ("min_volume", "range", "issued")},
+        order(2, price="dear"), order(3, type_id=None), 7, order(4),
+    ])
+    raw = spark.createDataFrame([(1, 0, 1, body), (1, 0, 2, None), (1, 0, 3, " [ ]"), (1, 0, 4, "[1")],
+                                "region_id long, structure int, page int, body string")
+    found = {r.order_id: r for r in pages.parse_pages(raw, 9).collect()}
+    assert sorted(found) == [1, 4] and found[1].min_volume is None and found[1].issued is None
+    bad = sorted((r.page, r.ordinal) for r in pages.quarantine(raw).where("page in (1)").collect())
+    assert bad == [(1, 1), (1, 2), (1, 3)]
+    assert sorted((r.page, r.ordinal) for r in pages.quarantine(raw).where("page > 1").collect()) == [(2, None), (4, None)]
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_documents_are_parsed_once(spark, market):
+    """One parse per level of a document, whatever is filtered afterwards."""
+    assert plan_of(pages.parse_pages(market.feed_pages, 1)).count("from_json") == 2  # page, then element
+    assert plan_of(pages.parse_legacy_pages(market.legacy_pages, 1)).count("from_json") == 2
+    assert plan_of(pages.next_legacy_pages(market.legacy_pages)).count("from_json") == 1
+    assert plan_of(documents.group_types_flat(market.group_docs)).count("from_json") == 1
+    types = refdata.upsert_types(market.stored_types, documents.parse_types(market.type_docs))
+    assert plan_of(types).count("from_json") == 1
+    structures = refdata.new_structures(
+        documents.parse_structures(market.structure_docs), market.structure_markets, market.known_structures
+    )
+    assert plan_of(structures).count("from_json") == 1
+
+
 def test_legacy_pages(spark, tmp_path):
     folder = tmp_path / "market" / "10000002" / "orders"
     folder.mkdir(parents=True)
@@ -203,7 +238,7 @@ def test_pages_to_fetch(spark, landed):
         (10000001, 1, 2, False),
         (10000002, 0, 1, True),
         (10000002, 0, 2, True),
-        (10000002, 0, 3, True),
+        (10000002, 0, 4, False),  # page 3 was read; one of its elements is no order
     ]
 
 
@@ -217,11 +252,11 @@ def test_load_snapshot(spark, landed, tmp_path):
     root = str(tmp_path / "tables")
     for _ in range(2):
         load_snapshot(spark, landed, root, 17, datetime(2024, 1, 1), stations, regions)
-    assert spark.read.parquet(f"{root}/orders").count() == 3
+    assert spark.read.parquet(f"{root}/orders").count() == 4
     served = {r.key for r in spark.read.parquet(f"{root}/serving").collect()}
     assert served == {
         "0|34|false", "0|34|true", "10000001|34|false", "10000001|34|true", "30000142|34|false",
-        "60003760|34|false", "1000000000001|34|false", "1000000000001|34|true",
+        "60003760|34|false", "1000000000001|34|false", "1000000000001|34|true", "10000002|34|false",
     }
     dump = spark.read.csv(f"{root}/dump", header=True)
     assert {r.what for r in dump.collect()} == {"10000001|34|false", "10000001|34|true"}
