@@ -77,7 +77,7 @@ def store_lists(inventory: DataFrame) -> DataFrame:
     return (
         inventory.withColumn("part", F.floor(F.col("type_id") / TYPES_PER_MAP))
         .groupBy("list_id", "part")
-        .agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("list"))
+        .agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(entry)))).alias("list"))
     )
 
 
@@ -89,6 +89,15 @@ def stored_inventory(stored: DataFrame) -> DataFrame:
     )
 
 
+def identified_lists(stored: DataFrame) -> DataFrame:
+    """Stored parts with the identifier of their list: a digest of the digests of its parts."""
+    digests = stored.groupBy("list_id").agg(F.sort_array(F.collect_list(F.sha2("list", 256))).alias("parts"))
+    named = digests.select(
+        "list_id", list_identifier(F.col("list_id").cast("string"), F.array_join("parts", "\n")).alias("identifier")
+    )
+    return stored.join(named, "list_id")
+
+
 def list_identifier(*content: Column) -> Column:
     """A stable identifier from the content: running the job again gives the same one."""
     return F.sha2(F.concat_ws("\n", *content), 256)
@@ -153,3 +162,29 @@ def appraisal_totals(lines: DataFrame) -> DataFrame:
     return lines.groupBy("list_id", "loc_id").agg(
         *[F.sum(exact[t]).cast("decimal(38,6)").alias(t) for t in TOTALS]
     )
+
+
+def appraisal_documents(lines: DataFrame, stored: DataFrame, requests: DataFrame, regions: DataFrame) -> DataFrame:
+    """The head of each answer: identifier of the list, name of the region, number of lines, totals.
+
+    Requests for a place that is no region are refused. A list without known items has no lines.
+    The lines of an answer are the rows of `lines` with its list and region.
+    """
+    known = valid_requests(requests).join(
+        regions.select(F.col("region_id").alias("loc_id"), "region_name"), "loc_id"
+    )
+    identifiers = identified_lists(stored).select("list_id", "identifier").distinct()
+    counts = lines.groupBy("list_id", "loc_id").agg(F.count("*").alias("n_lines"))
+    return (
+        known.join(identifiers, "list_id", "left")
+        .join(counts, ["list_id", "loc_id"], "left")
+        .join(appraisal_totals(lines), ["list_id", "loc_id"], "left")
+        .select(
+            "list_id",
+            "loc_id",
+            "region_name",
+            "identifier",
+            F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+            *[F.coalesce(t, F.lit(0)).cast("decimal(38,6)").alias(t) for t in TOTALS],
+        )
+    )

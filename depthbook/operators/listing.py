@@ -214,3 +214,19 @@ def market_view_pages(
         )
         .withColumn("side", F.lit(side))
     )
+
+
+def market_view_headers(orders: DataFrame, dims: Dimensions, order_set: Column | int) -> DataFrame:
+    """What stands above the pages of a view: every known type with its name, the snapshot and the
+    number of orders of each side, also where a side, or both, have none."""
+    shown = _named(orders, dims).join(dims.systems.select("system_id"), "system_id")
+    counts = shown.groupBy("type_id").agg(
+        F.count_if("buy").alias("n_buy"), F.count_if(~F.col("buy")).alias("n_sell")
+    )
+    number = order_set if isinstance(order_set, Column) else F.lit(order_set)
+    return dims.types.join(counts, "type_id", "left").select(
+        "type_id",
+        "type_name",
+        number.alias("order_set"),
+        *[F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in ("n_buy", "n_sell")],
+    )

@@ -76,6 +76,7 @@ def group_children(groups: DataFrame, parent: int | None = None) -> DataFrame:
         "parent_group_id",
         "market_group_id",
         "group_name",
+        "icon_id",
         "has_types",
     ).orderBy("opened_group_id", "group_name", "market_group_id")
 
@@ -90,6 +91,36 @@ def group_types(types: DataFrame, parent: int | None = None) -> DataFrame:
     )
 
 
+def group_documents(groups: DataFrame, types: DataFrame) -> DataFrame:
+    """One answer per opened group (0: the roots) as JSON: its groups, its types, its id.
+
+    Both lists are parts of the catalogue of one group, which does not grow with the orders.
+    """
+    below = group_children(groups).select(
+        "opened_group_id",
+        F.struct(
+            F.col("group_name").alias("marketGroupName"),
+            F.col("market_group_id").alias("marketGroupID"),
+            F.col("icon_id").alias("iconID"),
+            F.col("has_types").alias("hasTypes"),
+        ).alias("entry"),
+    )
+    inside = group_types(types).select(
+        F.col("market_group_id").alias("opened_group_id"),
+        F.struct(
+            F.col("type_name").alias("typeName"), F.col("type_id").alias("typeID"), F.col("icon_id").alias("iconID")
+        ).alias("entry"),
+    )
+    parts = [
+        rows.groupBy("opened_group_id").agg(F.sort_array(F.collect_list("entry")).alias(name))
+        for rows, name in ((below, "marketgroups"), (inside, "types"))
+    ]
+    both = parts[0].join(parts[1], "opened_group_id", "full_outer")
+    empty = {name: F.coalesce(name, F.array()).alias(name) for name in ("marketgroups", "types")}
+    document = F.struct(*empty.values(), F.col("opened_group_id").alias("groupid"))
+    return both.select("opened_group_id", F.to_json(document).alias("document"))
+
+
 def group_tree(groups: DataFrame) -> DataFrame:
     """Every group with its depth, its root and the path of names from the root.
 

@@ -141,6 +141,26 @@ def market_view_pieces(m: Market) -> DataFrame:
     return views[0].unionByName(views[1])
 
 
+def market_view_header(m: Market) -> DataFrame:
+    newest = listing.latest_order_set(m.manifest).scalar()
+    return listing.market_view_headers(_current(m), _dims(m), newest)
+
+
+def orders_api_one_region_sell(m: Market) -> DataFrame:
+    """One region, all types: the wildcard's other branch."""
+    return listing.order_listing(_current(m), _dims(m), "sell", "api", scope_id=10000002)
+
+
+def orders_one_station_buy(m: Market) -> DataFrame:
+    """One station, all types."""
+    return listing.order_listing(_current(m), _dims(m), "buy", "station", scope_id=60000003)
+
+
+def orders_one_type_sell(m: Market) -> DataFrame:
+    """One type everywhere, sorted; the newest snapshot."""
+    return listing.order_listing(_current(m), _dims(m), "sell", "all", type_id=34)
+
+
 def distinct_orders(m: Market) -> DataFrame:
     return listing.distinct_orders(m.orders)
 
@@ -227,6 +247,16 @@ def paste_blocks(m: Market) -> DataFrame:
     return inventory.withColumn("quantity", F.col("quantity").cast("long"))
 
 
+def paste_more(m: Market) -> DataFrame:
+    """Names and quantities of rarer lines, known or not."""
+    parsed = appraisal.parse_pasted(m.pasted_more)
+    return parsed.select("list_id", "name", F.col("quantity").cast("long").alias("quantity"))
+
+
+def paste_rules_more(m: Market) -> DataFrame:
+    return appraisal.rule_counts(m.pasted_more)
+
+
 def paste_rules(m: Market) -> DataFrame:
     return appraisal.rule_counts(m.pasted)
 
@@ -257,6 +287,15 @@ def appraisal_totals(m: Market) -> DataFrame:
     return appraisal.appraisal_totals(appraisal_lines(m))
 
 
+def appraisal_stored(m: Market) -> DataFrame:
+    return appraisal.identified_lists(appraisal.store_lists(_inventory(m)))
+
+
+def appraisal_document(m: Market) -> DataFrame:
+    stored = appraisal.store_lists(_inventory(m))
+    return appraisal.appraisal_documents(appraisal_lines(m), stored, m.appraisal_requests, m.regions)
+
+
 # ---------------------------------------------------------------- reference data
 
 
@@ -292,6 +331,10 @@ def market_group_types(m: Market) -> DataFrame:
     return refdata.group_types(m.types)
 
 
+def market_group_doc(m: Market) -> DataFrame:
+    return refdata.group_documents(m.groups, m.types)
+
+
 def market_group_tree(m: Market) -> DataFrame:
     return refdata.group_tree(m.groups)
 
@@ -400,10 +443,17 @@ def snapshot_table(m: Market) -> DataFrame:
 
 
 def snapshot_files(m: Market) -> DataFrame:
-    files = m.manifest.select(
-        F.concat(F.lit("/books/orderset-"), F.col("order_set") * 5, F.lit(".csv.gz")).alias("path")
+    """A packed book per snapshot, written, found again and listed from the newest."""
+    path = new_path(m.spark, "books")
+    books = m.orders.select("order_id", "price", (F.col("order_set") * 5).alias("book"))
+    name = F.concat(F.lit("orderset-"), F.col("book").cast("string"))
+    books.select("order_id", "price", name.alias("book")).repartition("book").write.partitionBy("book").csv(
+        path, compression="gzip"
     )
-    return snapshots.snapshot_listing(files)
+    files = snapshots.list_files(m.spark, path)
+    # Spark names the files itself, the folder is the book.
+    books = files.select(F.concat(F.regexp_extract("path", r"book=([^/]+)/", 1), F.lit(".csv.gz")).alias("path"))
+    return snapshots.snapshot_listing(books.distinct())
 
 
 def aggregate_dump(m: Market) -> DataFrame:
@@ -457,6 +507,10 @@ QUERIES = [
     market_view_doc,
     orders_type_sell_pieces,
     market_view_pieces,
+    market_view_header,
+    orders_api_one_region_sell,
+    orders_one_station_buy,
+    orders_one_type_sell,
     distinct_orders,
     latest_order_set,
     top_stations_sell,
@@ -472,10 +526,14 @@ QUERIES = [
     paste_parse,
     paste_blocks,
     paste_rules,
+    paste_more,
+    paste_rules_more,
     paste_inventory,
     appraisal_list_roundtrip,
     appraisal_lines,
     appraisal_totals,
+    appraisal_stored,
+    appraisal_document,
     published_types,
     dict_types,
     dict_regions,
@@ -485,6 +543,7 @@ QUERIES = [
     market_group_roots,
     market_group_types,
     market_group_tree,
+    market_group_doc,
     security_class,
     region_universe,
     group_types_flat,

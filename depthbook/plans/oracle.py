@@ -28,9 +28,9 @@ mkt_types as (
   from part_groups),
 mkt_groups as (
   select distinct 100 * category + brand_no as market_group_id, category as parent_group_id,
-         p_brand as group_name, true as has_types from part_groups
+         p_brand as group_name, category % 100 as icon_id, true as has_types from part_groups
   union all
-  select distinct category, cast(null as int), p_type, false from part_groups),
+  select distinct category, cast(null as int), p_type, category % 100, false from part_groups),
 mkt_stations as (
   select 60000000 + s_suppkey as station_id, s_name as station_name, 30000000 + s_nationkey as system_id
   from supplier where s_suppkey % 17 <> 0),
@@ -234,6 +234,23 @@ def _view(side: str) -> str:
 def order_oracles() -> dict[str, str]:
     return {
         "market_view_doc": sql(_view("buy") + " union all " + _view("sell")),
+        "market_view_header": sql("""
+            select t.type_id, t.type_name, (select max(order_set) from mkt_manifest) as order_set,
+                   coalesce(n_buy, 0) as n_buy, coalesce(n_sell, 0) as n_sell
+            from mkt_types t left join (
+              select o.type_id, count(*) filter (buy) as n_buy, count(*) filter (not buy) as n_sell
+              from latest o join mkt_stations sta on o.station_id = sta.station_id
+              join mkt_regions mr on o.region_id = mr.region_id
+              join mkt_systems ms on sta.system_id = ms.system_id group by o.type_id) c
+            on t.type_id = c.type_id"""),
+        "orders_api_one_region_sell": _listing(
+            "sell",
+            "join mkt_systems ms on sta.system_id = ms.system_id",
+            "o.region_id, security, sta.system_id",
+            "cast(round(price, 2) as decimal(19,2))",
+        ) + " and o.region_id = 10000002",
+        "orders_one_station_buy": _listing("buy") + " and o.station_id = 60000003",
+        "orders_one_type_sell": "select * exclude (position) from (" + _listing("sell") + " and o.type_id = 34)",
         "market_view_pieces": sql(_view("buy") + " union all " + _view("sell")),
         "orders_type_sell_pieces": _listing("sell"),
         "distinct_orders": sql("""
@@ -432,6 +449,16 @@ lines as (
   where o_orderpriority <> '5-LOW')"""
 
 
+_STORED = """
+parts as (
+  select list_id, cast(type_id // 1000 as bigint) as part,
+         '{' || string_agg('"' || type_id || '":' || quantity || '.0', ',' order by cast(type_id as varchar)) || '}' as list
+  from inventory group by list_id, part),
+names as (
+  select list_id, sha256(list_id || chr(10) || string_agg(sha256(list), chr(10) order by sha256(list))) as identifier
+  from parts group by list_id)"""
+
+
 def appraisal_oracles() -> dict[str, str]:
     totals = ", ".join(
         f"cast(sum(cast(cast({t} as varchar) as decimal(30,6))) as decimal(38,6)) as {t}"
@@ -444,6 +471,26 @@ def appraisal_oracles() -> dict[str, str]:
                    when 6 then 8 else 11 end as rule, count(*) as n_lines
             from lineitem join mkt_types on l_partkey = mkt_types.type_id
             where published and market_group_id is not null group by rule"""),
+        "paste_more": """
+            select p_partkey as list_id,
+                   case p_partkey % 4 when 0 then '30 day pilot licence ' || p_partkey
+                     when 3 then 'nothing known ' || p_partkey else lower(p_name) end as name,
+                   case p_partkey % 4 when 0 then 5 when 1 then cast('17' || p_partkey as bigint) else 1 end as quantity
+            from part""",
+        "paste_rules_more": """
+            select case p_partkey % 4 when 0 then 1 when 1 then 5 when 2 then 10 else 11 end as rule,
+                   count(*) as n_lines from part group by rule""",
+        "appraisal_stored": sql("select list_id, part, list, identifier from parts join names using (list_id)", _INVENTORY, _STORED),
+        "appraisal_document": sql(
+            f"""select r.list_id, r.loc_id, region_name, identifier, coalesce(n_lines, 0) as n_lines,
+                   {", ".join(f"coalesce({t}, 0) as {t}" for t in ("pbuy", "mbuy", "psell", "msell", "volume"))}
+            from (select o_orderkey as list_id, cast(10000000 + o_custkey % 5 as bigint) as loc_id from orders
+                  where o_orderpriority <> '5-LOW') r
+            join mkt_regions on region_id = r.loc_id left join names on names.list_id = r.list_id
+            left join (select list_id, loc_id, count(*) as n_lines, {totals} from lines group by list_id, loc_id) t
+              on t.list_id = r.list_id and t.loc_id = r.loc_id""",
+            stats_views("region"), LIVE, _INVENTORY, _LINES, _STORED,
+        ),
         "paste_blocks": sql(
             "select list_id, type_id, 2 * quantity as quantity from inventory", _INVENTORY
         ),
@@ -470,7 +517,7 @@ tree as (
 
 def refdata_oracles() -> dict[str, str]:
     children = """select coalesce(parent_group_id, 0) as opened_group_id, parent_group_id,
-                         market_group_id, group_name, has_types from mkt_groups"""
+                         market_group_id, group_name, icon_id, has_types from mkt_groups"""
     listed = "from mkt_types where market_group_id is not null"
     return {
         "published_types": sql(f"select type_id, type_name, volume {listed} and published"),
@@ -484,6 +531,19 @@ def refdata_oracles() -> dict[str, str]:
         "market_group_children": sql(children),
         "market_group_roots": sql(children + " where parent_group_id is null"),
         "market_group_types": sql(f"select market_group_id, type_id, type_name, icon_id {listed}"),
+        "market_group_doc": sql("""
+            select opened_group_id, cast(to_json(struct_pack(
+                     marketgroups := coalesce(marketgroups, []), types := coalesce(types, []),
+                     groupid := opened_group_id)) as varchar) as document
+            from (
+              select coalesce(parent_group_id, 0) as opened_group_id, list(struct_pack("marketGroupName" := group_name,
+                       "marketGroupID" := market_group_id, "iconID" := icon_id, "hasTypes" := has_types)
+                       order by group_name, market_group_id) as marketgroups
+              from mkt_groups group by all)
+            full join (
+              select market_group_id as opened_group_id, list(struct_pack("typeName" := type_name,
+                       "typeID" := type_id, "iconID" := icon_id) order by type_name, type_id) as types
+              from mkt_types where market_group_id is not null group by all) using (opened_group_id)"""),
         "market_group_tree": sql("select * from tree", _TREE).replace("with ", "with recursive ", 1),
         "security_class": sql("""
             select system_id, security, case when security > 0.5 then 'high'
@@ -624,7 +684,7 @@ def feed_oracles() -> dict[str, str]:
         ),
         "snapshot_files": sql("""
             select 'orderset-' || order_set * 5 || '.csv.gz' as name,
-                   '/books/orderset-' || order_set * 5 || '.csv.gz' as path from mkt_manifest"""),
+                   'orderset-' || order_set * 5 || '.csv.gz' as path from mkt_manifest"""),
         "aggregate_dump": sql(
             """
             select loc_id || '|' || type_id || '|' || case when buy then 'true' else 'false' end as what,

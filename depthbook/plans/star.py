@@ -109,12 +109,14 @@ class Market:
             (100 * category + F.substring("p_brand", 7, 9).cast("int")).alias("market_group_id"),
             category.alias("parent_group_id"),
             F.col("p_brand").alias("group_name"),
+            (category % 100).alias("icon_id"),
             F.lit(True).alias("has_types"),
         )
         roots = part.select(
             category.alias("market_group_id"),
             F.lit(None).cast("int").alias("parent_group_id"),
             F.col("p_type").alias("group_name"),
+            (category % 100).alias("icon_id"),
             F.lit(False).alias("has_types"),
         )
         return leaves.distinct().unionByName(roots.distinct())
@@ -192,6 +194,19 @@ class Market:
             expected.cast("long").alias("expected_qty"),
         )
 
+    @property
+    def pasted_more(self) -> DataFrame:
+        """Lines of the rarer forms: licences, a quantity between tabs, a name between tabs, unknown names."""
+        key = F.col("p_partkey")
+        number = key.cast("string")
+        line = (
+            F.when(key % 4 == 0, F.concat(F.lit("30 Day Pilot Licence "), number, F.lit("\t5\tlicence")))
+            .when(key % 4 == 1, F.concat("p_name", F.lit("\t1,7"), number, F.lit("\tcrate")))
+            .when(key % 4 == 2, F.concat(F.lit("hangar\t"), "p_name", F.lit("\tcrate")))
+            .otherwise(F.concat(F.lit("nothing known "), number))
+        )
+        return self.table("part").select(key.alias("list_id"), line.alias("line"))
+
     # ------------------------------------------------------------ landed feeds
 
     @property
