@@ -32,9 +32,9 @@ from depthbook.llm.common import python_path, stored, table, text_key, text_of
 FIT_ROWS = 20_000
 FOLDS = 5
 #: Words per category; how many documents must hold one; how far its counts must be from chance (root of chi-square).
-MOST_WORDS = 64
+MOST_WORDS = 300
 LEAST_DOCS = 4
-LEAST_CHI = 6.0
+LEAST_CHI = 5.5
 #: Without any chosen word a score is about one half (both classes weigh the same), so more than that is asked for.
 THRESHOLD = 0.6
 RIDGE = 0.5
