@@ -2,8 +2,6 @@
 
 # --- fixed values: scopes -------------------------------------------------
 GLOBAL_LOC = 0
-HUB_STATIONS = (60003760, 60008494, 60011866, 60004588, 60005686)
-HUB_SYSTEMS = (30000142, 30000144)
 
 # --- fixed values: regions ------------------------------------------------
 FIRST_REGION, LAST_REGION = 10000001, 10000069

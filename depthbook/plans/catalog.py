@@ -14,6 +14,7 @@ from depthbook.operators import appraisal, boards, depth, listing, lookup, refda
 from depthbook.plans.star import Market
 from depthbook.sources import pages, snapshots
 from depthbook.sources import refdata as documents
+from depthbook.streaming.snapshots import read_latest
 from depthbook.streaming.snapshots import stream_aggregates as start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -474,21 +475,33 @@ def retained_orders(m: Market) -> DataFrame:
     return kept.select("order_set", "order_id", "type_id", "station_id", "volume", "price")
 
 
-def stream_aggregates(m: Market) -> DataFrame:
-    """Publish every snapshot, let the stream aggregate them, read what it stored."""
+def _streamed(m: Market) -> str:
+    """Publish every snapshot, in a manifest file each, and let the stream aggregate all scopes, some
+    snapshots a batch; then publish one again, as when its pages have landed anew."""
     spark = m.spark
     root = new_path(spark, "stream")
-    snapshots.append_snapshot(m.orders, f"{root}/orders")
-    m.manifest.select(F.col("order_set").cast("long"), "downloaded").write.parquet(
-        f"{root}/manifest"
-    )
-    start_stream(
-        spark, f"{root}/orders", f"{root}/manifest", f"{root}/aggregates", f"{root}/checkpoint"
-    ).awaitTermination()
-    stored = spark.read.parquet(f"{root}/aggregates")
+    paths = [f"{root}/{part}" for part in ("orders", "manifest", "aggregates", "checkpoint")]
+    snapshots.append_snapshot(m.orders, paths[0])
+    manifest = m.manifest.select(F.col("order_set").cast("long"), "downloaded")
+    again = manifest.where("order_set = 3")
+    for published in (manifest, again):
+        published.write.mode("append").option("maxRecordsPerFile", 1).parquet(paths[1])
+        start_stream(
+            spark, *paths, serving_path=f"{root}/serving", latest_path=f"{root}/latest", stations=m.stations
+        ).awaitTermination()
+    return root
+
+
+def stream_aggregates(m: Market) -> DataFrame:
+    stored = m.spark.read.parquet(f"{_streamed(m)}/aggregates")
     return stored.select(*depth.GROUP, *depth.STATISTICS)
 
 
+def stream_latest(m: Market) -> DataFrame:
+    """The serving row that a key/value store would hold for every key after all batches."""
+    return read_latest(m.spark, f"{_streamed(m)}/latest")
+
+
 QUERIES = [
     agg_region,
     agg_global,
@@ -566,6 +579,7 @@ QUERIES = [
     aggregate_dump,
     retained_orders,
     stream_aggregates,
+    stream_latest,
 ]
 
 

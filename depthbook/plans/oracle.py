@@ -697,7 +697,13 @@ def feed_oracles() -> dict[str, str]:
             select order_set, order_id, type_id, station_id, volume, price from mkt_orders
             where timestamp '2024-01-01' + order_set * interval 12 hour
               >= timestamp '2024-01-04 12:00:00' - interval 2 day"""),
-        "stream_aggregates": sql(f"select {STATS_COLUMNS} from stats", stats_views("region")),
+        "stream_aggregates": sql(f"select {STATS_COLUMNS} from stats", stats_views("all")),
+        "stream_latest": sql(
+            """select key, order_set, payload, downloaded + interval 5400 second as expires_at from (
+              select s.*, downloaded, row_number() over (partition by key order by s.order_set desc) as n
+              from serving s join mkt_manifest m on s.order_set = m.order_set) where n = 1""",
+            stats_views("all"), _SERVING,
+        ),
     }
 
 
