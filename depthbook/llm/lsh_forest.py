@@ -24,6 +24,7 @@ component has null ids; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -355,3 +356,26 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+ORACLE_OP5 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY x, y),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes s ON x = s.doc_id JOIN sizes t ON y = t.doc_id
+  WHERE 100 * shared >= {PERCENT} * (s.n + t.n - shared)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT x, y FROM edges UNION SELECT r.x, b.y FROM reach r JOIN edges b ON r.y = b.x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, y) AS component_id,
+       d.doc_id = least(d.doc_id, y) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON d.doc_id = x
+"""

@@ -27,7 +27,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": url_filter.ORACLE_OP1,
+        "op2_secret_scan": secret_scan.ORACLE_OP2,
         "op3_quality_ledger": quality_ledger.ORACLE_OP3,
+        "op5_lsh_forest": lsh_forest.ORACLE_OP5,
         "op6_reply_trees": reply_trees.ORACLE_OP6,
         "op7_stream_dedup": stream_dedup.ORACLE_OP7,
     }

@@ -4,8 +4,8 @@ Base findings come from three patterns. The method adds strings of 20 and more c
 strings explains better than a model of ordinary identifiers: both are tables of how often a character follows another,
 and a string's score is the mean logarithm of the ratio of the two, in thousandths.
 
-The models are trained from labelled samples. Ordinary: words of six and more characters from the corpus that no
-base pattern marks. Random: what the base patterns mark, and for every sampled document the hash of its id written in
+The models are trained from labelled samples. Ordinary: words of the corpus of 6 to 19 characters that no base
+pattern marks, so none that is to be judged. Random: what the base patterns mark, and for every sampled document the hash of its id written in
 three alphabets. Sampled are all documents up to `fit_rows`, beyond that an even share by the hash of the id. The
 tables are at most 67 x 67 whole numbers, so they are held in the plan as one literal.
 
@@ -35,7 +35,8 @@ HEX = r"[0-9a-f]{24,}"  # runs are maximal, so asking for 24 finds the same as d
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_-="
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST_RANDOM = 20
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST_RANDOM},}}"
 ORDINARY = r"[A-Za-z0-9+/_=-]{6,}"
 KINDS = ["assign", "access", "hex", "random"]
 
@@ -79,7 +80,8 @@ def fit_models(docs: DataFrame, fit_rows: int = FIT_ROWS) -> list[int]:
     base64 = F.base64(F.unhex(key))
     drawn = F.array(base64, key, F.upper(F.translate(base64, "+/=", "")))
     marked = rows.select(_value_texts(F.col("text")).alias("marked"), drawn.alias("drawn"), "text")
-    ordinary = F.array_except(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0)), F.col("marked"))
+    short = F.filter(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0)), lambda w: F.length(w) < LEAST_RANDOM)
+    ordinary = F.array_except(short, F.col("marked"))
     labelled = marked.select(
         F.explode(
             F.concat(
@@ -187,3 +189,68 @@ def redacted(docs: DataFrame, ratios: list[int]) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secret_report(docs, fit_models(docs))
+
+
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _sql_spans(kind: int, pattern: str, group: int, condition: str) -> str:
+    """SQL for rows (k, kind, s, e, v) of a pattern's matches."""
+    pattern = _sql_text(pattern)
+    return f"""
+  SELECT k, {kind} AS kind, s, s + length(h) AS e, v FROM (
+    SELECT k, hits[i] AS h, vals[i] AS v,
+           list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+             + coalesce(list_sum(list_transform(hits[1:i - 1], lambda g: length(g))), 0) AS s
+    FROM (
+      SELECT k, hits, vals, gaps, unnest(range(1, len(hits) + 1)) AS i FROM (
+        SELECT k, regexp_extract_all(t, {pattern}) AS hits, regexp_extract_all(t, {pattern}, {group}) AS vals,
+               regexp_split_to_array(t, {pattern}) AS gaps
+        FROM texts)))
+  WHERE {condition}"""
+
+
+_MARKED = " || ".join(f"regexp_extract_all(t, {_sql_text(p)}, {g})" for p, g in ((ASSIGN, 2), (ACCESS, 0), (HEX, 0)))
+_BASE64 = "to_base64(unhex(sha256(id)))"
+#: For tables of at most FIT_ROWS documents, all of which the models are fitted on.
+ORACLE_OP2 = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, coalesce(CAST(doc_id AS VARCHAR), '') AS id FROM documents),
+marks AS (SELECT *, list_filter({_MARKED}, lambda v: length(v) >= {LEAST_ASSIGN}) AS marked FROM texts),
+samples AS (
+  SELECT 1 AS random, unnest(marked || [{_BASE64}, sha256(id), upper(translate({_BASE64}, '+/=', ''))]) AS word FROM marks
+  UNION ALL
+  SELECT 0, unnest(list_distinct(list_filter(regexp_extract_all(t, {_sql_text(ORDINARY)}),
+                                             lambda w: length(w) < {LEAST_RANDOM} AND NOT list_contains(marked, w)))) FROM marks),
+pairs AS (
+  SELECT random, substr(word, i, 2) AS pair FROM (SELECT random, word, unnest(range(1, length(word))) AS i FROM samples)
+  WHERE regexp_full_match(substr(word, i, 2), '[A-Za-z0-9+/_=-]{{2}}')),
+counts AS (
+  SELECT pair, count(*) FILTER (random = 1) AS r, count(*) FILTER (random = 0) AS o FROM pairs GROUP BY pair),
+totals AS (
+  SELECT coalesce(sum(r), 0) + {SMOOTH * len(ALPHABET) ** 2} AS tr, coalesce(sum(o), 0) + {SMOOTH * len(ALPHABET) ** 2} AS t_o,
+         coalesce(sum(o), 0) > 0 AS any_o FROM counts),
+base AS ({_sql_spans(0, ASSIGN, 2, f"length(v) >= {LEAST_ASSIGN}")}
+  UNION ALL {_sql_spans(1, ACCESS, 0, f"length(h) >= {LEAST_ACCESS}")}
+  UNION ALL {_sql_spans(2, HEX, 0, "true")}),
+tokens AS ({_sql_spans(3, CANDIDATE, 0, "true")}),
+scored AS (
+  SELECT k, s, e, sum(CASE WHEN any_o THEN floor(1000 * ln((coalesce(r, 0) + {SMOOTH}) / tr
+                        / ((coalesce(o, 0) + {SMOOTH}) / t_o)) + 0.5) ELSE 0 END) / (e - s - 1) AS score
+  FROM (SELECT *, unnest(range(1, length(v))) AS i FROM tokens)
+  LEFT JOIN counts ON pair = substr(v, i, 2) CROSS JOIN totals GROUP BY k, s, e),
+every AS (
+  SELECT k, kind, s, e FROM base
+  UNION ALL
+  SELECT k, 3, s, e FROM scored c WHERE score >= {LEAST_SCORE}
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.k = c.k AND b.s <= c.s AND c.e <= b.e)),
+listed AS (
+  SELECT k, {", ".join(f"count(*) FILTER (kind = {i}) AS n_{name}" for i, name in enumerate(KINDS))},
+         string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (kind < 3) AS first,
+         string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) AS spans
+  FROM (SELECT *, ['assign', 'access', 'hex', 'random'][kind + 1] AS name FROM every) GROUP BY k)
+SELECT doc_id, {", ".join(f"coalesce(n_{name}, 0) AS n_{name}" for name in KINDS)},
+       sha256(coalesce(first, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (k)
+"""

@@ -130,3 +130,32 @@ def test_ablations(odd_docs):
         mask, bit = quality_ledger.mask(quality_ledger.POLICIES[r.policy]), quality_ledger.mask([r.rule])
         assert r.n_docs == len(bits) and r.n_kept == sum(b & mask == 0 for b in bits)
         assert r.n_failed == sum(b & bit != 0 for b in bits) and r.n_alone == sum(b & mask == bit for b in bits)
+
+
+def test_random_strings_equal_sql(spark, tmp_path):
+    """Scores and spans of random-looking strings, in Spark and in SQL."""
+    import base64
+    import random
+
+    import duckdb
+
+    from conftest import prose
+
+    rng = random.Random(6)
+    texts = []
+    for i in range(60):
+        text = prose(rng, 80)
+        if i % 3 == 0:
+            text += " " + base64.b64encode(rng.randbytes(24)).decode().rstrip("=") + " " + "-".join(["plain", "words", "here", "again"])
+        texts.append(text if i % 7 else f"{text} token: {SECRETS[i % len(SECRETS)]}")
+    folder = str(tmp_path)
+    spark.createDataFrame(list(enumerate([None, *texts])), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    found = secret_scan.op2_secret_scan(spark, folder)
+    columns = sorted(found.columns)
+    rows = sorted(tuple(r[c] for c in columns) for r in found.collect())
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
+    result = con.execute(secret_scan.ORACLE_OP2)
+    names = [d[0] for d in result.description]
+    assert rows == sorted(tuple(r[names.index(c)] for c in columns) for r in result.fetchall())
+    assert sum(r[columns.index("n_random")] for r in rows) >= 20
