@@ -42,8 +42,10 @@ KINDS = ["assign", "access", "hex", "random"]
 
 #: The bound of the training sample. Everything else covers all documents.
 FIT_ROWS = 4_000
-#: Smoothing per pair, and the least mean log ratio (thousandths of a nat) of a finding.
+#: Added to each pair's count: little for ordinary words, whose pairs are few, and more for random strings, which
+#: have all pairs about equally often. Then the least mean log ratio (thousandths of a nat) of a finding.
 SMOOTH = 0.5
+SMOOTH_RANDOM = 10
 LEAST_SCORE = 1_000
 
 
@@ -95,10 +97,11 @@ def fit_models(docs: DataFrame, fit_rows: int = FIT_ROWS) -> list[int]:
     counted = pairs.where(F.col("pair").rlike("^[A-Za-z0-9+/_=-]{2}$")).groupBy("random", "pair").count().collect()
     counts = {(r["random"], r["pair"]): r["count"] for r in counted}
     size = len(ALPHABET) ** 2
-    total = {k: sum(v for (kind, _), v in counts.items() if kind == k) + SMOOTH * size for k in (0, 1)}
+    added = {0: SMOOTH, 1: SMOOTH_RANDOM}
+    total = {k: sum(v for (kind, _), v in counts.items() if kind == k) + added[k] * size for k in (0, 1)}
     if total[0] == SMOOTH * size:
         return [0] * size
-    ratio = lambda p: math.log((counts.get((1, p), 0) + SMOOTH) / total[1] / ((counts.get((0, p), 0) + SMOOTH) / total[0]))
+    ratio = lambda p: math.log((counts.get((1, p), 0) + SMOOTH_RANDOM) / total[1] / ((counts.get((0, p), 0) + SMOOTH) / total[0]))
     return [math.floor(1000 * ratio(a + b) + 0.5) for a in ALPHABET for b in ALPHABET]
 
 
@@ -229,14 +232,14 @@ pairs AS (
 counts AS (
   SELECT pair, count(*) FILTER (random = 1) AS r, count(*) FILTER (random = 0) AS o FROM pairs GROUP BY pair),
 totals AS (
-  SELECT coalesce(sum(r), 0) + {SMOOTH * len(ALPHABET) ** 2} AS tr, coalesce(sum(o), 0) + {SMOOTH * len(ALPHABET) ** 2} AS t_o,
+  SELECT coalesce(sum(r), 0) + {SMOOTH_RANDOM * len(ALPHABET) ** 2} AS tr, coalesce(sum(o), 0) + {SMOOTH * len(ALPHABET) ** 2} AS t_o,
          coalesce(sum(o), 0) > 0 AS any_o FROM counts),
 base AS ({_sql_spans(0, ASSIGN, 2, f"length(v) >= {LEAST_ASSIGN}")}
   UNION ALL {_sql_spans(1, ACCESS, 0, f"length(h) >= {LEAST_ACCESS}")}
   UNION ALL {_sql_spans(2, HEX, 0, "true")}),
 tokens AS ({_sql_spans(3, CANDIDATE, 0, "true")}),
 scored AS (
-  SELECT k, s, e, sum(CASE WHEN any_o THEN floor(1000 * ln((coalesce(r, 0) + {SMOOTH}) / tr
+  SELECT k, s, e, sum(CASE WHEN any_o THEN floor(1000 * ln((coalesce(r, 0) + {SMOOTH_RANDOM}) / tr
                         / ((coalesce(o, 0) + {SMOOTH}) / t_o)) + 0.5) ELSE 0 END) / (e - s - 1) AS score
   FROM (SELECT *, unnest(range(1, length(v))) AS i FROM tokens)
   LEFT JOIN counts ON pair = substr(v, i, 2) CROSS JOIN totals GROUP BY k, s, e),
