@@ -54,7 +54,9 @@ def best_paths(posts: DataFrame, per_tree: int | None = None) -> DataFrame:
         if open_now == open_before:
             raise ValueError(f"{open_now} posts have no root: their parents form a cycle")
         open_before = open_now
-        jumps.append(state.where("up is not null").select("tree_id", "node_id", "up"))
+        # Posts that have reached their root take no further part.
+        going = state.where("up is not null")
+        jumps.append(going.select("tree_id", "node_id", "up"))
         above = state.select(
             F.col("tree_id").alias("t"),
             F.col("node_id").alias("n"),
@@ -62,16 +64,15 @@ def best_paths(posts: DataFrame, per_tree: int | None = None) -> DataFrame:
             F.col("score").alias("score_"),
             F.col("depth").alias("depth_"),
         )
-        joined = state.join(above, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left")
-        state = checkpointed(
-            joined.select(
-                "tree_id",
-                "node_id",
-                F.col("up_").alias("up"),
-                (F.col("score") + F.coalesce("score_", F.lit(0.0))).alias("score"),
-                (F.col("depth") + F.coalesce("depth_", F.lit(0))).alias("depth"),
-            )
+        joined = going.join(above, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")))
+        moved = joined.select(
+            "tree_id",
+            "node_id",
+            F.col("up_").alias("up"),
+            (F.col("score") + F.col("score_")).alias("score"),
+            (F.col("depth") + F.col("depth_")).alias("depth"),
         )
+        state = checkpointed(state.where("up is null").unionByName(moved))
     parents = links.where("up is not null").select(F.col("tree_id").alias("t"), F.col("up").alias("n")).distinct()
     leaves = state.join(parents, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("node_id") == F.col("n")), "left_anti")
     ranked = Window.partitionBy("tree_id").orderBy(F.desc("score"), F.desc("depth"), "node_id")
