@@ -1,10 +1,10 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
 A text is split into pre-tokens, which BPE encodes one by one. Documents are taken in blocks of a few megabytes. A block
-sends each of its distinct pre-tokens once, with its number in the block; the pre-tokens of all blocks meet by word, sorted,
-so each distinct word is encoded once; its ids go back to the blocks. There they meet the block's documents, given as the
+sends each of its distinct pre-tokens once, gathered by hash buckets; the pre-tokens of all blocks meet by bucket, where
+each distinct word is encoded once, and its ids go back to the blocks. There they meet the block's documents, given as the
 numbers of their pre-tokens by position, and are put together in that order. Numbers travel instead of words and ids,
-so what is shuffled stays below the size of the input. A frequent word is one row per block, not one per occurrence.
+packed, so what is shuffled stays near the size of the input. A frequent word is sent once per block, not per occurrence.
 
 Both passes over the documents have to see the same blocks. They do for a table of files; anything else is to be
 `common.stored` first. A checksum of a block's words guards this: where the passes differ, the job fails.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Bytes of text of a block; a longer document is a block of its own.
 BLOCK_BYTES = 8_000_000
+#: Buckets of words. A block sends one row per bucket; more of them suit more than a few hundred tasks.
+BUCKETS = 512
+#: Words of a block with the lowest numbers, and words a task remembers within a bucket before it starts anew.
+FREQUENT = 16_384
+MOST_WORDS = 300_000
 #: Bytes of what a task hands on at a time.
 BATCH_BYTES = 2_000_000
 
@@ -65,20 +72,53 @@ class _Numbers(dict):
         return number
 
 
-def _planes(numbers: list[int]) -> bytes:
-    """Four-byte numbers, all lowest bytes first: the higher planes are almost empty and shrink when compressed."""
+def _packed(numbers: np.ndarray) -> bytes:
+    """Four-byte numbers with all lowest bytes first, so that the higher ones, mostly equal, shrink."""
     return np.asarray(numbers, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _from_planes(planes: bytes) -> list[int]:
-    return np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().tolist()
+def _numbers(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, dtype=np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-#: kind 0: a word of the block (n its number, body the word, later its ids); kind 1: a document (n its place, body its
-#: numbers). mark is the checksum of the block's words.
-_ROWS = "block long, kind byte, n long, doc_id long, body binary, mark long"
-_NAMES = ["block", "kind", "n", "doc_id", "body", "mark"]
-_TYPES = [pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+def _pack_parts(parts: list[bytes], unit: int = 1) -> bytes:
+    """Byte strings as one, with their lengths in units."""
+    body = b"".join(parts)
+    lengths = _packed(np.fromiter((len(p) // unit for p in parts), dtype="<u4", count=len(parts)))
+    if unit == 4:
+        body = _packed(np.frombuffer(body, "<u4"))
+    return _compress(len(parts).to_bytes(4, "little") + lengths + body)
+
+
+def _unpack_parts(packed: bytes, unit: int = 1) -> list[bytes]:
+    packed = _expand(packed)
+    n = int.from_bytes(packed[:4], "little")
+    ends = np.cumsum(_numbers(packed[4 : 4 + 4 * n]).astype(np.int64)) * unit
+    body = packed[4 + 4 * n :]
+    if unit == 4:
+        body = _numbers(body).tobytes()
+    at, parts = 0, []
+    for end in ends.tolist():
+        parts.append(body[at:end])
+        at = end
+    return parts
+
+
+def _compress(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _expand(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+#: kind 0: words of the block that fall into one bucket, in the order of the buckets (n: how many words lie before;
+#: body: the words, later their ids). kind 1: which words, by that order, are the block's most frequent ones. kind 2: a
+#: document (n: its place in the block; body: its words as numbers, the frequent ones first, then all by that order).
+#: mark is the checksum of the block's words.
+_ROWS = "bucket long, block long, kind byte, n long, doc_id long, body binary, mark long"
+_NAMES = ["bucket", "block", "kind", "n", "doc_id", "body", "mark"]
+_TYPES = [pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -90,61 +130,79 @@ def _in_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     part, size = [], 0
     for row in rows:
         part.append(row)
-        size += 60 + len(row[4])
+        size += 60 + len(row[5])
         if size > BATCH_BYTES:
             yield _batch(part)
             part, size = [], 0
     yield _batch(part)
 
 
-def _split(kind: int, block_bytes: int) -> Callable:
-    """Blocks of documents as rows of words (kind 0) or of documents (kind 1)."""
+def _finished(block: int, numbers: _Numbers, docs: list | None, buckets: int) -> Iterator[tuple]:
+    """The rows of a block: of its words, or of its documents if given."""
+    words = [w.encode() for w in numbers]
+    mark = xxhash.xxh3_64_intdigest(b"\x00".join(words)) >> 1
+    bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), dtype=np.int64, count=len(words))
+    order = np.argsort(bucket, kind="stable")
+    if docs is None:
+        starts = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(words)] if words else []
+        for start, end in itertools.pairwise(starts):
+            part = order[start:end].tolist()
+            yield int(bucket[part[0]]), block, 0, start, None, _pack_parts([words[i] for i in part]), mark
+        return
+    place = np.empty(len(words), dtype=np.int64)
+    place[order] = np.arange(len(words))
+    counts = np.bincount(np.concatenate([found for _, found in docs]), minlength=len(words))
+    top = np.argsort(-counts, kind="stable")[:FREQUENT]
+    code = place + len(top)
+    code[top] = np.arange(len(top))
+    yield 0, block, 1, 0, None, _compress(_packed(place[top])), mark
+    for n, (doc, found) in enumerate(docs):
+        yield 0, block, 2, n, doc, _compress(_packed(code[found])), mark
+
+
+def _split(documents: bool, block_bytes: int, buckets: int) -> Callable:
+    """Blocks of documents as rows of their words, or of the documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         find = _splitter().findall
         block = -1
         numbers, docs, size, count = _Numbers(), [], 0, 0
-
-        def finished() -> Iterator[tuple]:
-            mark = xxhash.xxh3_64_intdigest("\x00".join(numbers).encode()) >> 1
-            if kind:
-                for n, (doc, planes) in enumerate(docs):
-                    yield block, 1, n, doc, planes, mark
-            else:
-                for word, n in numbers.items():
-                    yield block, 0, n, None, word.encode(), mark
-
         for batch in batches:
             if block < 0 and len(batch):
                 block = batch.column(2)[0].as_py() << 36
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
                 text = text.as_py()
                 if count and size + len(text) > block_bytes:
-                    yield from finished()
+                    yield from _finished(block, numbers, docs if documents else None, buckets)
                     block += 1
                     numbers, docs, size, count = _Numbers(), [], 0, 0
                 found = list(map(numbers.__getitem__, find(text)))
-                if kind:
-                    docs.append((doc.as_py(), _planes(found)))
+                if documents:
+                    docs.append((doc.as_py(), np.asarray(found, dtype=np.uint32)))
                 size += len(text)
                 count += 1
         if count:
-            yield from finished()
+            yield from _finished(block, numbers, docs if documents else None, buckets)
 
     return lambda batches: _in_batches(rows(batches))
 
 
 def _encode(ranks: str) -> Callable:
-    """Words in order, so equal ones stand together and are encoded once."""
+    """Rows of words come by bucket; what a bucket's rows share is encoded once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         encode = _encoding(ranks).encode_ordinary
-        last, ids = None, b""
+        bucket, known = None, {}
         for batch in batches:
-            for block, n, word, mark in zip(*[batch.column(i).to_pylist() for i in (0, 2, 4, 5)], strict=True):
-                if word != last:
-                    last, ids = word, np.asarray(encode(word.decode()), dtype="<u4").tobytes()
-                yield block, 0, n, None, ids, mark
+            for of, block, _, n, _, body, mark in zip(*batch.columns, strict=True):
+                if of.as_py() != bucket or len(known) > MOST_WORDS:
+                    bucket, known = of.as_py(), {}
+                ids = []
+                for word in _unpack_parts(body.as_py()):
+                    if word not in known:
+                        known[word] = np.asarray(encode(word.decode()), dtype="<u4").tobytes()
+                    ids.append(known[word])
+                yield 0, block.as_py(), 0, n.as_py(), None, _pack_parts(ids, 4), mark.as_py()
 
     return lambda batches: _in_batches(rows(batches))
 
@@ -157,17 +215,21 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "ids"])
 
     for batch in batches:
-        for of, kind, n, doc, body, check in zip(*batch.columns, strict=True):
+        for _, of, kind, n, doc, body, check in zip(*batch.columns, strict=True):
             if of.as_py() != block:
                 block, words, mark = of.as_py(), [], check.as_py()
             kind = kind.as_py()
             if check.as_py() != mark or kind == 0 and n.as_py() != len(words):
                 raise RuntimeError("the documents came in other blocks the second time; store them first")
             if kind == 0:
-                words.append(body.as_py())
+                words += _unpack_parts(body.as_py(), 4)
+                continue
+            numbers = _numbers(_expand(body.as_py())).tolist()
+            if kind == 1:
+                words = [words[i] for i in numbers] + words
                 continue
             docs.append(doc.as_py())
-            found.append(b"".join([words[i] for i in _from_planes(body.as_py())]))
+            found.append(b"".join([words[i] for i in numbers]))
             size += len(found[-1])
             if size > BATCH_BYTES:
                 yield made()
@@ -175,15 +237,15 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield made()
 
 
-def encoded(docs: DataFrame, ranks: str = RANKS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encoded(docs: DataFrame, ranks: str = RANKS, block_bytes: int = BLOCK_BYTES, buckets: int = BUCKETS) -> DataFrame:
     """doc_id and ids (unsigned 32-bit integers, little end first) of every document."""
     spark = docs.sparkSession
     python_path(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long"), text_of("text").alias("text"), F.spark_partition_id().alias("part"))
-    words = texts.mapInArrow(_split(0, block_bytes), _ROWS)
-    words = words.repartition(parts, "body").sortWithinPartitions("body").mapInArrow(_encode(ranks), _ROWS)
-    places = texts.mapInArrow(_split(1, block_bytes), _ROWS)
+    words = texts.mapInArrow(_split(False, block_bytes, buckets), _ROWS)
+    words = words.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_encode(ranks), _ROWS)
+    places = texts.mapInArrow(_split(True, block_bytes, buckets), _ROWS)
     both = words.union(places).repartition(parts, "block").sortWithinPartitions("block", "kind", "n")
     return both.mapInArrow(_assemble, "doc_id long, ids binary")
 
