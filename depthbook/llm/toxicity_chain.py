@@ -64,16 +64,28 @@ class Link:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, total))))
 
 
-def _solve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge logistic regression with both classes of equal weight, by Newton steps; the first column is the bias."""
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _solve(x: np.ndarray, extra: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Ridge logistic regression with both classes of equal weight, by Newton steps, in slices of rows.
+
+    x: presence of words (bytes of 0 and 1); extra: the bias and the earlier probabilities. Weights: extra, then words.
+    """
     share = np.where(y, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
-    penalty = np.full(x.shape[1], RIDGE)
+    n_extra, size = extra.shape[1], extra.shape[1] + x.shape[1]
+    penalty = np.full(size, RIDGE)
     penalty[0] = 1e-6
-    w = np.zeros(x.shape[1])
+    w = np.zeros(size)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (share * (p - y)) + penalty * w
-        curve = (x * (share * p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9)
+        gradient, curve = penalty * w, np.diag(penalty + 1e-9)
+        for at in range(0, len(y), 1000):
+            part = slice(at, at + 1000)
+            rows = np.concatenate([extra[part], x[part]], axis=1)
+            p = _sigmoid(rows @ w)
+            gradient += rows.T @ (share[part] * (p - y[part]))
+            curve += (rows * (share[part] * p * (1 - p))[:, None]).T @ rows
         step = np.linalg.solve(curve, gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -81,21 +93,33 @@ def _solve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _fit_link(name: str, chosen: list[bytes], rows: list[set[bytes]], y: np.ndarray, before: list[np.ndarray]) -> Link:
-    if not len(y) or y.all() or not y.any():
-        return Link(name, earlier=[0.0] * len(before))
-    at = {w: i + 1 for i, w in enumerate(chosen)}
-    x = np.zeros((len(rows), 1 + len(chosen) + len(before)))
-    x[:, 0] = 1
-    for i, present in enumerate(rows):
-        for w in present:
-            if w in at:
-                x[i, at[w]] = 1
-    for k, p in enumerate(before):
-        x[:, 1 + len(chosen) + k] = p
-    w = _solve(x, y)
-    n = 1 + len(chosen)
-    return Link(name, float(w[0]), dict(zip(chosen, map(float, w[1:n]), strict=True)), [float(v) for v in w[n:]])
+def _fit_link(
+    name: str, chosen: list[bytes], x: np.ndarray, y: np.ndarray, before: list[np.ndarray], use: np.ndarray
+) -> tuple[Link, np.ndarray]:
+    """The link fitted on the rows `use`, and its probabilities for all rows."""
+    extra = np.stack([np.ones(len(y)), *before], axis=1)
+    if not use.any() or y[use].all() or not y[use].any():
+        return Link(name, earlier=[0.0] * len(before)), np.zeros(len(y))
+    w = _solve(x[use], extra[use], y[use])
+    n = extra.shape[1]
+    link = Link(name, float(w[0]), dict(zip(chosen, map(float, w[n:]), strict=True)), [float(v) for v in w[1:n]])
+    return link, _sigmoid(extra @ w[:n] + x @ w[n:])
+
+
+def _to_places(words: list[bytes]):
+    """Which of the words a document has, as two-byte places in the list."""
+    at = {w: i for i, w in enumerate(words)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                np.array(sorted(at[w] for w in row.as_py() if w in at), dtype="<u2").tobytes() for row in batch.column(0)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.binary()), *batch.columns[1:]], ["present", *batch.schema.names[1:]]
+            )
+
+    return run
 
 
 def _to_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,29 +162,38 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     )
     sample = stored(sample, "labelled")
     chosen = {(name, f): _chosen(sample, name, f) for name in names for f in [None, *(range(FOLDS) if name != names[-1] else [])]}
-    every = spark.createDataFrame([(sorted({w for c in chosen.values() for w in c}),)], "chosen array<binary>")
-    # Bounded: the sample's rows, each with at most the chosen words.
+    every = sorted({w for c in chosen.values() for w in c})
+    # Bounded: the sample's rows, each with two bytes for a chosen word.
     rows = (
-        sample.join(every)
-        .select("doc_id", "key", *names, "fold", F.array_intersect("words", "chosen").alias("present"))
+        sample.select("words", "doc_id", "key", *names, "fold")
+        .mapInArrow(_to_places(every), "present binary, doc_id long, key long, " + "".join(f"{n} int, " for n in names) + "fold int")
         .orderBy("doc_id", "key")
         .collect()
     )
-    present = [{bytes(w) for w in r.present} for r in rows]
+    present = [np.frombuffer(r.present, dtype="<u2") for r in rows]
     folds = np.array([r.fold for r in rows], dtype=int)
+    place = {w: i for i, w in enumerate(every)}
+
+    def matrix(words: list[bytes]) -> np.ndarray:
+        column = np.full(len(every), -1)
+        column[[place[w] for w in words]] = np.arange(len(words))
+        x = np.zeros((len(rows), len(words)), dtype=np.uint8)
+        for i, found in enumerate(present):
+            columns = column[found]
+            x[i, columns[columns >= 0]] = 1
+        return x
+
     links: list[Link] = []
     before: list[np.ndarray] = []
     for name in names:
         y = np.array([r[name] for r in rows], dtype=bool)
-        links.append(_fit_link(name, chosen[name, None], present, y, before))
+        links.append(_fit_link(name, chosen[name, None], matrix(chosen[name, None]), y, before, np.ones(len(y), dtype=bool))[0])
         if name == names[-1]:
             break
         unseen = np.zeros(len(rows))
         for f in range(FOLDS):
-            inside = np.flatnonzero(folds != f)
-            link = _fit_link(name, chosen[name, f], [present[i] for i in inside], y[inside], [p[inside] for p in before])
-            for i in np.flatnonzero(folds == f):
-                unseen[i] = link.odds(present[i], [p[i] for p in before])
+            p = _fit_link(name, chosen[name, f], matrix(chosen[name, f]), y, before, folds != f)[1]
+            unseen[folds == f] = p[folds == f]
         before.append(unseen)
     return links
 
