@@ -58,6 +58,9 @@ def stream_groups(arrivals_path: str, arrivals: DataFrame, state_dir: str) -> Da
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         # Else every partition of the state sets aside 4 MB for its manifest.
         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+        # One limit for all stores of an executor, which stay open for a while after the stream has ended.
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     }
     with _settings(spark, settings):
         groups = (
