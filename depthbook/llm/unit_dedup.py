@@ -1,10 +1,16 @@
-"""Substring de-duplication by hashing lines and sentences.
+"""Substring de-duplication by hashing lines, sentences and passages.
 
 A text's units are its lines, and the sentences of lines that hold several, as passages are often pasted into a line. A
 unit is normalised: runs of letters and digits in lower case (ASCII), other ASCII signs and white space apart. Lines of
 `LINE_WORDS` words and sentences of `SENTENCE_WORDS` words and more take part; shorter ones repeat by chance.
+Every `PASSAGE` words in a row, wherever they start, are a unit too, so a pasted passage goes to its last word.
 
-Digests (128 bits) are grouped over all documents. The occurrence in the document with the smallest id stays, in a
+One digest a word would be too much to send. Of each passage the `ANCHOR` words with the smallest hash are its anchor; equal
+passages have equal anchors, and neighbours mostly share theirs. Anchors are grouped with the lines and sentences, and
+only passages whose anchor is in several documents are digested and grouped in a second round. Passages within a line
+that is removed anyway are left out there: an earlier document holds them with the line.
+
+Digests (127 bits and a bit for the kind) are grouped over all documents. The occurrence in the document with the smallest id stays, in a
 document the first one; all others are removed. Spans are kept in characters of the original text. A task sends each of
 a document's digests once, the group of a digest is its smallest id and a count, combined before the shuffle, so a unit
 that every document holds is one row per task; its join back is a plain join that splits a skewed key.
@@ -18,6 +24,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +34,8 @@ from depthbook.llm.common import python_path, table, text_key, text_of
 
 LINE_WORDS = 4
 SENTENCE_WORDS = 6
+PASSAGE = 50
+ANCHOR = 10
 LAST_ID = 2**63 - 1
 
 _SENTENCE_END = re.compile(r"(?<=[.!?…。！？])\s+")
@@ -34,9 +43,106 @@ _SPACES = bytes.maketrans(
     bytes(c for c in range(128) if not chr(c).isalnum()), b" " * sum(not chr(c).isalnum() for c in range(128))
 )
 
+#: Hashes that choose anchors and tell equal passages of one text; digests are made of the words themselves.
+_BYTE = np.random.default_rng(8).integers(1, 2**63, 256, dtype=np.uint64)
+_PLACE = np.random.default_rng(9).integers(1, 2**63, 4096, dtype=np.uint64) | np.uint64(1)
+_STEP = 0x9E3779B97F4A7C15
 
-def units(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, normalised) of every unit that takes part; a line goes before its sentences."""
+
+def _key(unit: bytes, anchor: bool = False) -> tuple[int, int]:
+    """A unit's digest; the last bit tells anchors."""
+    digest = xxhash.xxh3_128_digest(unit)
+    low = int.from_bytes(digest[8:], "big", signed=True)
+    return int.from_bytes(digest[:8], "big", signed=True), low | 1 if anchor else low & ~1
+
+
+def _runs(hashes: np.ndarray, length: int) -> np.ndarray:
+    """The hash of every `length` neighbours, put together from runs of powers of two."""
+    found, done, power, size = None, 0, hashes, 1
+    while True:
+        if length & size:
+            if found is None:
+                found = power
+            else:
+                n = len(hashes) - done - size + 1
+                found = found[:n] * np.uint64(pow(_STEP, size, 2**64)) + power[done : done + n]
+            done += size
+        if done == length:
+            return found ^ (found >> np.uint64(31))
+        power = power[:-size] * np.uint64(pow(_STEP, size, 2**64)) + power[size:]
+        size *= 2
+
+
+class _Passages:
+    """The passages of a text by the number of their first word."""
+
+    def __init__(self, text: str):
+        self.raw = text.encode("utf-8", "surrogatepass")
+        self.plain = self.raw.translate(_SPACES).lower()
+        at = np.frombuffer(self.plain + b" ", np.uint8)
+        edges = np.flatnonzero(np.diff(at != 32, prepend=False))
+        self.starts, self.ends = edges[::2], edges[1::2]
+        self.n = max(0, len(self.starts) - PASSAGE + 1)
+        if not self.n:
+            return
+        place = np.arange(len(at)) - np.repeat(np.r_[0, self.starts], np.diff(np.r_[0, self.starts, len(at)]))
+        words = np.add.reduceat(_BYTE[at] * _PLACE[place & 4095], edges)[::2]
+        words = (words ^ (words >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        self.words = words ^ (words >> np.uint64(32))
+        sizes = self.ends - self.starts + 1
+        self.joined = b" " + b" ".join(self.plain.split())
+        self.first = np.cumsum(sizes) - sizes  # of the space before each word
+
+    def unit(self, word: int, length: int = PASSAGE) -> bytes:
+        """Unlike a line or a sentence it starts with a space."""
+        last = word + length - 1
+        return self.joined[self.first[word] : self.first[last] + 1 + self.ends[last] - self.starts[last]]
+
+    def anchors(self) -> np.ndarray:
+        """The first word of every passage's anchor; of equal hashes the first."""
+        runs = _runs(self.words, ANCHOR)
+        mixed = (runs ^ (runs >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        views = np.lib.stride_tricks.sliding_window_view(mixed ^ (mixed >> np.uint64(33)), PASSAGE - ANCHOR + 1)
+        return np.arange(self.n) + np.concatenate([views[i : i + 10_000].argmin(axis=1) for i in range(0, self.n, 10_000)])
+
+    def anchor_keys(self) -> dict[int, tuple[int, int]]:
+        return {a: _key(self.unit(a, ANCHOR), anchor=True) for a in np.unique(self.anchors()).tolist()} if self.n else {}
+
+    def found_by(self, keys: set[tuple[int, int]]) -> np.ndarray:
+        """The passages whose anchor is among the keys."""
+        known = [a for a, key in self.anchor_keys().items() if key in keys]
+        return np.flatnonzero(np.isin(self.anchors(), known)) if known else np.array([], np.int64)
+
+    def again(self) -> dict[int, int]:
+        """Passages that the text holds before: where it does first."""
+        if not self.n:
+            return {}
+        _, first, back = np.unique(_runs(self.words, PASSAGE), return_index=True, return_inverse=True)
+        first = first[back]
+        late = np.flatnonzero(first < np.arange(self.n)).tolist()
+        if not late:
+            return {}
+        # Equal hashes of different words are told apart here.
+        known: dict[bytes, int] = {}
+        for i in sorted({*late, *first[late].tolist()}):
+            known.setdefault(self.unit(i), i)
+        return {i: known[self.unit(i)] for i in late if known[self.unit(i)] < i}
+
+    def spans(self, passages: np.ndarray, again: dict[int, int]) -> tuple[list[int], list[int]]:
+        """Starts and ends in characters, with the signs that follow up to the next word or line. Where a passage overlaps
+        the first equal one of its text, it starts after it."""
+        starts = np.asarray([max(i, again[i] + PASSAGE) if i in again else i for i in passages.tolist()], np.int64)
+        raw = np.frombuffer(self.raw, np.uint8)
+        chars = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
+        ends = self.ends[passages + PASSAGE - 1]
+        stops = np.minimum(np.r_[self.starts, len(raw)][passages + PASSAGE], len(raw))
+        lines = np.r_[np.flatnonzero(raw == 10), len(raw)]
+        stops = np.minimum(stops, lines[np.searchsorted(lines, ends)])
+        return chars[self.starts[starts]].tolist(), chars[stops].tolist()
+
+
+def _lines(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, normalised) of lines and sentences that take part; a line goes before its sentences."""
     at = 0
     for line in text.split("\n"):
         start, at = at, at + len(line) + 1
@@ -55,44 +161,107 @@ def units(text: str) -> Iterator[tuple[int, int, bytes]]:
                 yield start + a, start + b, b" ".join(words)
 
 
-def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def units(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, normalised) of every unit that takes part: lines and sentences, then all passages."""
+    yield from _lines(text)
+    found = _Passages(text)
+    if found.n:
+        starts, ends = found.spans(np.arange(found.n), found.again())
+        yield from ((a, b, found.unit(i)) for i, (a, b) in enumerate(zip(starts, ends, strict=True)))
+
+
+def _rows(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "key", "h1", "h2"]
     for batch in batches:
         docs, keys, first, second = [], [], [], []
-        for doc, key, text in zip(*[c.to_pylist() for c in batch.columns[:2]], batch.column(2), strict=True):
-            found = {xxhash.xxh3_128_digest(unit) for _, _, unit in units(text.as_py())}
-            docs += [doc] * len(found)
-            keys += [key] * len(found)
-            for digest in sorted(found):
-                first.append(int.from_bytes(digest[:8], "big", signed=True))
-                second.append(int.from_bytes(digest[8:], "big", signed=True))
-        for i in range(0, max(len(docs), 1), 100_000):
-            part = slice(i, i + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(c[part], pa.int64()) for c in (docs, keys, first, second)], names)
-
-
-def cut(text: str, repeated: set[tuple[int, int]]) -> list[list[int]]:
+
+        def made():
+            columns = [pa.array(c, pa.int64()) for c in (docs, keys, first, second)]
+            for c in (docs, keys, first, second):
+                c.clear()
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        for row in range(batch.num_rows):
+            doc, key = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+            for h1, h2 in sorted(keys_of(batch, row)):
+                docs.append(doc)
+                keys.append(key)
+                first.append(h1)
+                second.append(h2)
+                if len(docs) == 100_000:
+                    yield made()
+        yield made()
+
+
+def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys_of(batch, row):
+        text = batch.column(2)[row].as_py()
+        return {_key(unit) for _, _, unit in _lines(text)} | set(_Passages(text).anchor_keys().values())
+
+    return _rows(batches, keys_of)
+
+
+def _found(column: pa.Array, row: int) -> set[tuple[int, int]]:
+    return {(f["h1"], f["h2"]) for f in column[row].as_py() or ()}
+
+
+def _emit_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys_of(batch, row):
+        repeated = _found(batch.column(3), row)
+        if not any(h2 & 1 for _, h2 in repeated):
+            return ()
+        text = batch.column(2)[row].as_py()
+        found = _Passages(text)
+        passages = found.found_by(repeated)
+        starts, ends = found.spans(passages, {})
+        # Lines do not overlap, so the one that starts last before a passage is the one to hold it.
+        lines, at = [(0, 0)], 0
+        for line in text.split("\n"):
+            words = line.encode("utf-8", "surrogatepass").translate(_SPACES).lower().split()
+            if len(words) >= PASSAGE and _key(b" ".join(words)) in repeated:
+                lines.append((at, at + len(line)))
+            at += len(line) + 1
+        own = np.searchsorted([a for a, _ in lines], starts, side="right") - 1
+        return {
+            _key(found.unit(i))
+            for i, end, line in zip(passages.tolist(), ends, own.tolist(), strict=True)
+            if end > lines[line][1]
+        }
+
+    return _rows(batches, keys_of)
+
+
+def cut(text: str, repeated: set[tuple[int, int]], passages: set[tuple[int, int]] = frozenset()) -> list[list[int]]:
     """The spans to remove: units found elsewhere before, or before in this text; overlapping ones as one."""
-    spans: list[list[int]] = []
-    seen: set[bytes] = set()
-    for start, end, unit in units(text):
-        digest = xxhash.xxh3_128_digest(unit)
-        key = (int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True))
-        if digest in seen or key in repeated:
-            if spans and start <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], end)
-            else:
-                spans.append([start, end])
-        seen.add(digest)
-    return spans
+    spans: list[tuple[int, int]] = []
+    seen: set[tuple[int, int]] = set()
+    for start, end, unit in _lines(text):
+        key = _key(unit)
+        if key in seen or key in repeated:
+            spans.append((start, end))
+        seen.add(key)
+    found = _Passages(text)
+    again = found.again()
+    gone = set(again)
+    if passages:
+        gone.update(i for i in found.found_by(repeated).tolist() if _key(found.unit(i)) in passages)
+    if gone:
+        spans += zip(*found.spans(np.asarray(sorted(gone)), again), strict=True)
+    joined: list[list[int]] = []
+    for start, end in sorted(spans):
+        if joined and start <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], end)
+        else:
+            joined.append([start, end])
+    return joined
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, removed = [], []
-        for text, found in zip(batch.column(2), batch.column(3), strict=True):
-            text = text.as_py()
-            spans = cut(text, {(f["h1"], f["h2"]) for f in found.as_py() or ()})
+        for row in range(batch.num_rows):
+            text = batch.column(2)[row].as_py()
+            spans = cut(text, _found(batch.column(3), row), _found(batch.column(4), row))
             kept, at = [], 0
             for start, end in spans:
                 kept.append(text[at:start])
@@ -106,21 +275,31 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _repeated(found: DataFrame, name: str) -> DataFrame:
+    """Per row of documents the digests that an earlier document holds; of anchors all that several documents hold."""
+    groups = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    groups = groups.where("first < last").drop("last")
+    later = found.join(groups, ["h1", "h2"]).where("doc_id > first or h2 & 1 = 1")
+    # Bounded by a document's own units.
+    later = later.groupBy("doc_id", "key").agg(F.collect_list(F.struct("h1", "h2")).alias(name))
+    return later.select(F.col("doc_id").alias("rank"), "key", name)
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, text_key (tells rows of one id apart), the text that is left, and the spans removed from the original."""
     python_path(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), text_key("text").alias("text_key"), text_of("text").alias("text"))
     rank = F.coalesce("doc_id", F.lit(LAST_ID))
-    found = rows.select(rank.alias("doc_id"), "text_key", "text").mapInArrow(_emit, "doc_id long, key long, h1 long, h2 long")
-    groups = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    groups = groups.where("first < last").drop("last")
-    later = found.join(groups, ["h1", "h2"]).where("doc_id > first")
-    # Bounded by a document's own units.
-    later = later.groupBy("doc_id", "key").agg(F.collect_list(F.struct("h1", "h2")).alias("repeated"))
-    later = later.withColumnRenamed("doc_id", "rank")
-    rows = rows.join(later, (rank == F.col("rank")) & (F.col("text_key") == F.col("key")), "left")
+    digests = "doc_id long, key long, h1 long, h2 long"
+    found = rows.select(rank.alias("doc_id"), "text_key", "text").mapInArrow(_emit, digests)
+    repeated = _repeated(found, "repeated")
+    rows = rows.join(repeated, (rank == F.col("rank")) & (F.col("text_key") == F.col("key")), "left").drop("rank", "key")
+    known = rows.where("repeated is not null")
+    found = known.select(rank.alias("doc_id"), "text_key", "text", "repeated").mapInArrow(_emit_passages, digests)
+    passages = _repeated(found, "passages")
+    rows = rows.join(passages, (rank == F.col("rank")) & (F.col("text_key") == F.col("key")), "left")
     span = "array<struct<start:long,end:long>>"
-    return rows.select("doc_id", "text_key", "text", "repeated").mapInArrow(
+    return rows.select("doc_id", "text_key", "text", "repeated", "passages").mapInArrow(
         _clean, f"doc_id long, text_key long, text string, removed {span}"
     )
 

@@ -164,6 +164,37 @@ def test_repeated_units(spark, odd_docs, odd_rows, no_docs):
     assert unit_dedup.without_repeats(no_docs).count() == 0
 
 
+def test_passages_within_sentences(spark, no_docs):
+    """50 to 60 words without a stop, pasted between the words of a sentence, across lines, and twice into one text."""
+    rng = random.Random(4)
+
+    def plain(n):
+        return " ".join(prose(rng, n).replace(".", "").split())
+
+    rows, first = [], {}
+    for i, n in enumerate([50, 51, 53, 57, 60] * 4):
+        passage = plain(n)
+        first[100 + i] = passage
+        rows.append((i, f"{plain(9)} {passage} {plain(5)}.\n{prose(rng, 80)}"))
+        pasted = passage.upper().replace(" ", ", " if i % 2 else "\n", 1)
+        rows.append((100 + i, f"{plain(i % 7)} {pasted} {plain(i % 5)}. {prose(rng, 60)}"))
+    twice = plain(55)
+    rows += [(300, f"{plain(8)} {twice} {plain(9)} {twice} {plain(4)}"), (301, "one " * 120), (302, "a b c " * 60)]
+    rows += [(303, "one " * 70), (None, f"{plain(3)} {twice} {plain(3)}"), (304, plain(49)), (305, rows[0][1])]
+    rows.append((306, f"x {rows[-2][1]} y"))
+    found = unit_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text, sum(s.end - s.start for s in r.removed)) for r in found) == brute_units(rows)
+    by_id, texts = {r.doc_id: r for r in found}, dict(rows)
+    for doc, passage in first.items():
+        assert not by_id[doc - 100].removed
+        words = " ".join(texts[doc][s.start : s.end] for s in by_id[doc].removed).lower().replace(",", "").split()
+        assert " ".join(passage.split()) in " ".join(words)
+        assert len(words) <= len(passage.split()) + 2  # a neighbour may be the same word by chance
+    assert len(by_id[301].text.split()) == 50 and len(by_id[302].text.split()) == 50
+    assert by_id[303].text == "" and by_id[305].text == "" and not by_id[306].removed
+    assert by_id[300].text.count(twice) == 1 and twice not in by_id[None].text
+
+
 def test_digest_of_a_text(odd_docs):
     for r in stream_dedup.exact_duplicates(odd_docs.where("doc_id in (1, 10)")).collect():
         text = {1: "", 10: "Ünï cödé 漢字 😀 ok\x00\x1c é"}[r.doc_id]
