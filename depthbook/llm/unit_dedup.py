@@ -4,6 +4,7 @@ A text's units are its lines, and the sentences of lines that hold several, as p
 unit is normalised: runs of letters and digits in lower case (ASCII), other ASCII signs and white space apart. Lines of
 `LINE_WORDS` words and sentences of `SENTENCE_WORDS` words and more take part; shorter ones repeat by chance.
 Every `PASSAGE` words in a row, wherever they start, are a unit too, so a pasted passage goes to its last word.
+In scripts without spaces `WORD_CHARS` characters count as a word of a line or sentence, and one as a word of a passage.
 
 One digest a word would be too much to send. Of each passage the `ANCHOR` words with the smallest hash are its anchor; equal
 passages have equal anchors, and neighbours mostly share theirs. Anchors are grouped with the lines and sentences, and
@@ -34,11 +35,15 @@ from depthbook.llm.common import python_path, table, text_key, text_of
 
 LINE_WORDS = 4
 SENTENCE_WORDS = 6
+WORD_CHARS = 2
 PASSAGE = 50
 ANCHOR = 10
 LAST_ID = 2**63 - 1
 
-_SENTENCE_END = re.compile(r"(?<=[.!?…。！？])\s+")
+_SENTENCE_END = re.compile(r"(?<=[.!?…。！？])\s+|(?<=[。！？])(?=[^\s。！？」』”’）])")
+#: Thai, Lao, Myanmar, Khmer, kana, Han: first and last character.
+_SCRIPTS = [(0xE00, 0xEFF), (0x1000, 0x107F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4D7F), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+_SPACELESS = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _SCRIPTS) + "]")
 _SPACES = bytes.maketrans(
     bytes(c for c in range(128) if not chr(c).isalnum()), b" " * sum(not chr(c).isalnum() for c in range(128))
 )
@@ -73,6 +78,18 @@ def _runs(hashes: np.ndarray, length: int) -> np.ndarray:
         size *= 2
 
 
+def _spaceless_starts() -> np.ndarray:
+    """By the first two bytes of a character, whether its script has no spaces; the ranges are whole in these."""
+    known = np.zeros(65536, bool)
+    for first, last in _SCRIPTS:
+        low, high = (int.from_bytes(chr(c).encode()[:2], "big") for c in (first, last))
+        known[[c for c in range(low, high + 1) if 0x80 <= c & 0xFF < 0xC0]] = True
+    return known
+
+
+_STARTS = _spaceless_starts()
+
+
 class _Passages:
     """The passages of a text by the number of their first word."""
 
@@ -81,6 +98,13 @@ class _Passages:
         self.plain = self.raw.translate(_SPACES).lower()
         at = np.frombuffer(self.plain + b" ", np.uint8)
         edges = np.flatnonzero(np.diff(at != 32, prepend=False))
+        single = np.flatnonzero(_STARTS[at[:-1].astype(np.uint16) << 8 | at[1:]])
+        if len(single):
+            after = single + np.where(at[single] >= 0xF0, 4, 3)
+            starts = np.union1d(np.r_[edges[::2], single], np.setdiff1d(after, edges[1::2]))
+            edges = np.c_[starts, np.r_[starts[1:], len(at)]]
+            edges[:, 1] = np.minimum(edges[:, 1], np.flatnonzero(at == 32)[np.searchsorted(np.flatnonzero(at == 32), starts)])
+            edges = edges.ravel()
         self.starts, self.ends = edges[::2], edges[1::2]
         self.n = max(0, len(self.starts) - PASSAGE + 1)
         if not self.n:
@@ -90,8 +114,11 @@ class _Passages:
         words = (words ^ (words >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         self.words = words ^ (words >> np.uint64(32))
         sizes = self.ends - self.starts + 1
-        self.joined = b" " + b" ".join(self.plain.split())
         self.first = np.cumsum(sizes) - sizes  # of the space before each word
+        joined = np.full(sizes.sum(), 32, np.uint8)
+        kept = np.flatnonzero(at != 32)
+        joined[kept + np.repeat(self.first + 1 - self.starts, sizes - 1)] = at[kept]
+        self.joined = joined.tobytes()
 
     def unit(self, word: int, length: int = PASSAGE) -> bytes:
         """Unlike a line or a sentence it starts with a space."""
@@ -141,23 +168,31 @@ class _Passages:
         return chars[self.starts[starts]].tolist(), chars[stops].tolist()
 
 
+def _words(text: str) -> tuple[list[bytes], int]:
+    """The words and how many they count for."""
+    words = text.encode("utf-8", "surrogatepass").translate(_SPACES).lower().split()
+    chars = 0 if text.isascii() else len(_SPACELESS.findall(text))
+    return words, max(len(words), chars // WORD_CHARS)
+
+
 def _lines(text: str) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, normalised) of lines and sentences that take part; a line goes before its sentences."""
     at = 0
     for line in text.split("\n"):
         start, at = at, at + len(line) + 1
-        words = line.encode("utf-8", "surrogatepass").translate(_SPACES).lower().split()
-        if len(words) < LINE_WORDS:
+        whole, size = _words(line)
+        if size < LINE_WORDS:
             continue
-        yield start, min(at, len(text)), b" ".join(words)
-        if len(words) <= SENTENCE_WORDS:
+        yield start, min(at, len(text)), b" ".join(whole)
+        if size <= SENTENCE_WORDS:
             continue
         cuts = [0, *(m.end() for m in _SENTENCE_END.finditer(line)), len(line)]
         if len(cuts) == 2:
             continue
         for a, b in zip(cuts, cuts[1:], strict=False):
-            words = line[a:b].encode("utf-8", "surrogatepass").translate(_SPACES).lower().split()
-            if len(words) >= SENTENCE_WORDS:
+            words, size = _words(line[a:b])
+            # One that holds all words of the line would repeat it.
+            if size >= SENTENCE_WORDS and words != whole:
                 yield start + a, start + b, b" ".join(words)
 
 
@@ -217,8 +252,7 @@ def _emit_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         # Lines do not overlap, so the one that starts last before a passage is the one to hold it.
         lines, at = [(0, 0)], 0
         for line in text.split("\n"):
-            words = line.encode("utf-8", "surrogatepass").translate(_SPACES).lower().split()
-            if len(words) >= PASSAGE and _key(b" ".join(words)) in repeated:
+            if len(line) >= PASSAGE and _key(b" ".join(_words(line)[0])) in repeated:
                 lines.append((at, at + len(line)))
             at += len(line) + 1
         own = np.searchsorted([a for a, _ in lines], starts, side="right") - 1

@@ -195,6 +195,25 @@ def test_passages_within_sentences(spark, no_docs):
     assert by_id[300].text.count(twice) == 1 and twice not in by_id[None].text
 
 
+def test_scripts_without_spaces(spark):
+    rng = random.Random(5)
+    signs = [chr(c) for c in [*range(0x4E00, 0x4F00), *range(0x3042, 0x3090), *range(0xE01, 0xE2F), 0x20001, 0x20002]]
+
+    def plain(n):
+        return "".join(rng.choices(signs, k=n))
+
+    line, sentence, passage = plain(30), plain(14) + "。", plain(55)
+    rows = [(1, line), (2, f"abc\n{line}\n{plain(3)}"), (3, f"{plain(20)}。{sentence}{plain(9)}"), (4, f"{plain(15)}！{sentence}{plain(8)}")]
+    rows += [(5, f"{plain(9)} ok{passage}{plain(7)}"), (6, f"{plain(6)}{passage} and {plain(5)}"), (7, plain(20) + "。"), (8, "漢字"), (9, "漢字")]
+    rows += [(10, "six words that end in spaces here.  "), (11, "... six words that follow signs here")]
+    found = unit_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text, sum(s.end - s.start for s in r.removed)) for r in found) == brute_units(rows)
+    by_id = {r.doc_id: r.text for r in found}
+    assert line not in by_id[2] and sentence not in by_id[4] and passage not in by_id[6]
+    assert all(by_id[doc] == text for doc, text in rows if doc not in (2, 4, 6))
+    assert by_id[6] == rows[5][1].replace(passage + " ", "")
+
+
 def test_digest_of_a_text(odd_docs):
     for r in stream_dedup.exact_duplicates(odd_docs.where("doc_id in (1, 10)")).collect():
         text = {1: "", 10: "Ünï cödé 漢字 😀 ok\x00\x1c é"}[r.doc_id]
