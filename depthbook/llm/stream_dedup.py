@@ -9,7 +9,8 @@ A digest seen more than once is a hit: all texts behind hits are compared byte f
 text of each digest. Should they differ, the digest's rows are grouped by digest and text instead.
 
 Given `state_dir` the state is kept, and a later call with new rows continues from it; without it the call is complete
-in itself.
+in itself. Texts are kept with the arrivals there, as files behind locators may change or go, so new rows are compared with
+those of earlier calls too; a state whose arrivals have no texts raises an error at the first hit on them.
 
 Cases: null texts count as empty texts; rows that repeat id and text are one group and are all marked kept where the id
 is the group's largest; null ids lose against any other, a group of null ids alone has a null `keep_id` and is kept
@@ -101,14 +102,19 @@ def exact_duplicates(docs: DataFrame, state_dir: str | None = None) -> DataFrame
     path = shared_folder(spark, "arrivals")
     if state_dir:
         path = f"{state_dir}/arrivals"
-    arrivals = docs.select("doc_id", _digest().alias("digest"), "locator")
-    arrivals.write.mode("append").parquet(path)
+    texts = docs.select(text_of("text").alias("text"), _digest().alias("digest"), "doc_id", "locator")
+    arrivals = texts.select("doc_id", "digest", "locator")
+    # One write, so that arrivals and their texts cannot part.
+    (texts if state_dir else arrivals).write.mode("append").parquet(path)
+    if state_dir:
+        texts = spark.read.schema(texts.schema).parquet(path)
     arrivals = spark.read.schema(arrivals.schema).parquet(path)
     if arrivals.isEmpty():
         return _shaped(arrivals.withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(0).cast("long")}))
     groups = stored(stream_groups(path, arrivals, state), "groups")
     hits = groups.where("group_size > 1").select("digest")
-    texts = docs.select(text_of("text").alias("text"), _digest().alias("digest"), "doc_id", "locator")
+    if state_dir and not texts.where("text is null").join(hits, "digest", "left_semi").isEmpty():
+        raise ValueError(f"arrivals of earlier calls in {state_dir} were kept without their texts")
     unequal = (
         texts.join(hits, "digest", "left_semi")
         .groupBy("digest")

@@ -129,6 +129,23 @@ def test_state_goes_on(spark, odd_docs, odd_rows, tmp_path):
     assert {(5, 3), (6, 3), (7, 3)} <= sizes
 
 
+def test_kept_state_compares_bytes(spark, odd_docs, odd_rows, tmp_path, monkeypatch):
+    """All digests are one of two, so new rows must be told from those of an earlier call by their bytes."""
+    digest = stream_dedup._digest
+    monkeypatch.setattr(stream_dedup, "_digest", lambda c="text": F.to_binary(F.substring(F.hex(digest(c)), 1, 1), F.lit("utf-8")))
+    state = str(tmp_path / "state")
+    stream_dedup.exact_duplicates(odd_docs.where("doc_id < 8"), state).count()
+    again = stream_dedup.exact_duplicates(odd_docs.where("doc_id is null or doc_id >= 8"), state)
+    assert found_groups(again) == brute_groups([(r[0], r[1]) for r in odd_rows])
+
+
+def test_state_without_texts(spark, odd_docs, tmp_path):
+    docs = odd_docs.where("doc_id = 5").withColumn("locator", F.lit(""))
+    docs.select("doc_id", stream_dedup._digest().alias("digest"), "locator").write.parquet(str(tmp_path / "arrivals"))
+    with pytest.raises(ValueError, match="without their texts"):
+        stream_dedup.exact_duplicates(odd_docs.where("doc_id = 6"), str(tmp_path))
+
+
 def brute_units(rows):
     first = {}
     for doc, text in sorted(rows, key=lambda r: unit_dedup.LAST_ID if r[0] is None else r[0]):
