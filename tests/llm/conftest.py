@@ -1,21 +1,9 @@
 import random
 
 import pytest
+from text_support import prose
 
 SCHEMA = "doc_id long, text string, lang string, node long, key string, digest string, root long, rank int, n long, found string, count long"
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
-
-
-def prose(rng, n, vocabulary=400):
-    """n words of a small random language, in sentences and lines."""
-    words = ["".join(random.Random(i).choices(LETTERS, k=2 + i % 7)) for i in range(vocabulary)]
-    out = []
-    for i in range(n):
-        word = rng.choice(words)
-        if i % 11 == 10:
-            word += "." if i % 3 else ".\n"
-        out.append(word)
-    return " ".join(out)
 
 
 @pytest.fixture(scope="session")

@@ -5,7 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import prose
+from text_support import prose
 from pyspark.sql import functions as F
 
 from depthbook.llm import components, lsh_forest, stream_dedup, unit_dedup

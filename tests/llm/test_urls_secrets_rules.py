@@ -139,7 +139,7 @@ def test_random_strings_equal_sql(spark, tmp_path):
 
     import duckdb
 
-    from conftest import prose
+    from text_support import prose
 
     rng = random.Random(6)
     texts = []
