@@ -5,8 +5,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-FOLDER = "/root/testdata/sf0.001"
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
@@ -27,11 +26,8 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def market(spark):
+    from market_support import FOLDER
+
     from depthbook.plans.star import Market
 
     return Market(spark, FOLDER)
-
-
-def as_set(frame, columns=None):
-    rows = frame.select(*columns).collect() if columns else frame.collect()
-    return sorted((tuple(r) for r in rows), key=repr)

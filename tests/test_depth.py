@@ -7,7 +7,7 @@ from collections import defaultdict
 from decimal import Decimal
 
 import pytest
-from conftest import as_set
+from market_support import as_set
 
 from depthbook.operators import depth, skew
 

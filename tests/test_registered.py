@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import FOLDER
+from market_support import FOLDER
 
 import __spark_entry__ as entry
 from depthbook.plans import catalog, oracle

@@ -5,7 +5,7 @@ import os
 from datetime import datetime
 
 import pytest
-from conftest import as_set
+from market_support import as_set
 
 from depthbook.operators import listing, refdata
 from depthbook.sources import pages, snapshots
