@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depthbook.llm import lsh_forest, packing, quality_ledger, reply_trees, secret_scan, stream_dedup, toxicity_chain, unit_dedup, url_filter, word_bpe
+from depthbook.llm import (
+    lsh_forest,
+    packing,
+    piece_spans,
+    quality_ledger,
+    reply_trees,
+    secret_scan,
+    spectrum_whitening,
+    stream_dedup,
+    token_groups,
+    toxicity_chain,
+    unit_dedup,
+    url_filter,
+    word_bpe,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_unit_dedup": unit_dedup.op8_unit_dedup,
         "op9_toxicity_chain": toxicity_chain.op9_toxicity_chain,
         "op10_packing": packing.op10_packing,
+        "op11_spectrum_whitening": spectrum_whitening.op11_spectrum_whitening,
+        "op12_token_groups": token_groups.op12_token_groups,
+        "op13_piece_spans": piece_spans.op13_piece_spans,
     }
 
 
