@@ -6,9 +6,9 @@ byte of the text it comes from is noted. Pieces are found on the normalised text
 span of bytes of the original through that record. As the library does, a character spelled in bytes gives its span to
 the last of them; the others are empty, and so is the mark put before a text.
 
-No merge can join two neighbouring characters that no piece holds side by side. The normalised text is cut there, first
-before spaces and around characters that stand alone in all pieces, then within what is new; a task merges each such part
-once and remembers its ids and lengths (`REMEMBERED` entries, then anew: a matter of speed, not of results).
+No merge can join two neighbouring characters that no piece holds side by side. The normalised text is cut at such places
+(before spaces, between letters and signs, around characters that stand alone); a task merges each part once and remembers
+its ids and lengths (`REMEMBERED` entries, then anew: a matter of speed, not of results).
 
 Every document is worked on where it is read: nothing is shuffled, a repeated task gives the same rows.
 
@@ -23,6 +23,7 @@ import functools
 import hashlib
 import heapq
 import itertools
+import math
 import re
 import struct
 from array import array
@@ -42,7 +43,7 @@ SPACE = "▁"
 REMEMBERED = 400_000
 #: Characters of a part beyond which its neighbours wait in a heap; a matter of speed too.
 LONG = 400
-NEVER = float("inf")
+NEVER = math.inf
 #: Bytes of what a task hands on at a time.
 BATCH_BYTES = 2_000_000
 
@@ -152,17 +153,32 @@ class Model:
         self.unknown_text = trainer.get(44, b" \xe2\x81\x87 ").decode()
         if len(self.byte_ids) < 256:
             self.byte_ids = {}
-        # Characters that some piece holds beside another one. Where pieces have spaces within, only these can cut.
-        several = [name for name in self.number if len(name) > 1]
-        self.pairs = {name[i : i + 2] for name in several for i in range(len(name) - 1)}
-        joined = "".join(map(re.escape, sorted(set("".join(several)) - {SPACE})))
-        if any(SPACE in name.lstrip(SPACE) for name in several):
-            self.cuts = re.compile(f"[{joined}{SPACE}]+|.", re.DOTALL)
-        else:
-            self.cuts = re.compile(f"{SPACE}*[{joined}]+|{SPACE}+|." if joined else ".", re.DOTALL)
+        self.cuts = re.compile(self._parts(), re.DOTALL)
         self.sizes = [len(name.encode()) for name in self.names]
         self.shown = [self._shown(i) for i in range(len(self.names))]
 
+    def _parts(self) -> str:
+        """A pattern for the parts of a text that merge by themselves.
+
+        A cut is safe between neighbours that no piece holds side by side. Characters that stand alone in all pieces are parts;
+        spaces start one, where no piece has them within; and letters are cut from signs, in the directions in which no piece
+        has both.
+        """
+        several = [name for name in self.number if len(name) > 1]
+        pairs = {name[i : i + 2] for name in several for i in range(len(name) - 1)}
+        known = sorted(set("".join(several)) - {SPACE})
+        letters, signs = ("".join(re.escape(c) for c in known if c.isalpha() == kind) for kind in (True, False))
+        if any(pair[1] == SPACE != pair[0] for pair in pairs):
+            return f"[{letters}{signs}{SPACE}]+|."
+        if not letters or not signs:
+            return f"{SPACE}*[{letters}{signs}]+|{SPACE}+|." if known else f"{SPACE}+|."
+        crossed = {(x.isalpha(), y.isalpha()) for x, y in pairs if x != SPACE}
+        if (True, False) in crossed:
+            body = f"[{letters}{signs}]+"
+        else:
+            body = f"[{signs}]*[{letters}]+|[{signs}]+" if (False, True) in crossed else f"[{letters}]+|[{signs}]+"
+        return f"{SPACE}*(?:{body})|{SPACE}+|."
+
     def _set_rule(self, compiled: bytes, prefix: int, squeeze: int, escape: int) -> None:
         self.map = character_map(compiled)
         self.prefix, self.squeeze, self.space = bool(prefix), bool(squeeze), SPACE if escape else " "
@@ -233,14 +249,17 @@ class Model:
             return self._merged_long(texts)
         rank = self.ranks.get
         ranks = [rank(left + right, NEVER) for left, right in itertools.pairwise(texts)]
-        while ranks and (best := min(ranks)) < NEVER:
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
+                break
             i = ranks.index(best)
-            texts[i : i + 2] = [texts[i] + texts[i + 1]]
+            texts[i] = whole = texts[i] + texts.pop(i + 1)
             del ranks[i]
             if i:
-                ranks[i - 1] = rank(texts[i - 1] + texts[i], NEVER)
+                ranks[i - 1] = rank(texts[i - 1] + whole, NEVER)
             if i < len(ranks):
-                ranks[i] = rank(texts[i] + texts[i + 1], NEVER)
+                ranks[i] = rank(whole + texts[i + 1], NEVER)
         return texts
 
     def _merged_long(self, texts: list[str]) -> list[str]:
@@ -268,12 +287,6 @@ class Model:
             consider(left, after[left])
         return [t for t in texts if t]
 
-    def apart(self, part: str) -> list[str]:
-        """The part cut between neighbours that no piece holds side by side."""
-        pairs = self.pairs
-        at = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in pairs]
-        return [part[a:b] for a, b in zip([0, *at], [*at, len(part)], strict=True)] if at else [part]
-
     def coded(self, part: str) -> list[int]:
         """Ids of a part, each followed by its length in bytes; of a character spelled in bytes the last has all."""
         out: list[int] = []
@@ -348,12 +361,7 @@ class Encoder(dict):
         self.model = model
 
     def __missing__(self, part: str) -> bytes:
-        parts = self.model.apart(part)
-        if len(parts) > 1:
-            found = b"".join(map(self.__getitem__, parts))
-        else:
-            found = array("I", self.model.coded(part)).tobytes()
-        self[part] = found
+        self[part] = found = array("I", self.model.coded(part)).tobytes()
         return found
 
     def pieces(self, normalised: str) -> tuple[np.ndarray, np.ndarray]:
