@@ -56,12 +56,16 @@ def with_station_system(orders: DataFrame, stations: DataFrame, how: str = "inne
     return orders.drop("system_id").join(located, "station_id", how)
 
 
-def all_scope_levels(orders: DataFrame, stations: DataFrame) -> DataFrame:
+def all_scope_levels(orders: DataFrame, stations: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Levels of the global, region, system and station scopes from one scan.
 
     Orders are folded to levels of the finest location first, so the fourfold
-    expansion applies to levels and not to orders.
+    expansion applies to levels and not to orders. With `wanted` (loc_id, type_id, each pair
+    once) only these are made: orders of other types leave before the first fold, other
+    places right after the expansion.
     """
+    if wanted is not None:
+        orders = orders.join(wanted.select("type_id").distinct(), "type_id", "left_semi")
     places = ["region_id", "station_id"]
     key = ["order_set", "type_id", "buy", "price"]
     fine = orders.groupBy(*places, *key).agg(F.sum("volume").alias("volume"))
@@ -71,12 +75,12 @@ def all_scope_levels(orders: DataFrame, stations: DataFrame) -> DataFrame:
         F.col("system_id").cast("long"),
         F.col("station_id").cast("long"),
     )
-    return (
-        with_station_system(fine, stations, "left")
-        .select(*key, "volume", F.explode(F.array_compact(locations)).alias("loc_id"))
-        .groupBy(*GROUP, "price")
-        .agg(F.sum("volume").alias("volume"))
+    placed = with_station_system(fine, stations, "left").select(
+        *key, "volume", F.explode(F.array_compact(locations)).alias("loc_id")
     )
+    if wanted is not None:
+        placed = placed.join(wanted, ["loc_id", "type_id"], "left_semi")
+    return placed.groupBy(*GROUP, "price").agg(F.sum("volume").alias("volume"))
 
 
 # ------------------------------------------------------------------ the walk
@@ -252,10 +256,11 @@ def aggregate_scope(
 
 
 def aggregate_all_scopes(
-    orders: DataFrame, stations: DataFrame, hot_rows: int = HOT_ROWS
+    orders: DataFrame, stations: DataFrame, hot_rows: int = HOT_ROWS, wanted: DataFrame | None = None
 ) -> DataFrame:
-    """Statistics of every global, region, system and station location in one pass."""
-    return depth_stats(all_scope_levels(orders, stations), hot_rows=hot_rows)
+    """Statistics of every global, region, system and station location in one pass, or of the
+    `wanted` (loc_id, type_id) only."""
+    return depth_stats(all_scope_levels(orders, stations, wanted), hot_rows=hot_rows)
 
 
 def wide_aggregates(aggregates: DataFrame) -> DataFrame:

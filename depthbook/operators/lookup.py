@@ -12,6 +12,7 @@ from depthbook.functions.text import market_key, number_text, payload, payload_f
 from depthbook.operators.depth import STATISTICS
 
 REQUEST_COLUMNS = ("region", "station", "system", "types")
+KEY = ["loc_id", "type_id", "buy"]
 
 
 # ------------------------------------------------------------- serving rows
@@ -120,20 +121,30 @@ def _exact_id(text: Column) -> Column:
     return F.when(text.rlike("^(0|[1-9][0-9]*)$"), text.try_cast("long"))
 
 
-def lookup_aggregates(requests: DataFrame, aggregates: DataFrame) -> DataFrame:
-    """Both sides of every requested type; what is not on the market is zero.
-
-    `aggregates` hold one row per location, type and side, see `live_statistics`.
-    """
-    wanted = (
+def _requested(requests: DataFrame) -> DataFrame:
+    """The tokens of each request with the ids they stand for."""
+    return (
         resolve_requests(requests)
         .withColumn("loc_id", _exact_id(F.col("place")))
         .withColumn("type_id", _exact_id(F.col("token")))
-        .withColumn("buy", F.explode(F.array(F.lit(True), F.lit(False))))
     )
+
+
+def wanted_keys(requests: DataFrame) -> DataFrame:
+    """Every (loc_id, type_id) that is asked for, once: what has to be aggregated to answer."""
+    return _requested(requests).select("loc_id", "type_id").dropna().distinct()
+
+
+def lookup_aggregates(requests: DataFrame, aggregates: DataFrame) -> DataFrame:
+    """Both sides of every requested type; what is not on the market is zero.
+
+    `aggregates` hold one row per location, type and side, see `live_statistics`; of `wanted_keys`
+    are enough.
+    """
+    wanted = _requested(requests).withColumn("buy", F.explode(F.array(F.lit(True), F.lit(False))))
     known = aggregates.select("loc_id", "type_id", "buy", *STATISTICS)
     numbers = [F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in STATISTICS]
-    return wanted.join(known, ["loc_id", "type_id", "buy"], "left").select(
+    return wanted.join(known, KEY, "left").select(
         "request_id",
         "place",
         "token",
@@ -142,6 +153,16 @@ def lookup_aggregates(requests: DataFrame, aggregates: DataFrame) -> DataFrame:
     )
 
 
+def store_for_lookup(aggregates: DataFrame, table: str, path: str, buckets: int = 64) -> None:
+    """Keep live statistics as a table bucketed and sorted by what lookups join on, so that a
+    batch of requests is exchanged and the table is not. `buckets` grow with the table: files of
+    some hundred megabytes."""
+    keys = [F.col(k) for k in KEY]
+    rows = aggregates.select(*KEY, *STATISTICS).repartition(buckets, *keys)
+    writer = rows.write.mode("overwrite").bucketBy(buckets, *KEY).sortBy(*KEY)
+    writer.option("path", path).saveAsTable(table)
+
+
 def lookup_document(requests: DataFrame, aggregates: DataFrame) -> DataFrame:
     """One JSON entry `{"buy": {…}, "sell": {…}}` per requested type.
 

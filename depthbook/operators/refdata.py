@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,22 @@ def _dictionary(rows: DataFrame, value: str, label: str, by_locale: bool) -> Dat
     return chosen.orderBy(by_name, "value")
 
 
+def positions_by_locale(entries: DataFrame) -> DataFrame:
+    """Entries (value, label) with their `position`, from 1, in the order of the language's rules: letters first, then
+    accents, case not at all; equal labels by value.
+
+    Entries are split into ranges by the collation's own order and written once; a range is numbered by itself and goes
+    on from the counts of the ranges before it, of which there is a row each.
+    """
+    order = [F.collate("label", "UNICODE_CI"), F.col("value")]
+    ranged = checkpointed(entries.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    counts = ranged.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("part", before.alias("before"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    return ranged.join(starts, "part").select("value", "label", (F.col("before") + place).alias("position"))
+
+
 def dict_types(types: DataFrame, by_locale: bool = False) -> DataFrame:
     """Types with a market group, also unpublished ones."""
     listed = types.where(F.col("market_group_id").isNotNull())
@@ -49,6 +67,37 @@ def search_types(types: DataFrame, term: str) -> DataFrame:
     return dict_types(types).where(found)
 
 
+def _grams(text: Column, size: Column) -> Column:
+    """All runs of `size` characters of a text; a shorter text is its own run."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    return F.transform(places, lambda i: F.substring(text, i, size))
+
+
+def search_index(types: DataFrame) -> DataFrame:
+    """Postings of the type dictionary: every run of two and of three characters of a name, in lower case, with the
+    entry (gram, value), once each."""
+    grams = [_grams(F.lower("label"), F.lit(n)) for n in (2, 3)]
+    return dict_types(types).select("value", F.explode(F.array_distinct(F.concat(*grams))).alias("gram"))
+
+
+def search_many(types: DataFrame, index: DataFrame, terms: DataFrame) -> DataFrame:
+    """Entries (term, value, label) whose name holds the term, for a table of terms; terms of one character find nothing.
+
+    A term meets the postings of its rarest gram only, and what they name is compared with the whole term. A gram that no
+    name has ends the search.
+    """
+    low = F.lower("term")
+    asked = terms.where(F.length("term") >= 2).select("term").distinct()
+    runs = _grams(low, F.least(F.length(low), F.lit(3)))
+    asked = asked.select("term", F.explode(F.array_distinct(runs)).alias("gram"))
+    counts = index.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = asked.join(counts, "gram", "left").groupBy("term").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("best")
+    )
+    found = rarest.select("term", "best.gram").join(index, "gram").join(dict_types(types), "value")
+    return found.where(F.lower("label").contains(low)).select("term", "value", "label")
+
+
 def in_region_universe(region: Column) -> Column:
     """Regions that have a feed."""
     return region.between(FIRST_REGION, LAST_REGION) & ~region.isin(*REGIONS_WITHOUT_FEED)
@@ -212,6 +261,40 @@ def missing_types(wanted: DataFrame, landed: DataFrame) -> DataFrame:
     return wanted.select("type_id").distinct().join(landed.select("type_id"), "type_id", "left_anti")
 
 
+def append_delivery(spark: SparkSession, path: str, delivered: DataFrame, number: int, at: datetime) -> None:
+    """Merge a delivery of type records into the catalogue kept under `path`.
+
+    Only the types it changes or adds are written, as rows of the delivery; a repeated delivery writes the same.
+    """
+    merged = upsert_types(catalogue(spark, path, number - 1), delivered)
+    _write_delivery(merged.subtract(catalogue(spark, path, number - 1).select(*merged.columns)), path, number, at)
+
+
+def start_catalogue(types: DataFrame, path: str, at: datetime) -> None:
+    """The catalogue before any delivery; it has number 0."""
+    _write_delivery(types, path, 0, at)
+
+
+def _write_delivery(rows: DataFrame, path: str, number: int, at: datetime) -> None:
+    stamped = rows.withColumn("valid_from", F.lit(at).cast("timestamp_ntz"))
+    stamped.write.mode("overwrite").parquet(f"{path}/delivery={number}")
+
+
+def catalogue(spark: SparkSession, path: str, number: int) -> DataFrame:
+    """The types as a delivery left them: of every type the row of the last delivery that changed it."""
+    rows = spark.read.parquet(path).where(F.col("delivery") <= number)
+    fields = [c for c in rows.columns if c not in ("type_id", "valid_from", "delivery")]
+    last = rows.groupBy("type_id").agg(F.max_by(F.struct(*fields), "delivery").alias("row"))
+    return last.select("type_id", "row.*")
+
+
+def catalogue_history(spark: SparkSession, path: str) -> DataFrame:
+    """Every version of every type, from when and until when it held (NULL: still)."""
+    following = Window.partitionBy("type_id").orderBy("delivery")
+    rows = spark.read.parquet(path)
+    return rows.withColumn("valid_to", F.lead("valid_from").over(following)).drop("delivery")
+
+
 def structure_regions(stations: DataFrame, systems: DataFrame) -> DataFrame:
     """Structures whose own feed has to be read, with their region."""
     structures = stations.where(F.col("station_id") > FIRST_STRUCTURE_ID)

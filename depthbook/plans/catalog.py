@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from depthbook.functions import text
 from depthbook.functions.session import new_path
 from depthbook.operators import appraisal, boards, depth, listing, lookup, refdata
 from depthbook.plans.star import Market
-from depthbook.sources import pages, snapshots
+from depthbook.sources import pages, snapshots, versions
 from depthbook.sources import refdata as documents
-from depthbook.streaming.snapshots import read_latest
-from depthbook.streaming.snapshots import stream_aggregates as start_stream
+from depthbook.streaming import publication
+from depthbook.streaming import snapshots as snapshot_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,8 @@ HUB_STATIONS = (60000001, 60000002, 60000003, 60000005, 60000008)
 HUB_SYSTEMS = (30000001, 30000002)
 # Half an hour between snapshots: three of them are alive at this time.
 NOW = datetime(2024, 1, 1, 3, 40)
+#: A type that the newest snapshot has sells of.
+ONE_TYPE = 23
 
 
 # Groups of more rows than this are walked in pieces by the queries that show that way.
@@ -159,7 +161,7 @@ def orders_one_station_buy(m: Market) -> DataFrame:
 
 def orders_one_type_sell(m: Market) -> DataFrame:
     """One type everywhere, sorted; the newest snapshot."""
-    return listing.order_listing(_current(m), _dims(m), "sell", "all", type_id=34)
+    return listing.order_listing(_current(m), _dims(m), "sell", "all", type_id=ONE_TYPE)
 
 
 def distinct_orders(m: Market) -> DataFrame:
@@ -212,20 +214,29 @@ def live_aggregates(m: Market) -> DataFrame:
     return lookup.live_aggregates(serving_rows(m), NOW)
 
 
-def _live_everywhere(m: Market) -> DataFrame:
-    """Live rows of every location; expired snapshots are not read."""
+def _live(m: Market, wanted: DataFrame | None = None) -> DataFrame:
+    """Live rows of every location, or of the wanted ones; expired snapshots are not read."""
     alive = m.orders.join(lookup.live_snapshots(m.manifest, NOW), "order_set", "left_semi")
-    return lookup.live_statistics(
-        depth.aggregate_all_scopes(alive, m.stations), m.manifest, NOW
-    )
+    aggregates = depth.aggregate_all_scopes(alive, m.stations, wanted=wanted)
+    return lookup.live_statistics(aggregates, m.manifest, NOW)
 
 
 def agg_lookup(m: Market) -> DataFrame:
-    return lookup.lookup_aggregates(m.lookup_requests, _live_everywhere(m))
+    requests = m.lookup_requests
+    return lookup.lookup_aggregates(requests, _live(m, lookup.wanted_keys(requests)))
 
 
 def agg_lookup_json(m: Market) -> DataFrame:
-    return lookup.lookup_document(m.lookup_requests, _live_everywhere(m))
+    requests = m.lookup_requests
+    return lookup.lookup_document(requests, _live(m, lookup.wanted_keys(requests)))
+
+
+def agg_lookup_stored(m: Market) -> DataFrame:
+    """Lookups from the stored live statistics of all places."""
+    path = new_path(m.spark, "live")
+    name = "live_" + path.rsplit("-", 1)[1]
+    lookup.store_for_lookup(_live(m), name, path, 8)
+    return lookup.lookup_aggregates(m.lookup_requests, m.spark.table(name))
 
 
 # --------------------------------------------------------------------- appraisal
@@ -316,10 +327,19 @@ def dict_stations(m: Market) -> DataFrame:
     return refdata.dict_stations(m.stations)
 
 
+def dict_types_by_locale(m: Market) -> DataFrame:
+    return refdata.positions_by_locale(refdata.dict_types(m.spelled_types))
+
+
 def type_search(m: Market) -> DataFrame:
     return refdata.search_types(m.types, "ING")
 
 
+def type_search_many(m: Market) -> DataFrame:
+    """A term per row, all answered at once."""
+    return refdata.search_many(m.types, refdata.search_index(m.types), m.search_terms)
+
+
 def market_group_children(m: Market) -> DataFrame:
     return refdata.group_children(m.groups)
 
@@ -375,6 +395,19 @@ def type_missing(m: Market) -> DataFrame:
     return refdata.missing_types(wanted, documents.parse_types(m.type_docs))
 
 
+def type_versions(m: Market) -> DataFrame:
+    """The catalogue and three deliveries: the documents that came, those asked for again because they were missing, and
+    all once more; every version of every type."""
+    path = new_path(m.spark, "catalogue")
+    refdata.start_catalogue(m.stored_types, path, datetime(2024, 1, 1))
+    first = documents.parse_types(m.type_docs)
+    again = refdata.missing_types(m.types, first)
+    late = documents.parse_types(m.late_type_docs).join(again, "type_id", "left_semi")
+    for number, delivered in enumerate((first, late, documents.parse_types(m.renamed_type_docs)), 1):
+        refdata.append_delivery(m.spark, path, delivered, number, datetime(2024, 1, 1 + number))
+    return refdata.catalogue_history(m.spark, path)
+
+
 def structure_regions(m: Market) -> DataFrame:
     return refdata.structure_regions(m.feed_stations, m.systems)
 
@@ -434,6 +467,24 @@ def snapshot_tsv_roundtrip(m: Market) -> DataFrame:
     return snapshots.read_snapshot_tsv(m.spark, path)
 
 
+def snapshot_tsv_checked(m: Market) -> DataFrame:
+    """Snapshot files with broken lines: orders and rejected lines add up to all lines."""
+    path = new_path(m.spark, "snapshot-lines")
+    snapshots.write_snapshot_tsv(m.orders, path)
+    number = F.col("order_id").cast("string")
+    broken = (
+        F.when(F.col("volume") == 50, F.concat(number, F.lit("\t34")))
+        .when(F.col("volume") == 49, F.concat_ws("\t", number, F.lit("no type"), *[F.lit("1")] * 11))
+        .when(F.col("volume") == 48, F.concat_ws("\t", *[number] * 14))
+    )
+    m.orders.select(broken.alias("value")).where("value is not null").write.mode("append").text(path)
+    lines = snapshots.parse_snapshot_lines(m.spark, path)
+    orders = snapshots.snapshot_orders(lines).select("order_id", "type_id", "issued", "volume", "price", "order_set")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in orders.schema]
+    rejected = snapshots.rejected_lines(lines).select(*nothing, "line")
+    return orders.withColumn("line", F.lit(None).cast("string")).unionByName(rejected)
+
+
 def snapshot_table(m: Market) -> DataFrame:
     """Orders written to and read from the partitioned table, newest published snapshot."""
     path = new_path(m.spark, "orders")
@@ -476,30 +527,91 @@ def retained_orders(m: Market) -> DataFrame:
 
 
 def _streamed(m: Market) -> str:
-    """Publish every snapshot, in a manifest file each, and let the stream aggregate all scopes, some
-    snapshots a batch; then publish one again, as when its pages have landed anew."""
-    spark = m.spark
-    root = new_path(spark, "stream")
-    paths = [f"{root}/{part}" for part in ("orders", "manifest", "aggregates", "checkpoint")]
-    snapshots.append_snapshot(m.orders, paths[0])
-    manifest = m.manifest.select(F.col("order_set").cast("long"), "downloaded")
-    again = manifest.where("order_set = 3")
-    for published in (manifest, again):
-        published.write.mode("append").option("maxRecordsPerFile", 1).parquet(paths[1])
-        start_stream(
-            spark, *paths, serving_path=f"{root}/serving", latest_path=f"{root}/latest", stations=m.stations
-        ).awaitTermination()
+    """Publish the snapshots in two parts and let the stream aggregate all scopes after each; then publish one again, as
+    when its pages have landed anew."""
+    root = new_path(m.spark, "stream")
+    taken = m.manifest.select(F.col("order_set").cast("long"), F.lit(1).cast("long").alias("version"), "downloaded")
+    orders = m.orders.withColumn("version", F.lit(1))
+    versions.write_versions(orders, root, "orders", "type_id", "price", "order_id")
+    again = orders.where("order_set = 3").withColumn("version", F.lit(2))
+    for part in ("order_set <= 4", "order_set > 4", "order_set = 3"):
+        rows = taken.where(part)
+        if part == "order_set = 3":
+            versions.write_versions(again, root, "orders", "type_id", "price", "order_id")
+            rows = rows.withColumn("version", F.lit(2).cast("long"))
+        versions.publish(rows, root, F.col("downloaded"))
+        snapshot_stream.stream_aggregates(m.spark, root, m.stations).awaitTermination()
     return root
 
 
 def stream_aggregates(m: Market) -> DataFrame:
-    stored = m.spark.read.parquet(f"{_streamed(m)}/aggregates")
+    stored = versions.read_current(m.spark, _streamed(m), "aggregates", snapshot_stream.SERVED)
     return stored.select(*depth.GROUP, *depth.STATISTICS)
 
 
 def stream_latest(m: Market) -> DataFrame:
-    """The serving row that a key/value store would hold for every key after all batches."""
-    return read_latest(m.spark, f"{_streamed(m)}/latest")
+    """The serving row that is alive for every key after all batches; keys whose rows have run out have left."""
+    return snapshot_stream.read_latest(m.spark, _streamed(m))
+
+
+def serving_changes(m: Market) -> DataFrame:
+    """What a key/value store holds that was sent the puts and deletes of every batch."""
+    return snapshot_stream.applied(snapshot_stream.read_changes(m.spark, _streamed(m)))
+
+
+def stream_publish(m: Market) -> DataFrame:
+    """Pages land in three waves, in shuffled order and some files a batch, the last wave in one; per publication of a
+    snapshot what it holds."""
+    root = new_path(m.spark, "publication")
+    landed = m.landed_pages
+    expected = m.feed_orders.select("order_set", "region_id", "structure").distinct()
+    for wave in (1, 2, 3):
+        rows = landed.where(F.col("wave") == wave).drop("wave")
+        rows.repartition(6, F.xxhash64("order_set", "region_id", "page")).write.mode("append").parquet(f"{root}/landed")
+        files = 3 if wave < 3 else 100
+        publication.stream_publication(m.spark, f"{root}/landed", root, expected, files).awaitTermination()
+    return _by_publication(m, root)
+
+
+def _by_publication(m: Market, root: str) -> DataFrame:
+    """Orders, volume and value per region and side of every version that was ever published, numbered per snapshot."""
+    known = versions.versions(versions.ledger(m.spark, root))
+    number = F.row_number().over(Window.partitionBy("order_set").orderBy("version"))
+    known = known.select("order_set", "version", number.alias("publication"))
+    orders = versions.read_versions(m.spark, root, "orders", known).join(known, versions.KEY)
+    return orders.groupBy("order_set", "publication", "region_id", "buy").agg(
+        F.count("*").alias("n_orders"),
+        F.sum("volume").alias("volume"),
+        F.sum(F.col("price") * F.col("volume")).cast("decimal(28,4)").alias("value"),
+    )
+
+
+def snapshot_versions(m: Market) -> DataFrame:
+    """Every snapshot published twice, without small orders the second time; each version read through its ledger row."""
+    root = new_path(m.spark, "versions")
+    taken = m.manifest.select(F.col("order_set").cast("long"), "downloaded")
+    for version, least in ((1, 0), (2, 10)):
+        rows = m.orders.where(F.col("volume") >= least).withColumn("version", F.lit(version))
+        versions.write_versions(rows, root, "orders", "type_id", "price", "order_id")
+        versions.publish(taken.withColumn("version", F.lit(version).cast("long")), root, F.col("downloaded"))
+    return _by_publication(m, root)
+
+
+def retention_sweep(m: Market) -> DataFrame:
+    """Snapshots half a day apart, one of them published again with sells only; what is left after a sweep."""
+    root = new_path(m.spark, "retention")
+    taken = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 12 * order_set)")
+    for version, chosen in ((1, F.lit(True)), (2, (F.col("order_set") == 6) & ~F.col("buy"))):
+        rows = m.orders.where(chosen).withColumn("version", F.lit(version))
+        versions.write_versions(rows, root, "orders", "type_id", "price", "order_id")
+        noted = rows.select("order_set", "version").distinct().withColumn("downloaded", taken)
+        versions.publish(noted, root, F.col("downloaded"))
+    now = datetime(2024, 1, 4, 12)
+    versions.retire(m.spark, root, now)
+    versions.delete_retired(m.spark, root, ["orders"], now, timedelta(0))
+    # All that is still on disk is what readers see.
+    left = m.spark.read.parquet(f"{root}/orders")
+    return left.select("order_set", "order_id", "type_id", "station_id", "volume", "price", "buy")
 
 
 QUERIES = [
@@ -536,6 +648,7 @@ QUERIES = [
     live_aggregates,
     agg_lookup,
     agg_lookup_json,
+    agg_lookup_stored,
     paste_parse,
     paste_blocks,
     paste_rules,
@@ -551,7 +664,9 @@ QUERIES = [
     dict_types,
     dict_regions,
     dict_stations,
+    dict_types_by_locale,
     type_search,
+    type_search_many,
     market_group_children,
     market_group_roots,
     market_group_types,
@@ -562,6 +677,7 @@ QUERIES = [
     group_types_flat,
     type_upsert,
     type_missing,
+    type_versions,
     structure_regions,
     structure_stations,
     feed_rule,
@@ -574,12 +690,17 @@ QUERIES = [
     pages_to_fetch,
     order_set_bucket,
     snapshot_tsv_roundtrip,
+    snapshot_tsv_checked,
     snapshot_table,
     snapshot_files,
     aggregate_dump,
     retained_orders,
+    retention_sweep,
+    snapshot_versions,
+    stream_publish,
     stream_aggregates,
     stream_latest,
+    serving_changes,
 ]
 
 

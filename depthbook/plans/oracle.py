@@ -250,7 +250,7 @@ def order_oracles() -> dict[str, str]:
             "cast(round(price, 2) as decimal(19,2))",
         ) + " and o.region_id = 10000002",
         "orders_one_station_buy": _listing("buy") + " and o.station_id = 60000003",
-        "orders_one_type_sell": "select * exclude (position) from (" + _listing("sell") + " and o.type_id = 34)",
+        "orders_one_type_sell": "select * exclude (position) from (" + _listing("sell") + " and o.type_id = 23)",
         "market_view_pieces": sql(_view("buy") + " union all " + _view("sell")),
         "orders_type_sell_pieces": _listing("sell"),
         "distinct_orders": sql("""
@@ -414,6 +414,10 @@ def lookup_oracles() -> dict[str, str]:
             f"select request_id, place, token, side, {numbers} from found",
             stats_views("all"), LIVE, _REQUESTS,
         ),
+        "agg_lookup_stored": sql(
+            f"select request_id, place, token, side, {numbers} from found",
+            stats_views("all"), LIVE, _REQUESTS,
+        ),
         "agg_lookup_json": sql(
             """select request_id, token, cast(to_json(struct_pack(
                  buy := max(doc) filter (side = 'buy'), sell := max(doc) filter (side = 'sell')))
@@ -515,6 +519,53 @@ tree as (
   from mkt_groups g join tree t on g.parent_group_id = t.market_group_id)"""
 
 
+_TERMS = """
+  select upper(substring(type_name, 1 + type_id % 9, 2 + type_id % 5)) || case when type_id % 11 = 3 then '#' else '' end as term
+  from mkt_types"""
+
+_TYPE_FIELDS = {
+    "type_name": "new_name", "group_id": "2", "market_group_id": "new_group", "capacity": "new_capacity",
+    "published": "coalesce(new_published, false)", "portion_size": "new_portion", "volume": "new_volume",
+}
+
+
+def _type_versions() -> str:
+    """The states of the types table after each delivery, and what each has changed."""
+    names = {1: "case when p_size <> 7 then upper(p_name) end", 2: "case when p_size <> 7 then upper(p_name) end"}
+    names[3] = "case when p_size = 30 then p_name || ' II' when p_size <> 31 then upper(p_name) end"
+    chosen = {1: "p_size <> 25", 2: "p_size = 25", 3: "true"}
+    parts = ["""
+state_0 as (
+  select p_partkey as type_id, p_name as type_name, cast(1 as bigint) as group_id, cast(p_size as bigint) as market_group_id,
+         cast(5.0 as double) as capacity, true as published, 1 as portion_size, p_retailprice as volume,
+         cast(7.5 as double) as mass
+  from part where p_size <= 40)"""]
+    for k in (1, 2, 3):
+        fields = ", ".join(f"case when takes then {new} else {old} end as {old}" for old, new in _TYPE_FIELDS.items())
+        parts.append(f"""
+state_{k} as (
+  select type_id, {fields}, case when known then mass else new_mass end as mass
+  from (
+    select *, coalesce(s.had, false) as known,
+           n.came is not null and (s.had is null or new_volume is not null) as takes
+    from (select *, true as had from state_{k - 1}) s full join (
+      select p_partkey as type_id, true as came, {names[k]} as new_name,
+             case when p_size % 10 <> 0 then cast(p_size + 1000 as bigint) end as new_group,
+             case when p_size > 20 then cast(p_size as double) * 1.5 end as new_capacity,
+             case when p_size % 6 <> 0 then p_size % 4 <> 0 end as new_published,
+             case when p_size > 10 then p_size end as new_portion,
+             case when p_size % 9 <> 0 then cast(p_size as double) / 4 end as new_volume,
+             case when p_size > 30 then p_retailprice end as new_mass
+      from part where {chosen[k]} and {names[k]} is not null) n using (type_id)))""")
+    changed = ["select *, timestamp '2024-01-01' as valid_from from state_0"]
+    changed += [
+        f"select *, timestamp '2024-01-0{1 + k}' from (select * from state_{k} except select * from state_{k - 1})" for k in (1, 2, 3)
+    ]
+    return f"""
+select *, lead(valid_from) over (partition by type_id order by valid_from) as valid_to from (
+  with {", ".join(parts)} {" union all ".join(changed)})"""
+
+
 def refdata_oracles() -> dict[str, str]:
     children = """select coalesce(parent_group_id, 0) as opened_group_id, parent_group_id,
                          market_group_id, group_name, icon_id, has_types from mkt_groups"""
@@ -526,8 +577,19 @@ def refdata_oracles() -> dict[str, str]:
             select region_id as value, region_name as label from mkt_regions
             where region_id < 11000000 and region_id not in (10000004, 10000017)"""),
         "dict_stations": sql("select station_id as value, station_name as label from mkt_stations"),
+        "dict_types_by_locale": sql(f"""
+            select value, label, row_number() over (order by strip_accents(lower(label)), lower(label), value) as position
+            from (select type_id as value, case type_id % 3 when 0 then upper(type_name)
+                    when 1 then translate(type_name, 'aoi', 'áöî')
+                    else array_to_string(list_transform(string_split(type_name, ' '),
+                      lambda w: upper(w[1]) || w[2:]), ' ') end as label {listed})"""),
         "type_search": sql(f"""
             select type_id as value, type_name as label {listed} and type_name ilike '%ing%'"""),
+        "type_search_many": sql(f"""
+            select distinct term, type_id as value, type_name as label
+            from (select type_id as value, type_name as label {listed}) e(type_id, type_name)
+            join ({_TERMS}) on contains(lower(type_name), lower(term)) where length(term) >= 2"""),
+        "type_versions": sql(_type_versions()),
         "market_group_children": sql(children),
         "market_group_roots": sql(children + " where parent_group_id is null"),
         "market_group_types": sql(f"select market_group_id, type_id, type_name, icon_id {listed}"),
@@ -624,6 +686,26 @@ _ORDER_COLUMNS = """order_id, type_id, issued, buy, volume, volume_entered, min_
   "range", duration, region_id, order_set"""
 
 
+# Feeds with their pages numbered; snapshots all of whose feeds end and are mended, and the one that lands again.
+_PUBLISHED = """
+numbered as (
+  select *, dense_rank() over (partition by order_set, region_id, structure order by page) as number from feed),
+publications as (
+  select distinct order_set, 1 as publication from numbered
+  where order_set <> 6 and order_set <> 7
+     or order_set = 6 and not exists (select * from numbered where order_set = 6 and region_id = 10000001 and number % 5 = 2)
+     or order_set = 7 and not exists (select * from numbered where order_set = 7 and region_id = 10000002 and structure = 0)
+  union all select distinct order_set, 2 from numbered where order_set = 2)"""
+
+_LATEST = sql(
+            """select key, order_set, payload, downloaded + interval 5400 second as expires_at from (
+              select s.*, downloaded, row_number() over (partition by key order by s.order_set desc) as n
+              from serving s join mkt_manifest m on s.order_set = m.order_set
+              where downloaded + interval 5400 second >= (select max(downloaded) from mkt_manifest)) where n = 1""",
+            stats_views("all"), _SERVING,
+        )
+
+
 def feed_oracles() -> dict[str, str]:
     return {
         "feed_rule": sql("select * exclude (page, broken, bad) from ruled", _FEED),
@@ -679,6 +761,14 @@ def feed_oracles() -> dict[str, str]:
         "snapshot_tsv_roundtrip": sql(f"""
             select {_ORDER_COLUMNS} from (select * replace (cast(region_id as bigint) as region_id,
               cast(order_set as bigint) as order_set) from mkt_orders)"""),
+        "snapshot_tsv_checked": sql("""
+            select order_id, type_id, issued, volume, price, order_set, cast(null as varchar) as line from mkt_orders
+            union all
+            select null, null, null, null, null, null,
+                   case volume when 50 then order_id || chr(9) || '34'
+                     when 49 then order_id || chr(9) || 'no type' || repeat(chr(9) || '1', 11)
+                     else order_id || repeat(chr(9) || order_id, 13) end
+            from mkt_orders where volume >= 48"""),
         "snapshot_table": sql(
             "select order_id, type_id, buy, volume, price, station_id, region_id from latest"
         ),
@@ -698,12 +788,26 @@ def feed_oracles() -> dict[str, str]:
             where timestamp '2024-01-01' + order_set * interval 12 hour
               >= timestamp '2024-01-04 12:00:00' - interval 2 day"""),
         "stream_aggregates": sql(f"select {STATS_COLUMNS} from stats", stats_views("all")),
-        "stream_latest": sql(
-            """select key, order_set, payload, downloaded + interval 5400 second as expires_at from (
-              select s.*, downloaded, row_number() over (partition by key order by s.order_set desc) as n
-              from serving s join mkt_manifest m on s.order_set = m.order_set) where n = 1""",
-            stats_views("all"), _SERVING,
+        "stream_latest": _LATEST,
+        "serving_changes": _LATEST,
+        "stream_publish": sql(
+            """
+            select order_set, publication, region_id, buy, count(*) as n_orders, cast(sum(volume) as bigint) as volume,
+                   cast(sum(price * volume) as decimal(28,4)) as value
+            from numbered join publications using (order_set)
+            where not bad and not (structure = 0 and station_id > 100000000 and buy)
+              and not (publication = 2 and number = 1 and volume < 25)
+            group by all""",
+            _FEED, _PUBLISHED,
         ),
+        "snapshot_versions": sql("""
+            select order_set, publication, region_id, buy, count(*) as n_orders, cast(sum(volume) as bigint) as volume,
+                   cast(sum(price * volume) as decimal(28,4)) as value
+            from mkt_orders, (values (1, 0), (2, 10)) v(publication, least) where volume >= least group by all"""),
+        "retention_sweep": sql("""
+            select order_set, order_id, type_id, station_id, volume, price, buy from mkt_orders
+            where timestamp '2024-01-01' + order_set * interval 12 hour
+              >= timestamp '2024-01-04 12:00:00' - interval 2 day and (order_set <> 6 or not buy)"""),
     }
 
 

@@ -7,7 +7,7 @@ all rows is needed to number them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HUB_SUPPLIERS = (1, 2, 3, 5, 8)
@@ -101,6 +101,13 @@ class Market:
             (F.col("p_size") * 10).alias("icon_id"),
         )
 
+    @property
+    def spelled_types(self) -> DataFrame:
+        """The types in mixed case and with accents."""
+        name, number = F.col("type_name"), F.col("type_id")
+        spelled = F.when(number % 3 == 0, F.upper(name)).when(number % 3 == 1, F.translate(name, "aoi", "áöî"))
+        return self.types.withColumn("type_name", F.coalesce(spelled, F.initcap(name)))
+
     @property
     def groups(self) -> DataFrame:
         category = _category_id("p_type")
@@ -243,11 +250,8 @@ class Market:
             .agg(F.concat(F.lit("["), elements, F.lit("]")).alias("listed"))
         )
 
-    @property
-    def feed_pages(self) -> DataFrame:
-        """Pages of many orders. Orders of fifty lots lack their place, those of forty-eight have
-        a text for their volume, those of forty-nine lack an optional field. Some pages are
-        broken, each region ends with an empty page, and one more page is an error document."""
+    def _feed_listed(self, orders: DataFrame) -> DataFrame:
+        """Pages (order_set, region_id, structure, page) of orders as the feed writes them, as `listed`."""
         issued = F.date_format("issued", "yyyy-MM-dd'T'HH:mm:ss'Z'")
         volume = F.col("volume")
         order = F.struct(
@@ -266,7 +270,15 @@ class Market:
         # Numbers of the feed are not texts.
         element = F.regexp_replace(F.to_json(order), r'"volume_remain":"(\d+)"', r'"volume_remain":$1')
         keys = ["order_set", "region_id", "structure"]
-        pages = self._pages(self.feed_orders.withColumn("element", element), keys)
+        return self._pages(orders.withColumn("element", element), keys)
+
+    @property
+    def feed_pages(self) -> DataFrame:
+        """Pages of many orders. Orders of fifty lots lack their place, those of forty-eight have
+        a text for their volume, those of forty-nine lack an optional field. Some pages are
+        broken, each region ends with an empty page, and one more page is an error document."""
+        keys = ["order_set", "region_id", "structure"]
+        pages = self._feed_listed(self.feed_orders)
         noise = F.when(F.col("page") % 13 == 5, "<").otherwise("")
         filled = pages.select(*keys, "page", F.concat(noise, "listed").alias("body"))
         ends = self.regions.select(
@@ -282,6 +294,51 @@ class Market:
         )
         return filled.unionByName(ends)
 
+    @property
+    def landed_pages(self) -> DataFrame:
+        """Deliveries of feed pages in waves, numbered from 1 within their feed, an empty page at the end of each.
+
+        Wave 1: every second page of five of each third snapshot is broken, and one feed of snapshot 7 lacks its end.
+        Wave 2: the broken pages again, mended but for one region of snapshot 6. Wave 3: the first pages of snapshot 2 anew,
+        without small orders; and a broken page of snapshot 1 that was delivered before all others.
+        """
+        feed = ["order_set", "region_id", "structure"]
+        in_feed = Window.partitionBy(*feed).orderBy("page")
+        listed = self._feed_listed(self.feed_orders).withColumn("number", F.row_number().over(in_feed))
+        fewer = self._feed_listed(self.feed_orders.where("order_set = 2 and volume >= 25"))
+        fewer = fewer.select(*feed, "page", F.col("listed").alias("fewer"))
+        broken = (F.col("order_set") % 3 == 0) & (F.col("number") % 5 == 2)
+        unmended = (F.col("order_set") == 6) & (F.col("region_id") == 10000001)
+        rubbish = F.concat(F.lit("<"), "listed")
+        ends = listed.groupBy(*feed).agg((F.max("number") + 1).alias("number"))
+        ends = ends.where("order_set <> 7 or region_id <> 10000002 or structure <> 0")
+        waves = [
+            listed.select(*feed, "number", F.lit(1).alias("wave"), F.when(broken, rubbish).otherwise(F.col("listed")).alias("body")),
+            ends.select(*feed, "number", F.lit(1).alias("wave"), F.lit("[]").alias("body")),
+            listed.where(broken).select(
+                *feed, "number", F.lit(2).alias("wave"), F.when(unmended, rubbish).otherwise(F.col("listed")).alias("body")
+            ),
+            listed.where("order_set = 2 and number = 1")
+            .join(fewer, [*feed, "page"], "left")
+            .select(*feed, "number", F.lit(3).alias("wave"), F.coalesce("fewer", F.lit("[]")).alias("body")),
+            listed.where("order_set = 1 and number = 1").select(*feed, "number", F.lit(3).alias("wave"), rubbish.alias("body")),
+        ]
+        rows = waves[0]
+        for more in waves[1:]:
+            rows = rows.unionByName(more)
+        started = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 30 * order_set)")
+        landed = started + F.make_dt_interval(mins=F.when(F.col("order_set") == 1, 60 - F.col("wave")).otherwise(F.col("wave")))
+        return rows.select(
+            F.col("order_set").cast("long"),
+            F.col("region_id").cast("long"),
+            F.col("structure").cast("int"),
+            F.col("number").cast("int").alias("page"),
+            started.alias("started"),
+            landed.alias("landed"),
+            "body",
+            "wave",
+        )
+
     @property
     def legacy_pages(self) -> DataFrame:
         """Pages of the older feed. Orders of fifty lots lack their price; every second page names
@@ -342,10 +399,24 @@ class Market:
     @property
     def type_docs(self) -> DataFrame:
         """Fetched type documents; some do not arrive, some lack fields."""
+        return self._type_docs("p_size <> 25")
+
+    @property
+    def late_type_docs(self) -> DataFrame:
+        """Documents of the types that did not arrive at first."""
+        return self._type_docs("p_size = 25")
+
+    @property
+    def renamed_type_docs(self) -> DataFrame:
+        """All documents once more; some types have another name, some no name any more."""
+        name = F.when(F.col("p_size") == 30, F.concat("p_name", F.lit(" II"))).when(F.col("p_size") != 31, F.upper("p_name"))
+        return self._type_docs("true", name)
+
+    def _type_docs(self, chosen: str, name: Column | None = None) -> DataFrame:
         size = F.col("p_size")
         doc = F.struct(
             F.col("p_partkey").alias("type_id"),
-            F.when(size != 7, F.upper("p_name")).alias("name"),
+            (F.when(size != 7, F.upper("p_name")) if name is None else name).alias("name"),
             F.lit(2).alias("group_id"),
             F.when(size % 10 != 0, size + 1000).alias("market_group_id"),
             F.when(size > 20, size * 1.5).alias("capacity"),
@@ -354,7 +425,7 @@ class Market:
             F.when(size % 9 != 0, size / 4.0).alias("volume"),
             F.when(size > 30, F.col("p_retailprice")).alias("mass"),
         )
-        return self.table("part").where(size != 25).select(F.to_json(doc).alias("body"))
+        return self.table("part").where(chosen).select(F.to_json(doc).alias("body"))
 
     @property
     def structure_docs(self) -> DataFrame:
@@ -413,6 +484,13 @@ class Market:
             F.when(in_body, F.concat(token[1], F.lit(",7"))).alias("body_types"),
         )
 
+    @property
+    def search_terms(self) -> DataFrame:
+        """Runs of two to six characters of names, in upper case; some with a sign that no name has."""
+        number = F.col("type_id")
+        run = F.upper(F.substring("type_name", (1 + number % 9).cast("int"), (2 + number % 5).cast("int")))
+        return self.types.select(F.when(number % 11 == 3, F.concat(run, F.lit("#"))).otherwise(run).alias("term"))
+
     @property
     def appraisal_requests(self) -> DataFrame:
         region = F.when(F.col("o_orderpriority") == "5-LOW", "everywhere").otherwise(

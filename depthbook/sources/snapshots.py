@@ -100,6 +100,30 @@ def read_snapshot_tsv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ORDERS).csv(path, sep="\t", header=False)
 
 
+def parse_snapshot_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of snapshot files: `file`, `line`, the order in it (`order`), and whether it is broken: not the right
+    number of fields, or one that is not of its kind."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ORDERS) + ", _broken string"
+    options = {"sep": "\t", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.col("value").alias("line"))
+    # Expanded once, so that the line is not parsed again for every condition on it.
+    parsed = F.from_csv("line", schema, options)
+    rows = lines.select("file", "line", F.inline(F.array(F.struct(parsed.alias("order")))))
+    # An empty line is no order either, though nothing in it is wrong.
+    broken = F.col("order._broken").isNotNull() | F.col("order.order_id").isNull()
+    return rows.select("file", "line", broken.alias("broken"), *[f"order.{f.name}" for f in ORDERS.fields])
+
+
+def snapshot_orders(lines: DataFrame) -> DataFrame:
+    """The orders of the lines that could be read."""
+    return lines.where(~F.col("broken")).select(*[f.name for f in ORDERS.fields])
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """What is kept of the other lines: their file and text."""
+    return lines.where("broken").select("file", "line")
+
+
 def dump_rows(aggregates: DataFrame) -> DataFrame:
     """Aggregates as the public dump shows them: one key column and the statistics."""
     return aggregates.select(

@@ -257,3 +257,58 @@ def test_wide_row(spark):
     wide = {r.type_id: r for r in depth.wide_aggregates(aggregates(spark)).collect()}
     assert str(wide[34].wavg_buy) == "4.03" and wide[34].volume_buy == 10024734026
     assert wide[34].wavg_sell is None and wide[35].count_sell == 179
+
+
+REQUEST = (
+    "request_id long, region string, station string, system string, types string,"
+    " body_region string, body_station string, body_system string, body_types string"
+)
+
+
+def requests_of(spark):
+    rows = [
+        (1, "10000001", None, None, "1,2,,x", None, None, None, None),
+        (2, None, None, None, "7", None, None, None, None),
+        (3, None, "60000003", None, "1", "30000002", None, None, "3,3"),
+        (4, "nowhere", None, None, "01", None, None, None, None),
+    ]
+    return spark.createDataFrame(rows, REQUEST)
+
+
+def test_only_what_is_asked_for_is_aggregated(spark, market):
+    requests = requests_of(spark)
+    wanted = lookup.wanted_keys(requests)
+    assert {tuple(r) for r in wanted.collect()} == {(10000001, 1), (10000001, 2), (0, 7), (30000002, 3)}
+    every = depth.aggregate_all_scopes(market.orders, market.stations)
+    some = depth.aggregate_all_scopes(market.orders, market.stations, wanted=wanted)
+    assert sorted(some.collect()) == sorted(every.join(wanted, ["loc_id", "type_id"], "left_semi").select(*some.columns).collect())
+    # Types leave before the first fold, places before the second.
+    plan = some._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [i for i, line in enumerate(plan) if "LeftSemi" in line and "type_id" in line]
+    folds = [i for i, line in enumerate(plan) if "Aggregate [" in line and "sum(volume" in line]
+    assert any("loc_id" in plan[i] and folds[0] < i < folds[1] for i in joins)
+    assert any("loc_id" not in plan[i] and i > folds[1] for i in joins)
+
+
+def test_stored_statistics_are_not_exchanged(spark, market, tmp_path):
+    stats = depth.aggregate_all_scopes(market.orders.where("order_set = 7"), market.stations)
+    lookup.store_for_lookup(stats, "live_for_test", str(tmp_path / "live"), 4)
+    found = lookup.lookup_aggregates(requests_of(spark), spark.table("live_for_test"))
+    assert sorted(found.collect()) == sorted(lookup.lookup_aggregates(requests_of(spark), stats).collect())
+    with_merge = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in with_merge}
+    for key, value in with_merge.items():
+        spark.conf.set(key, value)
+    try:
+        plan = lookup.lookup_aggregates(requests_of(spark), spark.table("live_for_test"))
+        lines = plan._jdf.queryExecution().executedPlan().toString().split("\n")
+        merge = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+        # One exchange, that of the requests, stands before the scan of the table; none above its scan.
+        stored_side = lines[max(i for i in range(merge, scan) if "Exchange" in lines[i]) + 1 : scan + 1]
+        assert sum("Exchange" in line for line in lines) == 1 and "Bucketed: true" in lines[scan]
+        assert not any("Exchange" in line for line in stored_side)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        spark.sql("drop table live_for_test")

@@ -229,6 +229,14 @@ def test_locale_order(spark):
     assert plain == ["A", "C", "a", "b"] and by_locale == ["A", "a", "b", "C"]
 
 
+def test_positions_by_locale(spark):
+    labels = ["Öl", "ol", "OL", "zu", "Zb", "äb", "ab", "aa", "Ac", None, "10", " x"]
+    entries = spark.createDataFrame(list(enumerate(labels)), "value int, label string")
+    found = sorted(refdata.positions_by_locale(entries).collect(), key=lambda r: r.position)
+    assert [r.position for r in found] == list(range(1, len(labels) + 1))
+    assert [r.label for r in found] == [None, " x", "10", "aa", "ab", "äb", "Ac", "ol", "OL", "Öl", "Zb", "zu"]
+
+
 def test_pages_to_fetch(spark, landed):
     accounts = pages.page_manifest(pages.read_pages(spark, landed))
     asked = sorted(
@@ -263,3 +271,58 @@ def test_load_snapshot(spark, landed, tmp_path):
     front = spark.read.json(f"{root}/front").collect()[0]
     assert json.loads(front.fp_sell)[0]["stationName"] == "hub" and front.fp_buy == "[]"
     assert spark.read.parquet(f"{root}/quarantine").count() == 3
+
+
+def test_search_of_many_terms(spark):
+    names = ["Tritanium", "Small Ship", "small ring", "İzmir ring", "x", None, "a.b+c"]
+    types = spark.createDataFrame([(i, n, 1) for i, n in enumerate(names)], "type_id long, type_name string, market_group_id int")
+    terms = ["ing", "RING", "sm", "all s", "t", "", None, "tritanium!", "Tritanium", ".b+", "ship", "ship"]
+    asked = spark.createDataFrame([(t,) for t in terms], "term string")
+    found = refdata.search_many(types, refdata.search_index(types), asked)
+    low = [n.lower() if n else None for n in names]
+    assert as_set(found, ["term", "value"]) == sorted(
+        (t, i) for t in {t for t in terms if t and len(t) >= 2} for i, n in enumerate(low) if n and t.lower() in n
+    )
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_path):
+    good = "1\t34\t2017-09-01T12:30:00\tTrue\t5\t9\t1\t5.01\t60003760\tregion\t90\t10000002\t7"
+    lines = [good, good.replace("5.01", "much"), good + "\t8", "1\t34", "", good.replace("90", ""), 'x"y']
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    read = snapshots.parse_snapshot_lines(spark, str(tmp_path))
+    assert read.count() == len(lines)
+    orders = snapshots.snapshot_orders(read).collect()
+    assert [(o.order_id, o.duration) for o in orders] == [(1, 90), (1, None)]
+    assert [f.name for f in snapshots.snapshot_orders(read).schema] == [f.name for f in snapshots.ORDERS]
+    rejected = snapshots.rejected_lines(read).collect()
+    assert sorted(r.line for r in rejected) == sorted([lines[1], lines[2], lines[3], lines[4], lines[6]])
+    assert all(r.file.endswith("a.csv") for r in rejected)
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "b.csv").write_text("")
+    assert snapshots.parse_snapshot_lines(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_catalogue_keeps_versions(spark, tmp_path):
+    path = str(tmp_path / "catalogue")
+    columns = (
+        "type_id long, type_name string, group_id long, market_group_id long, capacity double, published boolean,"
+        " portion_size int, volume double, mass double"
+    )
+    fetched = (
+        "type_id long, name string, group_id long, market_group_id long, capacity double, published boolean,"
+        " portion_size int, volume double, mass double"
+    )
+    start = spark.createDataFrame([(1, "one", 1, 1, 1.0, True, 1, 1.0, 1.0)], columns)
+    refdata.start_catalogue(start, path, datetime(2024, 1, 1))
+    same, new = (1, "one", 1, 1, 1.0, True, 1, 1.0, 1.0), (2, "two", 1, None, None, True, 1, None, 2.0)
+    deliveries = [[same], [new, same], [(1, "uno", 1, 1, 1.0, True, 1, 1.0, 1.0), new], []]
+    for number, rows in enumerate(deliveries, 1):
+        for _ in range(2):  # a repeated delivery writes the same
+            refdata.append_delivery(spark, path, spark.createDataFrame(rows, fetched), number, datetime(2024, 1, 1 + number))
+    day = lambda n: datetime(2024, 1, n)
+    assert as_set(refdata.catalogue_history(spark, path), ["type_id", "type_name", "valid_from", "valid_to"]) == sorted(
+        [(1, "one", day(1), day(4)), (1, "uno", day(4), None), (2, "two", day(3), None)], key=repr
+    )
+    assert [as_set(refdata.catalogue(spark, path, n), ["type_id", "type_name"]) for n in range(5)] == [
+        [(1, "one")], [(1, "one")], [(1, "one"), (2, "two")], [(1, "uno"), (2, "two")], [(1, "uno"), (2, "two")]
+    ]
