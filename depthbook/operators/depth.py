@@ -7,6 +7,7 @@ not depend on how the rows were partitioned.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,10 @@ STATISTICS = [
     "percentile",
 ]
 
+#: Squares of fewer units add up within 38 digits for a hundred million levels; larger ones are halved at HALF.
+HUGE_UNITS = 10**15
+HALF = 10**10
+
 SCOPE_COLUMNS = {"region": "region_id", "station": "station_id", "system": "system_id"}
 
 
@@ -180,17 +185,35 @@ def _ratio(numerator: Column, denominator: Column) -> Column:
 def _spread() -> Column:
     """Sample standard deviation of the prices from exact sums of whole price units.
 
-    n * sum(p^2) - sum(p)^2 is a whole number, so the result does not depend on the
-    order of addition. Prices whose squares do not fit 38 digits fall back to floats.
+    n * sum(p^2) - sum(p)^2 is a whole number, so the result does not depend on the order of
+    addition. Prices whose squares would leave 38 digits in a sum are squared in two halves;
+    where only the difference leaves them, it is taken between the exact sums as floats.
     """
+    whole = "decimal(38,0)"
+    number = lambda n: F.lit(Decimal(n)).cast(whole)
     units = (F.col("price") * 10_000).cast("decimal(19,0)")
-    n = F.count("price").cast("decimal(10,0)")
-    squares = F.try_multiply(n, F.try_sum(F.try_multiply(units, units).cast("decimal(38,0)")))
-    total = F.sum(units).cast("decimal(19,0)")
-    cross = F.try_subtract(squares.cast("decimal(38,0)"), F.try_multiply(total, total).cast("decimal(38,0)"))
-    pairs = F.count("price").cast("double") * (F.count("price").cast("double") - 1)
-    exact = F.sqrt(F.try_divide(cross.cast("double"), pairs)) / 10_000
-    return F.when(F.count("price") > 1, F.coalesce(exact, F.stddev_samp(F.col("price").cast("double"))))
+    huge = units >= number(HUGE_UNITS)
+    high, low = (F.when(huge, part) for part in (F.call_function("div", units, number(HALF)), units % number(HALF)))
+    high, low = high.cast("decimal(19,0)"), low.cast("decimal(19,0)")
+    parts = [
+        (1, F.sum(F.when(~huge, F.try_multiply(units, units).cast(whole)))),
+        (HALF * HALF, F.sum((high * high).cast(whole))),
+        (2 * HALF, F.sum((high * low).cast(whole))),
+        (1, F.sum((low * low).cast(whole))),
+    ]
+    parts = [(factor, F.coalesce(part.cast(whole), number(0))) for factor, part in parts]
+    squares = number(0)
+    for factor, part in parts:
+        squares = F.try_add(squares, F.try_multiply(part, number(factor)).cast(whole)).cast(whole)
+    n, total = F.count("price"), F.sum(units).cast(whole)
+    exact = F.try_subtract(
+        F.try_multiply(n.cast(whole), squares).cast(whole), F.try_multiply(total, total).cast(whole)
+    )
+    n = n.cast("double")
+    floats = sum((part.cast("double") * float(factor) for factor, part in parts), F.lit(0.0))
+    floats = F.greatest(n * floats - total.cast("double") * total.cast("double"), F.lit(0.0))
+    cross = F.coalesce(exact.cast("double"), floats)
+    return F.when(n > 1, F.sqrt(F.try_divide(cross, n * (n - 1))) / 10_000)
 
 
 def _statistics(walked: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ import random
 import statistics
 from collections import defaultdict
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from market_support import as_set
+from pyspark.sql import functions as F
 
 from depthbook.operators import depth, skew
 
@@ -254,3 +256,24 @@ def test_pieces_bound_every_window_over_rows(spark):
     for line in plan_of(depth._walk_in_pieces(book)).splitlines():
         if "Window [" in line and "walk#" in line:
             assert "piece#" in line.split("windowspecdefinition(", 1)[1].split("walk#")[0]
+
+
+def test_spread_of_huge_prices_does_not_depend_on_the_order(spark):
+    """Squares beyond 38 digits: still from exact sums, so every arrangement of the rows gives the same bits."""
+    rng = random.Random(5)
+    cases = {
+        1: (False, [(Decimal(p), 1) for p in rng.sample(range(10**13, 9 * 10**14), 300)]),
+        2: (True, [(Decimal(rng.randrange(1, 10**6)) / 7, 1) for _ in range(50)] + [(Decimal(8 * 10**14), 3)]),
+        3: (True, [(Decimal(10**11) + i, 1) for i in range(5)]),
+    }
+    cases = {t: (buy, sorted({(p.quantize(Decimal("0.0001")), v) for p, v in book})) for t, (buy, book) in cases.items()}
+    book = levels(spark, cases)
+    found = {r.type_id: r.stddev for r in depth.depth_stats(book).collect()}
+    for parts in (1, 3, 17):
+        again = depth.depth_stats(book.repartition(parts, F.rand(parts)))
+        assert {r.type_id: r.stddev for r in again.collect()} == found
+    for type_id, (_, listed) in cases.items():
+        prices = [Fraction(p) for p, _ in listed]
+        mean = sum(prices) / len(prices)
+        exact = sum((p - mean) ** 2 for p in prices) / (len(prices) - 1)
+        assert math.isclose(found[type_id], math.sqrt(exact), rel_tol=1e-12)
