@@ -50,6 +50,7 @@ _BYTES = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(sorted(set
 class _Words(dict):
     """Ids of a word as bytes. The tokenizer never joins what white space parts, so words may be encoded alone.
 
+    Special strings hold no white space and are their ids, as by the library.
     A plain Latin word is looked up in lower case and without the signs after it; the tokenizer takes these apart too.
     """
 
@@ -57,7 +58,6 @@ class _Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
 
     def __missing__(self, word: str) -> bytes:
@@ -198,6 +198,7 @@ def _pack(tokenizer: str, window: int, most_open: int) -> Callable:
                 if held > 4_000_000:
                     yield batch()
         packer.finish()
+        words.clear()  # the Python worker lives on
         yield batch()
 
     return run
