@@ -528,8 +528,17 @@ def retained_orders(m: Market) -> DataFrame:
 
 def _streamed(m: Market) -> str:
     """Publish the snapshots in two parts and let the stream aggregate all scopes after each; then publish one again, as
-    when its pages have landed anew."""
-    root = new_path(m.spark, "stream")
+    when its pages have landed anew. The queries on its results read one run of a session."""
+    run = (m.spark.sparkContext.applicationId, m.folder)
+    if run not in _runs:
+        _runs[run] = _stream(m, new_path(m.spark, "stream"))
+    return _runs[run]
+
+
+_runs: dict[tuple[str, str], str] = {}
+
+
+def _stream(m: Market, root: str) -> str:
     taken = m.manifest.select(F.col("order_set").cast("long"), F.lit(1).cast("long").alias("version"), "downloaded")
     orders = m.orders.withColumn("version", F.lit(1))
     versions.write_versions(orders, root, "orders", "type_id", "price", "order_id")
@@ -545,7 +554,8 @@ def _streamed(m: Market) -> str:
 
 
 def stream_aggregates(m: Market) -> DataFrame:
-    stored = versions.read_current(m.spark, _streamed(m), "aggregates", snapshot_stream.SERVED)
+    root = _stream(m, new_path(m.spark, "stream"))
+    stored = versions.read_current(m.spark, root, "aggregates", snapshot_stream.SERVED)
     return stored.select(*depth.GROUP, *depth.STATISTICS)
 
 
