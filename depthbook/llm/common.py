@@ -45,14 +45,32 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = shared_folder(spark, name)
     frame.write.parquet(path)
     _made.append(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    found = spark.read.schema(frame.schema).parquet(path)
+    found.stored_path = path
+    return found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete tables that `stored` has returned, once all that is made of them is stored or checkpointed itself.
+
+    Shuffles and checkpoints that nothing refers to any more go too: Spark drops them when the driver's garbage is collected,
+    which a driver with room to spare may not do for the length of a job.
+    """
+    for frame in frames:
+        _made.remove(frame.stored_path)
+        _delete(frame.sparkSession, frame.stored_path)
+    frames[0].sparkSession._jvm.System.gc()
 
 
 def drop_stored(spark: SparkSession) -> None:
     """Remove the tables that `stored` wrote in this process, once no frame built on them is needed."""
     while _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _made.pop())
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:

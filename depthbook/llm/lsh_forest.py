@@ -25,7 +25,7 @@ component has null ids; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from depthbook.llm.common import checkpointed, python_path, stored, table, text_key, text_of
+from depthbook.llm.common import checkpointed, forget, python_path, stored, table, text_key, text_of
 from depthbook.llm.components import components
 
 SHINGLE = 5
@@ -63,6 +63,18 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
+def _forgetting(run: Callable) -> Callable:
+    """What a task remembers of words goes when it ends: its Python worker lives on."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _hashes.clear()
+
+    return wrapped
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """Spread every bit over the whole number (xor-shift and multiply)."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -100,6 +112,7 @@ def signature(found: np.ndarray) -> np.ndarray:
     return numbers.view(np.int64)
 
 
+@_forgetting
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, digests, numbers = [], [], []
@@ -120,6 +133,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@_forgetting
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (a, b, text_a, text_b) with the sizes of the sets' intersection and union."""
     last, known = None, None
@@ -139,11 +153,13 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@_forgetting
 def _linked_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between the members of one list and those of another that the bounds do not rule out."""
     for batch in batches:
         links = []
-        for row in batch.to_pylist():
+        for at in range(len(batch)):
+            row = batch.slice(at, 1).to_pylist()[0]  # a row holds up to two blocks of whole texts
             own, sets = row["members"], {}
             for q in row["partners"]:
                 for p in own:
@@ -161,6 +177,7 @@ def _linked_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+@_forgetting
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [shingles(text.as_py()).view(np.int64) for text in batch.column(1)]
@@ -227,7 +244,9 @@ def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = pairs.groupBy(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).agg(
         F.count("*").alias("times")
     )
-    return stored(pairs, "candidates"), checkpointed(near.where("open").select("node").distinct())
+    found = stored(pairs, "candidates"), checkpointed(near.where("open").select("node").distinct())
+    forget(near)
+    return found
 
 
 def _exact_pass(open_nodes: DataFrame, texts: DataFrame, roots: DataFrame) -> DataFrame:
@@ -239,35 +258,42 @@ def _exact_pass(open_nodes: DataFrame, texts: DataFrame, roots: DataFrame) -> Da
     first = stored(first, "first-tokens")
     mixed = first.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     suspects = checkpointed(first.join(mixed, "token", "left_semi").select("node", "root").distinct())
+    forget(first)
     if suspects.isEmpty():
         return suspects.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> a")
     tokens = texts.join(suspects, "node").select("node", "text").mapInArrow(_tokens, "node long, tokens array<long>")
-    tokens = stored(tokens.select("node", F.explode("tokens").alias("token")), "tokens")
-    rarity = tokens.groupBy("token").agg(F.count("*").alias("times"))
-    ordered = tokens.join(rarity, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("times", "token"))).alias("tokens"))
+    tokens = stored(tokens.select("node", F.size("tokens").alias("size"), F.explode("tokens").alias("token")), "tokens")
+    # Elements that no one else has come first in the order of rarity; only their number matters.
+    rarity = tokens.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
+    ordered = tokens.join(rarity, "token").groupBy("node", "size").agg(
+        F.array_sort(F.collect_list(F.struct("times", "token"))).alias("tokens")
+    )
     # A set of which so many elements are left can be linked to sets of at most that size. What is left are the
     # elements that anyone else has at all, and for a common element of two sets those from its place on.
     reach = lambda left: F.floor((left * (100 + PERCENT) - F.col("size") * PERCENT) / PERCENT)
-    ordered = ordered.select("node", "tokens", F.size("tokens").alias("size"))
-    ordered = ordered.withColumn("reach", reach(F.size(F.filter("tokens", lambda t: t["times"] > 1))))
+    ordered = ordered.withColumns({"reach": reach(F.size("tokens")), "alone": F.col("size") - F.size("tokens")})
     ordered = stored(ordered.where(f"100 * reach >= {PERCENT} * size").join(suspects, "node"), "ordered")
+    forget(tokens)
+    shared = F.greatest(_prefix(F.col("size")) - F.col("alone"), F.lit(0)).cast("int")
     postings = ordered.select(
-        "node",
-        "root",
-        "size",
-        F.posexplode(F.slice("tokens", 1, _prefix(F.col("size")).cast("int"))).alias("place", "t"),
-    ).select("node", "root", "size", F.col("t.token").alias("token"), "t.times", reach(F.col("size") - F.col("place")).alias("most"))
-    postings = stored(postings.where("times > 1"), "postings")
-    suspects = ordered.select("node", "root", "size", "reach")
+        "node", "root", "size", "alone", F.posexplode(F.slice("tokens", 1, shared)).alias("place", "t")
+    )
+    most = reach(F.col("size") - F.col("alone") - F.col("place")).alias("most")
+    postings = stored(postings.select("node", "root", "size", F.col("t.token").alias("token"), most), "postings")
+    suspects = stored(ordered.select("node", "root", "size", "reach"), "suspects")
+    forget(ordered)
     held = postings.groupBy("token", "root").agg(F.min("size").alias("low"), F.max("most").alias("most"))
     sides = held.alias("x").join(held.alias("y"), "token")
     sides = sides.where("x.root < y.root and x.low <= y.most and y.low <= x.most")
     sides = stored(sides.select(F.col("x.root").alias("a"), F.col("y.root").alias("b")).distinct(), "sides")
+    forget(postings)
 
     # Distances of pivots and of members to their own pivot (a component's smallest node) bound those of members.
     distance = F.col("of_all") - F.col("shared")
     far = (distance / F.col("of_all") - (1 - PERCENT / 100) - 1e-9).alias("far")
-    sides = stored(_compared(sides, texts).select(F.col("a").alias("root_a"), F.col("b").alias("root_b"), far), "sides")
+    pairs = sides
+    sides = stored(_compared(pairs, texts).select(F.col("a").alias("root_a"), F.col("b").alias("root_b"), far), "distances")
+    forget(pairs)
     ends = sides.select(F.explode(F.array("root_a", "root_b")).alias("root")).distinct()
     members = suspects.join(ends, "root", "left_semi").select(F.col("root").alias("a"), F.col("node").alias("b"))
     away = _compared(members, texts).select(F.col("b").alias("node"), (distance / F.col("of_all")).alias("away"))
