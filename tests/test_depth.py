@@ -277,3 +277,41 @@ def test_spread_of_huge_prices_does_not_depend_on_the_order(spark):
         mean = sum(prices) / len(prices)
         exact = sum((p - mean) ** 2 for p in prices) / (len(prices) - 1)
         assert math.isclose(found[type_id], math.sqrt(exact), rel_tol=1e-12)
+
+
+def scattered_orders(spark, n=4000):
+    """Orders of a few types, one of them with half of all; prices repeat, and some stations are unknown."""
+    return spark.range(n).selectExpr(
+        "1 + id % 2 as order_set", "case when id % 4 < 2 then 1 else id % 60 end as type_id", "id % 3 = 0 as buy",
+        "cast(1 + id * 7 % 400 as decimal(19,4)) as price", "1 + id % 9 as volume",
+        "10 + id % 3 as region_id", "100 + id % 7 as station_id",
+    )
+
+
+def test_orders_are_exchanged_once_before_they_are_expanded(spark):
+    """Besides the counts of buckets, the ordinary walk of all scopes has one exchange, below the expansion, and one sort."""
+    orders = scattered_orders(spark)
+    stations = spark.range(100, 106).selectExpr("id as station_id", "id % 2 as system_id")
+    plan = plan_of(depth.aggregate_all_scopes(orders, stations))
+    walk = plan[plan.index("Window [") :]
+    walk = walk[: walk.index("LeftAnti")]
+    assert walk.count("Exchange hashpartitioning") == 1 and walk.index("Generate explode") < walk.index("Exchange")
+    assert walk.count("Sort [") == 1 and "HashAggregate" not in walk
+
+
+@pytest.mark.parametrize("hot_rows", [0, 2, 30, 500])
+def test_all_scopes_in_pieces_equal_the_plain_walk(spark, hot_rows):
+    orders = scattered_orders(spark)
+    stations = spark.range(100, 106).selectExpr("id as station_id", "id % 2 as system_id")
+    plain = depth.aggregate_all_scopes(orders, stations)
+    cut = depth.aggregate_all_scopes(orders, stations, hot_rows=hot_rows)
+    assert as_set(plain) == as_set(cut, plain.columns)
+    levels_ = depth.depth_stats(depth.all_scope_levels(orders, stations))
+    assert as_set(plain) == as_set(levels_, plain.columns)
+
+
+def test_rows_of_full_buckets_are_set_apart(spark):
+    rows = spark.range(3000).selectExpr("case when id < 500 then null when id < 1500 then 0 else id end as k")
+    plain, suspects = skew.apart_by_bucket(rows, ["k"], hot_rows=800)
+    assert suspects.where("k = 0").count() == 1000 and plain.where("k = 0").isEmpty()
+    assert plain.count() + suspects.count() == 3000
