@@ -290,6 +290,20 @@ def test_only_what_is_asked_for_is_aggregated(spark, market):
     assert any("loc_id" not in plan[i] and i > folds[1] for i in joins)
 
 
+def test_buckets_follow_the_shuffle_partitions(spark, tmp_path):
+    """A bucket is one task, so there are as many as of any other exchange of the session."""
+    stats = spark.range(300).selectExpr("id as loc_id", "id % 7 as type_id", "id % 2 = 0 as buy", *[f"1.0 as {n}" for n in depth.STATISTICS])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        lookup.store_for_lookup(stats, "live_many_buckets", str(tmp_path / "live"))
+        described = spark.sql("describe extended live_many_buckets").where("col_name = 'Num Buckets'").first()
+        assert described.data_type == "23" and spark.table("live_many_buckets").count() == 300
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sql("drop table if exists live_many_buckets")
+
+
 def test_stored_statistics_are_not_exchanged(spark, market, tmp_path):
     stats = depth.aggregate_all_scopes(market.orders.where("order_set = 7"), market.stations)
     lookup.store_for_lookup(stats, "live_for_test", str(tmp_path / "live"), 4)
