@@ -64,7 +64,12 @@ def forget(*frames: DataFrame) -> None:
     for frame in frames:
         _made.remove(frame.stored_path)
         _delete(frame.sparkSession, frame.stored_path)
-    frames[0].sparkSession._jvm.System.gc()
+    let_go(frames[0].sparkSession)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have Spark drop the shuffles and checkpoints that nothing refers to any more."""
+    spark._jvm.System.gc()
 
 
 def drop_stored(spark: SparkSession) -> None:

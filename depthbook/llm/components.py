@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depthbook.llm.common import checkpointed
+from depthbook.llm.common import checkpointed, let_go
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def _stars(links: DataFrame, larger: bool) -> DataFrame:
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, root for every node in `links` (columns a, b; long): root is the smallest node reachable.
 
-    Every round is written to the shared folder. Rounds grow with the logarithm of the longest path.
+    Every round is written to the shared folder, and what the one before it left behind goes. Rounds grow with the
+    logarithm of the longest path.
     """
     links = checkpointed(links.select("a", "b").where("a <> b").distinct())
     before = None
@@ -41,4 +42,5 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
             own = links.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
             return roots.union(own)
         before = state
+        let_go(links.sparkSession)
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -358,6 +358,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = checkpointed(components(links))
     rest = _between(candidates, roots)
     links = links.union(stored(_confirmed(rest, texts), "links"))
+    forget(candidates)
     roots = checkpointed(components(links))
     more = stored(_exact_pass(open_nodes, texts, roots), "links")
     if not more.isEmpty():
@@ -369,7 +370,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     out = signed.drop("numbers").join(named, "digest", "left")
     out = out.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return out.select("doc_id", "text_key", "n_shingles", "component_id", kept.alias("kept"))
+    out = stored(out.select("doc_id", "text_key", "n_shingles", "component_id", kept.alias("kept")), "near-duplicates")
+    forget(signed, classes, texts)
+    return out
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from text_support import prose
 from pyspark.sql import functions as F
 
-from depthbook.llm import components, lsh_forest, stream_dedup, unit_dedup
+from depthbook.llm import common, components, lsh_forest, stream_dedup, unit_dedup
 
 
 def grams(text):
@@ -87,6 +87,19 @@ def test_components_of_long_chains(spark):
     assert found == {(i, 0) for i in range(300)} | {(i, 1001) for i in range(1001, 1301)}
 
 
+def test_what_a_job_leaves_behind(spark, odd_docs, monkeypatch):
+    """Every round of components drops the one before, and only the result's table is left of near-duplicates."""
+    dropped = []
+    monkeypatch.setattr(components, "let_go", dropped.append)
+    chain = spark.range(1, 300).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
+    assert components.components(chain).count() == 300 and len(dropped) >= 3
+    before = list(common._made)
+    found = lsh_forest.near_duplicates(odd_docs)
+    left = {path.rpartition("/")[2].rpartition("-")[0] for path in common._made if path not in before}
+    assert "near-duplicates" in left and not left & {"signed", "classes", "texts", "candidates"}
+    assert found.count() == odd_docs.count()
+
+
 def brute_groups(rows):
     groups = defaultdict(list)
     for doc, text in rows:
