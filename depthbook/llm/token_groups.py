@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -60,8 +62,19 @@ def _vocabulary(sizes: np.ndarray, sign: str) -> Vocabulary:
     return Vocabulary(sizes, within, last)
 
 
+#: What public_tokenizers.PATTERN matches in ASCII texts, without tables of Unicode.
+ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+
+
+def _characters() -> list[str]:
+    """The characters of byte-level vocabularies: printable ones stand for themselves, the others follow from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 class ByteLevel(dict):
-    """A's ids of words, which it encodes one by one: what its pattern matches."""
+    """A's ids of words, which its model encodes one by one: what its pattern matches, with characters for bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -74,16 +87,20 @@ class ByteLevel(dict):
             sizes[number] = len(token)
         self.vocabulary = _vocabulary(sizes, "|")
         self.find = regex.compile(public_tokenizers.PATTERN).findall
+        self.find_ascii = re.compile(ASCII_PATTERN).findall
+        self.pieces = self.tokenizer.model.tokenize
+        self.characters = _characters()
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = found = np.asarray(ids, "<u4").tobytes()
+        spelled = "".join([self.characters[b] for b in word.encode()])
+        self[word] = found = array("I", [token.id for token in self.pieces(spelled)]).tobytes()
         return found
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self) > REMEMBERED:
             self.clear()
-        return [np.frombuffer(b"".join(map(self.__getitem__, self.find(t))), "<u4").astype(np.int64) for t in texts]
+        words = (self.find_ascii(t) if t.isascii() else self.find(t) for t in texts)
+        return [np.frombuffer(b"".join([self[w] for w in found]), np.uintc).astype(np.int64) for found in words]
 
 
 class PieceLevel:

@@ -204,6 +204,18 @@ def test_pointers_reach_across_a_long_group():
     assert (group_a.tolist(), group_b.tolist()) == ([0, 0, 1, 2], [0, 1, 2, 2])
 
 
+def test_words_of_the_byte_level_side():
+    """The ASCII form of the pattern cuts as the pattern does, and the model alone gives the tokenizer's ids."""
+    side, rng = token_groups.ByteLevel(token_groups.TOKENIZER_A), random.Random(8)
+    ascii_texts = [chr(i) + chr(j) for i in range(128) for j in range(128)]
+    ascii_texts += ["".join(rng.choices("a'slrevmtd1 \t\n\x1c\x0b.<|>", k=rng.randrange(1, 9))) for _ in range(5000)]
+    assert all(side.find_ascii(t) == side.find(t) for t in ascii_texts)
+    rows = [*ascii_texts[::7], *texts(9, 3000), "".join(map(chr, range(0x250))), "<|endoftext|> x"]
+    library = Tokenizer.from_file(token_groups.TOKENIZER_A)
+    library.encode_special_tokens = True
+    assert [ids.tolist() for ids in side.encode(rows)] == [library.encode(t, add_special_tokens=False).ids for t in rows]
+
+
 def test_pairs_made_in_parts(monkeypatch):
     side_a, side_b = token_groups.ByteLevel(token_groups.TOKENIZER_A), token_groups.PieceLevel(token_groups.MODEL_B)
     rows = texts(7, 40)
