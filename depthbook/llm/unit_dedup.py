@@ -8,13 +8,15 @@ In scripts without spaces `WORD_CHARS` characters count as a word of a line or s
 
 One digest a word would be too much to send. Of each passage the `ANCHOR` words with the smallest hash are its anchor; equal
 passages have equal anchors, and neighbours mostly share theirs. Anchors are grouped with the lines and sentences, and
-only passages whose anchor is in several documents are digested and grouped in a second round. Passages within a line
-that is removed anyway are left out there: an earlier document holds them with the line.
+only passages whose anchor is in several documents are digested and grouped in a second round. Passages within a line or
+sentence that is removed anyway are left out there: an earlier document holds them with it.
 
 Digests (127 bits and a bit for the kind) are grouped over all documents. The occurrence in the document with the smallest id stays, in a
 document the first one; all others are removed. Spans are kept in characters of the original text. A task sends each of
 a document's digests once, the group of a digest is its smallest id and a count, combined before the shuffle, so a unit
-that every document holds is one row per task; its join back is a plain join that splits a skewed key.
+that every document holds is one row per task; its join back is a plain join that splits a skewed key. Digests travel with
+their span, so texts are taken apart once, and only those with shared anchors once more. Each round's digests are written to
+the shared folder, grouped, joined and deleted before the next round's are made.
 
 Cases: null and empty texts have no units; null ids count as the largest, and rows that share an id (null ids too)
 remove nothing from each other; an empty table gives no rows; other columns are ignored.
@@ -23,7 +25,7 @@ remove nothing from each other; an empty table gives no rows; other columns are
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthbook.llm.common import python_path, table, text_key, text_of
+from depthbook.llm.common import forget, python_path, stored, table, text_key, text_of
 
 LINE_WORDS = 4
 SENTENCE_WORDS = 6
@@ -41,6 +43,8 @@ ANCHOR = 10
 LAST_ID = 2**63 - 1
 
 _SENTENCE_END = re.compile(r"(?<=[.!?…。！？])\s+|(?<=[。！？])(?=[^\s。！？」』”’）])")
+#: The same in ASCII lines, with the stop in the match.
+_ASCII_SENTENCE_END = re.compile(r"[.!?]\s+")
 #: Thai, Lao, Myanmar, Khmer, kana, Han: first and last character.
 _SCRIPTS = [(0xE00, 0xEFF), (0x1000, 0x107F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4D7F), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
 _SPACELESS = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _SCRIPTS) + "]")
@@ -132,13 +136,10 @@ class _Passages:
         views = np.lib.stride_tricks.sliding_window_view(mixed ^ (mixed >> np.uint64(33)), PASSAGE - ANCHOR + 1)
         return np.arange(self.n) + np.concatenate([views[i : i + 10_000].argmin(axis=1) for i in range(0, self.n, 10_000)])
 
-    def anchor_keys(self) -> dict[int, tuple[int, int]]:
-        return {a: _key(self.unit(a, ANCHOR), anchor=True) for a in np.unique(self.anchors()).tolist()} if self.n else {}
-
-    def found_by(self, keys: set[tuple[int, int]]) -> np.ndarray:
-        """The passages whose anchor is among the keys."""
-        known = [a for a, key in self.anchor_keys().items() if key in keys]
-        return np.flatnonzero(np.isin(self.anchors(), known)) if known else np.array([], np.int64)
+    def anchor_keys(self) -> Iterator[tuple[int, tuple[int, int]]]:
+        """The first words of all anchors and their digests."""
+        for a in np.unique(self.anchors()).tolist() if self.n else ():
+            yield a, _key(self.unit(a, ANCHOR), anchor=True)
 
     def again(self) -> dict[int, int]:
         """Passages that the text holds before: where it does first."""
@@ -146,10 +147,17 @@ class _Passages:
             return {}
         _, first, back = np.unique(_runs(self.words, PASSAGE), return_index=True, return_inverse=True)
         first = first[back]
-        late = np.flatnonzero(first < np.arange(self.n)).tolist()
-        if not late:
+        late = np.flatnonzero(first < np.arange(self.n))
+        if not len(late):
             return {}
+        # Neighbours that are as far from their first ones are compared in one piece.
+        before = first[late]
+        cuts = np.flatnonzero((np.diff(late) != 1) | (np.diff(before) != 1)) + 1
+        stretches = [(p[0], b[0], len(p) + PASSAGE - 1) for p, b in zip(np.split(late, cuts), np.split(before, cuts), strict=True)]
+        if all(self.unit(i, n) == self.unit(j, n) for i, j, n in stretches):
+            return dict(zip(late.tolist(), before.tolist(), strict=True))
         # Equal hashes of different words are told apart here.
+        late = late.tolist()
         known: dict[bytes, int] = {}
         for i in sorted({*late, *first[late].tolist()}):
             known.setdefault(self.unit(i), i)
@@ -177,20 +185,32 @@ def _words(text: str) -> tuple[list[bytes], int]:
 
 def _lines(text: str) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, normalised) of lines and sentences that take part; a line goes before its sentences."""
+    if text.isascii():
+        plain, sentence_end = text.encode().translate(_SPACES).lower(), _ASCII_SENTENCE_END
+
+        def words_of(start: int, end: int) -> tuple[list[bytes], int]:
+            words = plain[start:end].split()
+            return words, len(words)
+    else:
+        sentence_end = _SENTENCE_END
+
+        def words_of(start: int, end: int) -> tuple[list[bytes], int]:
+            return _words(text[start:end])
+
     at = 0
     for line in text.split("\n"):
         start, at = at, at + len(line) + 1
-        whole, size = _words(line)
+        whole, size = words_of(start, at - 1)
         if size < LINE_WORDS:
             continue
         yield start, min(at, len(text)), b" ".join(whole)
         if size <= SENTENCE_WORDS:
             continue
-        cuts = [0, *(m.end() for m in _SENTENCE_END.finditer(line)), len(line)]
+        cuts = [0, *(m.end() for m in sentence_end.finditer(line)), len(line)]
         if len(cuts) == 2:
             continue
         for a, b in zip(cuts, cuts[1:], strict=False):
-            words, size = _words(line[a:b])
+            words, size = words_of(start + a, start + b)
             # One that holds all words of the line would repeat it.
             if size >= SENTENCE_WORDS and words != whole:
                 yield start + a, start + b, b" ".join(words)
@@ -205,89 +225,96 @@ def units(text: str) -> Iterator[tuple[int, int, bytes]]:
         yield from ((a, b, found.unit(i)) for i, (a, b) in enumerate(zip(starts, ends, strict=True)))
 
 
-def _rows(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "key", "h1", "h2"]
+def _span(start: int, end: int) -> int:
+    return start << 32 | end
+
+
+def _joined(spans: Iterable[tuple[int, int]]) -> list[list[int]]:
+    """Overlapping and touching spans as one."""
+    joined: list[list[int]] = []
+    for start, end in sorted(spans):
+        if joined and start <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], end)
+        else:
+            joined.append([start, end])
+    return joined
+
+
+#: What a task sends of a document: digests with the span to remove if the digest goes (of an anchor the number of its
+#: first word); without a digest, spans that go anyway.
+_DIGESTS = "doc_id long, key long, h1 long, h2 long, span long"
+
+
+def _rows(batches: Iterator[pa.RecordBatch], found_in) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs, keys, first, second = [], [], [], []
+        columns: list[list] = [[], [], [], [], []]
 
         def made():
-            columns = [pa.array(c, pa.int64()) for c in (docs, keys, first, second)]
-            for c in (docs, keys, first, second):
+            arrays = [pa.array(c, pa.int64()) for c in columns]
+            for c in columns:
                 c.clear()
-            return pa.RecordBatch.from_arrays(columns, names)
+            return pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "h1", "h2", "span"])
 
+        docs, keys, first, second, spans = columns
         for row in range(batch.num_rows):
             doc, key = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-            for h1, h2 in sorted(keys_of(batch, row)):
+            for (h1, h2), span in found_in(batch, row):
                 docs.append(doc)
                 keys.append(key)
                 first.append(h1)
                 second.append(h2)
+                spans.append(span)
                 if len(docs) == 100_000:
                     yield made()
         yield made()
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def keys_of(batch, row):
-        text = batch.column(2)[row].as_py()
-        return {_key(unit) for _, _, unit in _lines(text)} | set(_Passages(text).anchor_keys().values())
-
-    return _rows(batches, keys_of)
+    """Lines, sentences and anchors of every text, and what the text itself holds before."""
 
+    def found_in(batch, row):
+        text = batch.column(2)[row].as_py()
+        seen, own = set(), []
+        for start, end, unit in _lines(text):
+            key = _key(unit)
+            if key in seen:
+                own.append((start, end))
+            else:
+                seen.add(key)
+                yield key, _span(start, end)
+        found = _Passages(text)
+        for word, key in found.anchor_keys():
+            yield key, word
+        again = found.again()
+        if again:
+            own += zip(*found.spans(np.asarray(sorted(again)), again), strict=True)
+        for start, end in _joined(own):
+            yield (None, None), _span(start, end)
 
-def _found(column: pa.Array, row: int) -> set[tuple[int, int]]:
-    return {(f["h1"], f["h2"]) for f in column[row].as_py() or ()}
+    return _rows(batches, found_in)
 
 
 def _emit_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def keys_of(batch, row):
-        repeated = _found(batch.column(3), row)
-        if not any(h2 & 1 for _, h2 in repeated):
-            return ()
-        text = batch.column(2)[row].as_py()
-        found = _Passages(text)
-        passages = found.found_by(repeated)
-        starts, ends = found.spans(passages, {})
-        # Lines do not overlap, so the one that starts last before a passage is the one to hold it.
-        lines, at = [(0, 0)], 0
-        for line in text.split("\n"):
-            if len(line) >= PASSAGE and _key(b" ".join(_words(line)[0])) in repeated:
-                lines.append((at, at + len(line)))
-            at += len(line) + 1
-        own = np.searchsorted([a for a, _ in lines], starts, side="right") - 1
-        return {
-            _key(found.unit(i))
-            for i, end, line in zip(passages.tolist(), ends, own.tolist(), strict=True)
-            if end > lines[line][1]
-        }
-
-    return _rows(batches, keys_of)
-
-
-def cut(text: str, repeated: set[tuple[int, int]], passages: set[tuple[int, int]] = frozenset()) -> list[list[int]]:
-    """The spans to remove: units found elsewhere before, or before in this text; overlapping ones as one."""
-    spans: list[tuple[int, int]] = []
-    seen: set[tuple[int, int]] = set()
-    for start, end, unit in _lines(text):
-        key = _key(unit)
-        if key in seen or key in repeated:
-            spans.append((start, end))
-        seen.add(key)
-    found = _Passages(text)
-    again = found.again()
-    gone = set(again)
-    if passages:
-        gone.update(i for i in found.found_by(repeated).tolist() if _key(found.unit(i)) in passages)
-    if gone:
-        spans += zip(*found.spans(np.asarray(sorted(gone)), again), strict=True)
-    joined: list[list[int]] = []
-    for start, end in sorted(spans):
-        if joined and start <= joined[-1][1]:
-            joined[-1][1] = max(joined[-1][1], end)
-        else:
-            joined.append([start, end])
-    return joined
+    """The passages of the given anchors that no single one of the given spans holds; each digest where it is first."""
+
+    def found_in(batch, row):
+        found = _Passages(batch.column(2)[row].as_py())
+        passages = np.flatnonzero(np.isin(found.anchors(), batch.column(3)[row].values.to_numpy()))
+        starts, ends = (np.asarray(x) for x in found.spans(passages, {}))
+        gone = np.sort(batch.column(4)[row].values.to_numpy())
+        if len(gone):
+            held = np.searchsorted(gone >> 32, starts, side="right") - 1
+            reach = np.maximum.accumulate(gone & 0xFFFFFFFF)
+            passages = passages[(held < 0) | (ends > reach[held])]
+        first: dict[tuple[int, int], int] = {}
+        for i in passages.tolist():
+            first.setdefault(_key(found.unit(i)), i)
+        if first:
+            starts, ends = found.spans(np.asarray([*first.values()]), found.again())
+            for key, start, end in zip(first, starts, ends, strict=True):
+                yield key, _span(start, end)
+
+    return _rows(batches, found_in)
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +322,7 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, removed = [], []
         for row in range(batch.num_rows):
             text = batch.column(2)[row].as_py()
-            spans = cut(text, _found(batch.column(3), row), _found(batch.column(4), row))
+            spans = _joined((s >> 32, s & 0xFFFFFFFF) for s in batch.column(3)[row].as_py() or ())
             kept, at = [], 0
             for start, end in spans:
                 kept.append(text[at:start])
@@ -309,14 +336,12 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _repeated(found: DataFrame, name: str) -> DataFrame:
-    """Per row of documents the digests that an earlier document holds; of anchors all that several documents hold."""
+def _repeated(found: DataFrame) -> DataFrame:
+    """The digests that an earlier document holds, by document; of anchors all that several documents hold."""
     groups = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     groups = groups.where("first < last").drop("last")
     later = found.join(groups, ["h1", "h2"]).where("doc_id > first or h2 & 1 = 1")
-    # Bounded by a document's own units.
-    later = later.groupBy("doc_id", "key").agg(F.collect_list(F.struct("h1", "h2")).alias(name))
-    return later.select(F.col("doc_id").alias("rank"), "key", name)
+    return later.select("doc_id", "key", "h2", "span")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -324,16 +349,24 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     python_path(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), text_key("text").alias("text_key"), text_of("text").alias("text"))
     rank = F.coalesce("doc_id", F.lit(LAST_ID))
-    digests = "doc_id long, key long, h1 long, h2 long"
-    found = rows.select(rank.alias("doc_id"), "text_key", "text").mapInArrow(_emit, digests)
-    repeated = _repeated(found, "repeated")
-    rows = rows.join(repeated, (rank == F.col("rank")) & (F.col("text_key") == F.col("key")), "left").drop("rank", "key")
-    known = rows.where("repeated is not null")
-    found = known.select(rank.alias("doc_id"), "text_key", "text", "repeated").mapInArrow(_emit_passages, digests)
-    passages = _repeated(found, "passages")
-    rows = rows.join(passages, (rank == F.col("rank")) & (F.col("text_key") == F.col("key")), "left")
+    # Digests are made once: they are grouped, and meet their groups again.
+    found = stored(rows.select(rank.alias("doc_id"), "text_key", "text").mapInArrow(_emit, _DIGESTS), "digests")
+    own = found.where("h1 is null").select("doc_id", "key", "h2", "span")
+    repeated = stored(_repeated(found.where("h1 is not null")).unionByName(own), "repeated")
+    forget(found)
+    # Bounded by a document's own units.
+    anchors, lines = (F.collect_list(F.when(F.col("h2").bitwiseAND(1) == bit, F.col("span"))) for bit in (1, 0))
+    known = repeated.groupBy(F.col("doc_id").alias("rank"), "key").agg(anchors.alias("anchors"), lines.alias("lines"))
+    known = rows.join(known.where(F.size("anchors") > 0), (rank == F.col("rank")) & (F.col("text_key") == F.col("key")))
+    found = known.select("rank", "text_key", "text", "anchors", "lines").mapInArrow(_emit_passages, _DIGESTS)
+    found = stored(found, "passages")
+    passages = stored(_repeated(found), "repeated-passages")
+    forget(found)
+    spans = repeated.where("h2 is null or h2 & 1 = 0").unionByName(passages)
+    spans = spans.groupBy(F.col("doc_id").alias("rank"), "key").agg(F.collect_list("span").alias("spans"))
+    rows = rows.join(spans, (rank == F.col("rank")) & (F.col("text_key") == F.col("key")), "left")
     span = "array<struct<start:long,end:long>>"
-    return rows.select("doc_id", "text_key", "text", "repeated", "passages").mapInArrow(
+    return rows.select("doc_id", "text_key", "text", "spans").mapInArrow(
         _clean, f"doc_id long, text_key long, text string, removed {span}"
     )
 

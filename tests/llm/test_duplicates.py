@@ -244,6 +244,40 @@ def test_scripts_without_spaces(spark):
     assert by_id[6] == rows[5][1].replace(passage + " ", "")
 
 
+def test_digests_are_made_once(spark, tmp_path, monkeypatch):
+    """Each text is taken apart once, and what was made for one round is gone after it."""
+    rng = random.Random(6)
+    passage = prose(rng, 70)
+    rows = [(i, f"{prose(rng, 30)} {passage} {prose(rng, 20)}") for i in range(20)]
+    taken = tmp_path / "taken"
+    emit = unit_dedup._emit
+
+    def noted(batches):
+        for batch in batches:
+            with taken.open("a") as file:
+                file.write("x" * batch.num_rows)
+            yield from emit(iter([batch]))
+
+    monkeypatch.setattr(unit_dedup, "_emit", noted)
+    before = list(common._made)
+    found = unit_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert Counter((r.doc_id, r.text, sum(s.end - s.start for s in r.removed)) for r in found) == brute_units(rows)
+    assert taken.read_text() == "x" * len(rows)
+    left = {path.rpartition("/")[2].rpartition("-")[0] for path in common._made if path not in before}
+    assert left == {"repeated", "repeated-passages"}
+
+
+def test_repeats_across_and_within_texts(spark):
+    """Lines held before in part, passages across their ends, equal stretches that overlap themselves."""
+    rng = random.Random(7)
+    line, other = (" ".join(prose(rng, 60).replace(".", "").split()) for _ in range(2))
+    period = " ".join(prose(rng, 7).replace(".", "").split())
+    rows = [(1, f"{line}\n{other}"), (2, f"{other}\n{line}"), (3, f"{line}\n{line} {other}\n{line}"), (4, " ".join([period] * 30))]
+    rows += [(5, f"x {line} {other}\n{line}"), (6, f"{' '.join([period] * 20)}\n{' '.join([period] * 9)}"), (6, rows[2][1]), (None, rows[0][1])]
+    found = unit_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text, sum(s.end - s.start for s in r.removed)) for r in found) == brute_units(rows)
+
+
 def test_digest_of_a_text(odd_docs):
     for r in stream_dedup.exact_duplicates(odd_docs.where("doc_id in (1, 10)")).collect():
         text = {1: "", 10: "Ünï cödé 漢字 😀 ok\x00\x1c é"}[r.doc_id]
