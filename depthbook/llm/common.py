@@ -39,11 +39,26 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Whether a query's shuffles go when it ends; else they wait for the driver's garbage collector.
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: computed once, lineage cut, safe against lost executors."""
+    """The frame as a Parquet table in the shared folder: computed once, lineage cut, safe against lost executors.
+
+    What was shuffled for it goes with the write.
+    """
     spark = frame.sparkSession
     path = shared_folder(spark, name)
-    frame.write.parquet(path)
+    before = spark.conf.get(_SHUFFLES_GO, None)
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLES_GO)
+        else:
+            spark.conf.set(_SHUFFLES_GO, before)
     _made.append(path)
     found = spark.read.schema(frame.schema).parquet(path)
     found.stored_path = path

@@ -16,7 +16,7 @@ document the first one; all others are removed. Spans are kept in characters of
 a document's digests once, the group of a digest is its smallest id and a count, combined before the shuffle, so a unit
 that every document holds is one row per task; its join back is a plain join that splits a skewed key. Digests travel with
 their span, so texts are taken apart once, and only those with shared anchors once more. Each round's digests are written to
-the shared folder, grouped, joined and deleted before the next round's are made.
+the shared folder, grouped and joined slice by slice, and deleted before the next round's are made.
 
 Cases: null and empty texts have no units; null ids count as the largest, and rows that share an id (null ids too)
 remove nothing from each other; an empty table gives no rows; other columns are ignored.
@@ -24,6 +24,7 @@ remove nothing from each other; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -41,6 +42,8 @@ WORD_CHARS = 2
 PASSAGE = 50
 ANCHOR = 10
 LAST_ID = 2**63 - 1
+#: A round's digests are exchanged in so many slices, which bounds the disk that their exchanges take at a time.
+SLICES = 2
 
 _SENTENCE_END = re.compile(r"(?<=[.!?…。！？])\s+|(?<=[。！？])(?=[^\s。！？」』”’）])")
 #: The same in ASCII lines, with the stop in the match.
@@ -55,14 +58,10 @@ _SPACES = bytes.maketrans(
 #: Hashes that choose anchors and tell equal passages of one text; digests are made of the words themselves.
 _BYTE = np.random.default_rng(8).integers(1, 2**63, 256, dtype=np.uint64)
 _PLACE = np.random.default_rng(9).integers(1, 2**63, 4096, dtype=np.uint64) | np.uint64(1)
-_STEP = 0x9E3779B97F4A7C15
+_STEPS = {2**i: np.uint64(pow(0x9E3779B97F4A7C15, 2**i, 2**64)) for i in range(PASSAGE.bit_length())}
 
 
-def _key(unit: bytes, anchor: bool = False) -> tuple[int, int]:
-    """A unit's digest; the last bit tells anchors."""
-    digest = xxhash.xxh3_128_digest(unit)
-    low = int.from_bytes(digest[8:], "big", signed=True)
-    return int.from_bytes(digest[:8], "big", signed=True), low | 1 if anchor else low & ~1
+_digest = xxhash.xxh3_128_digest
 
 
 def _runs(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -74,11 +73,11 @@ def _runs(hashes: np.ndarray, length: int) -> np.ndarray:
                 found = power
             else:
                 n = len(hashes) - done - size + 1
-                found = found[:n] * np.uint64(pow(_STEP, size, 2**64)) + power[done : done + n]
+                found = found[:n] * _STEPS[size] + power[done : done + n]
             done += size
         if done == length:
             return found ^ (found >> np.uint64(31))
-        power = power[:-size] * np.uint64(pow(_STEP, size, 2**64)) + power[size:]
+        power = power[:-size] * _STEPS[size] + power[size:]
         size *= 2
 
 
@@ -99,10 +98,13 @@ class _Passages:
 
     def __init__(self, text: str):
         self.raw = text.encode("utf-8", "surrogatepass")
+        self.ascii = len(self.raw) == len(text)
         self.plain = self.raw.translate(_SPACES).lower()
-        at = np.frombuffer(self.plain + b" ", np.uint8)
-        edges = np.flatnonzero(np.diff(at != 32, prepend=False))
-        single = np.flatnonzero(_STARTS[at[:-1].astype(np.uint16) << 8 | at[1:]])
+        at = np.frombuffer(b" " + self.plain + b" ", np.uint8)
+        sign = at != 32
+        edges = np.flatnonzero(sign[1:] != sign[:-1])
+        at = at[1:]
+        single = () if self.ascii else np.flatnonzero(_STARTS[at[:-1].astype(np.uint16) << 8 | at[1:]])
         if len(single):
             after = single + np.where(at[single] >= 0xF0, 4, 3)
             starts = np.union1d(np.r_[edges[::2], single], np.setdiff1d(after, edges[1::2]))
@@ -113,12 +115,18 @@ class _Passages:
         self.n = max(0, len(self.starts) - PASSAGE + 1)
         if not self.n:
             return
-        place = np.arange(len(at)) - np.repeat(np.r_[0, self.starts], np.diff(np.r_[0, self.starts, len(at)]))
-        words = np.add.reduceat(_BYTE[at] * _PLACE[place & 4095], edges)[::2]
+        steps = np.diff(self.starts, append=len(at))
+        place = np.arange(self.starts[0], len(at)) - np.repeat(self.starts, steps)
+        hashes = _BYTE[at[self.starts[0] :]] * _PLACE[place & 4095]
+        words = np.add.reduceat(hashes, edges - self.starts[0])[::2]
         words = (words ^ (words >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         self.words = words ^ (words >> np.uint64(32))
         sizes = self.ends - self.starts + 1
-        self.first = np.cumsum(sizes) - sizes  # of the space before each word
+        self.stops = np.cumsum(sizes)  # of each word, with the space before it
+        self.first = self.stops - sizes
+        if not len(single):
+            self.joined = b" " + b" ".join(self.plain.split())
+            return
         joined = np.full(sizes.sum(), 32, np.uint8)
         kept = np.flatnonzero(at != 32)
         joined[kept + np.repeat(self.first + 1 - self.starts, sizes - 1)] = at[kept]
@@ -126,24 +134,43 @@ class _Passages:
 
     def unit(self, word: int, length: int = PASSAGE) -> bytes:
         """Unlike a line or a sentence it starts with a space."""
-        last = word + length - 1
-        return self.joined[self.first[word] : self.first[last] + 1 + self.ends[last] - self.starts[last]]
+        return self.joined[self.first[word] : self.stops[word + length - 1]]
+
+    def digests(self, words: np.ndarray, length: int = PASSAGE) -> list[bytes]:
+        """Those of the units that start at the given words."""
+        if not len(words):
+            return []
+        joined, stops = self.joined, self.stops[words + length - 1]
+        return [_digest(joined[a:b]) for a, b in zip(self.first[words].tolist(), stops.tolist(), strict=True)]
 
+    @functools.cached_property
     def anchors(self) -> np.ndarray:
         """The first word of every passage's anchor; of equal hashes the first."""
+        if not self.n:
+            return np.zeros(0, np.int64)
         runs = _runs(self.words, ANCHOR)
         mixed = (runs ^ (runs >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-        views = np.lib.stride_tricks.sliding_window_view(mixed ^ (mixed >> np.uint64(33)), PASSAGE - ANCHOR + 1)
-        return np.arange(self.n) + np.concatenate([views[i : i + 10_000].argmin(axis=1) for i in range(0, self.n, 10_000)])
-
-    def anchor_keys(self) -> Iterator[tuple[int, tuple[int, int]]]:
-        """The first words of all anchors and their digests."""
-        for a in np.unique(self.anchors()).tolist() if self.n else ():
-            yield a, _key(self.unit(a, ANCHOR), anchor=True)
+        # The least of ever longer stretches, each put together from two that may overlap.
+        least = mixed ^ (mixed >> np.uint64(33))
+        where, size = np.arange(len(least)), 1
+        while size < PASSAGE - ANCHOR + 1:
+            step = min(size, PASSAGE - ANCHOR + 1 - size)
+            later = least[step:] < least[:-step]
+            least, where = np.where(later, least[step:], least[:-step]), np.where(later, where[step:], where[:-step])
+            size += step
+        return where
+
+    @functools.cached_property
+    def anchor_digests(self) -> tuple[np.ndarray, list[bytes]]:
+        """The first words of all anchors, which never go back along a text, and their digests."""
+        words = self.anchors[np.flatnonzero(np.diff(self.anchors, prepend=-1))]
+        return words, self.digests(words, ANCHOR)
 
     def again(self) -> dict[int, int]:
         """Passages that the text holds before: where it does first."""
-        if not self.n:
+        # Equal passages have equal anchors, at other words.
+        digests = self.anchor_digests[1]
+        if len(set(digests)) == len(digests):
             return {}
         _, first, back = np.unique(_runs(self.words, PASSAGE), return_index=True, return_inverse=True)
         first = first[back]
@@ -163,57 +190,51 @@ class _Passages:
             known.setdefault(self.unit(i), i)
         return {i: known[self.unit(i)] for i in late if known[self.unit(i)] < i}
 
-    def spans(self, passages: np.ndarray, again: dict[int, int]) -> tuple[list[int], list[int]]:
+    def spans(self, passages: np.ndarray, again: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends in characters, with the signs that follow up to the next word or line. Where a passage overlaps
         the first equal one of its text, it starts after it."""
-        starts = np.asarray([max(i, again[i] + PASSAGE) if i in again else i for i in passages.tolist()], np.int64)
+        starts = passages
+        if again:
+            starts = np.asarray([max(i, again[i] + PASSAGE) if i in again else i for i in passages.tolist()], np.int64)
         raw = np.frombuffer(self.raw, np.uint8)
-        chars = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
         ends = self.ends[passages + PASSAGE - 1]
-        stops = np.minimum(np.r_[self.starts, len(raw)][passages + PASSAGE], len(raw))
-        lines = np.r_[np.flatnonzero(raw == 10), len(raw)]
-        stops = np.minimum(stops, lines[np.searchsorted(lines, ends)])
-        return chars[self.starts[starts]].tolist(), chars[stops].tolist()
-
-
-def _words(text: str) -> tuple[list[bytes], int]:
-    """The words and how many they count for."""
-    words = text.encode("utf-8", "surrogatepass").translate(_SPACES).lower().split()
-    chars = 0 if text.isascii() else len(_SPACELESS.findall(text))
-    return words, max(len(words), chars // WORD_CHARS)
+        stops = np.append(self.starts, len(raw))[passages + PASSAGE]
+        lines = np.append(np.flatnonzero(raw == 10), len(raw))
+        starts, stops = self.starts[starts], np.minimum(stops, lines[np.searchsorted(lines, ends)])
+        if self.ascii:
+            return starts, stops
+        chars = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
+        return chars[starts], chars[stops]
 
 
 def _lines(text: str) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, normalised) of lines and sentences that take part; a line goes before its sentences."""
-    if text.isascii():
-        plain, sentence_end = text.encode().translate(_SPACES).lower(), _ASCII_SENTENCE_END
-
-        def words_of(start: int, end: int) -> tuple[list[bytes], int]:
-            words = plain[start:end].split()
-            return words, len(words)
-    else:
-        sentence_end = _SENTENCE_END
-
-        def words_of(start: int, end: int) -> tuple[list[bytes], int]:
-            return _words(text[start:end])
-
+    ascii_only = text.isascii()
+    spaceless = not ascii_only and _SPACELESS.search(text) is not None
     at = 0
     for line in text.split("\n"):
         start, at = at, at + len(line) + 1
-        whole, size = words_of(start, at - 1)
+        # Where all characters are one byte, bytes are cut where the line is.
+        single = ascii_only or line.isascii()
+        plain = line.encode("utf-8", "surrogatepass").translate(_SPACES).lower()
+        whole = plain.split()
+        size = max(len(whole), len(_SPACELESS.findall(line)) // WORD_CHARS) if spaceless else len(whole)
         if size < LINE_WORDS:
             continue
         yield start, min(at, len(text)), b" ".join(whole)
         if size <= SENTENCE_WORDS:
             continue
-        cuts = [0, *(m.end() for m in sentence_end.finditer(line)), len(line)]
-        if len(cuts) == 2:
+        cuts = [m.end() for m in (_ASCII_SENTENCE_END if single else _SENTENCE_END).finditer(line)]
+        if not cuts:
             continue
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            words, size = words_of(start + a, start + b)
+        a = 0
+        for b in (*cuts, len(line)):
+            words = (plain[a:b] if single else line[a:b].encode("utf-8", "surrogatepass").translate(_SPACES).lower()).split()
+            size = max(len(words), len(_SPACELESS.findall(line, a, b)) // WORD_CHARS) if spaceless else len(words)
             # One that holds all words of the line would repeat it.
             if size >= SENTENCE_WORDS and words != whole:
                 yield start + a, start + b, b" ".join(words)
+            a = b
 
 
 def units(text: str) -> Iterator[tuple[int, int, bytes]]:
@@ -222,11 +243,7 @@ def units(text: str) -> Iterator[tuple[int, int, bytes]]:
     found = _Passages(text)
     if found.n:
         starts, ends = found.spans(np.arange(found.n), found.again())
-        yield from ((a, b, found.unit(i)) for i, (a, b) in enumerate(zip(starts, ends, strict=True)))
-
-
-def _span(start: int, end: int) -> int:
-    return start << 32 | end
+        yield from ((a, b, found.unit(i)) for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)))
 
 
 def _joined(spans: Iterable[tuple[int, int]]) -> list[list[int]]:
@@ -245,28 +262,40 @@ def _joined(spans: Iterable[tuple[int, int]]) -> list[list[int]]:
 _DIGESTS = "doc_id long, key long, h1 long, h2 long, span long"
 
 
-def _rows(batches: Iterator[pa.RecordBatch], found_in) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns: list[list] = [[], [], [], [], []]
+#: Rows that a task hands on at a time.
+ROWS = 100_000
 
-        def made():
-            arrays = [pa.array(c, pa.int64()) for c in columns]
-            for c in columns:
-                c.clear()
-            return pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "h1", "h2", "span"])
 
-        docs, keys, first, second, spans = columns
+def _batch(docs: list[tuple[int, int, int, int]], digests: list[bytes], spans: list[int]) -> pa.RecordBatch:
+    """docs: (doc_id, key, kind, count), for so many digests and spans each; kinds: 0 units, 1 anchors, 2 without a digest."""
+    doc, key, kind, count = np.asarray(docs, np.int64).reshape(-1, 4).T
+    kind = np.repeat(kind, count)
+    halves = np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2).astype(np.int64)
+    none = kind == 2
+    arrays = [
+        pa.array(np.repeat(doc, count)),
+        pa.array(np.repeat(key, count)),
+        pa.array(halves[:, 0], mask=none),
+        pa.array(halves[:, 1] & ~1 | kind & 1, mask=none),
+        pa.array(spans, pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "h1", "h2", "span"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch], found_in) -> Iterator[pa.RecordBatch]:
+    """found_in: (kind, digests, spans) of a row's text, any number of times."""
+    docs, digests, spans = [], [], []
+    for batch in batches:
         for row in range(batch.num_rows):
             doc, key = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-            for (h1, h2), span in found_in(batch, row):
-                docs.append(doc)
-                keys.append(key)
-                first.append(h1)
-                second.append(h2)
-                spans.append(span)
-                if len(docs) == 100_000:
-                    yield made()
-        yield made()
+            for kind, of, at in found_in(batch, row):
+                docs.append((doc, key, kind, len(at)))
+                digests += of
+                spans += at
+                if len(spans) >= ROWS:
+                    yield _batch(docs, digests, spans)
+                    docs, digests, spans = [], [], []
+    yield _batch(docs, digests, spans)
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,22 +303,23 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def found_in(batch, row):
         text = batch.column(2)[row].as_py()
-        seen, own = set(), []
+        first: dict[bytes, int] = {}
+        own = []
         for start, end, unit in _lines(text):
-            key = _key(unit)
-            if key in seen:
+            digest = _digest(unit)
+            if digest in first:
                 own.append((start, end))
             else:
-                seen.add(key)
-                yield key, _span(start, end)
+                first[digest] = start << 32 | end
+        yield 0, list(first), list(first.values())
         found = _Passages(text)
-        for word, key in found.anchor_keys():
-            yield key, word
+        words, digests = found.anchor_digests
+        yield 1, digests, words.tolist()
         again = found.again()
         if again:
-            own += zip(*found.spans(np.asarray(sorted(again)), again), strict=True)
-        for start, end in _joined(own):
-            yield (None, None), _span(start, end)
+            own += zip(*(x.tolist() for x in found.spans(np.asarray(sorted(again)), again)), strict=True)
+        own = [start << 32 | end for start, end in _joined(own)]
+        yield 2, [bytes(16)] * len(own), own
 
     return _rows(batches, found_in)
 
@@ -299,20 +329,25 @@ def _emit_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     def found_in(batch, row):
         found = _Passages(batch.column(2)[row].as_py())
-        passages = np.flatnonzero(np.isin(found.anchors(), batch.column(3)[row].values.to_numpy()))
-        starts, ends = (np.asarray(x) for x in found.spans(passages, {}))
+        passages = np.flatnonzero(np.isin(found.anchors, batch.column(3)[row].values.to_numpy()))
+        starts, ends = found.spans(passages, {})
         gone = np.sort(batch.column(4)[row].values.to_numpy())
         if len(gone):
             held = np.searchsorted(gone >> 32, starts, side="right") - 1
             reach = np.maximum.accumulate(gone & 0xFFFFFFFF)
-            passages = passages[(held < 0) | (ends > reach[held])]
-        first: dict[tuple[int, int], int] = {}
-        for i in passages.tolist():
-            first.setdefault(_key(found.unit(i)), i)
-        if first:
-            starts, ends = found.spans(np.asarray([*first.values()]), found.again())
-            for key, start, end in zip(first, starts, ends, strict=True):
-                yield key, _span(start, end)
+            kept = (held < 0) | (ends > reach[held])
+            passages, starts, ends = passages[kept], starts[kept], ends[kept]
+        digests = found.digests(passages)
+        if len(set(digests)) < len(digests):
+            first: dict[bytes, int] = {}
+            for i, digest in enumerate(digests):
+                first.setdefault(digest, i)
+            digests, passages = list(first), passages[[*first.values()]]
+            starts, ends = found.spans(passages, {})
+        again = found.again()
+        if again:
+            starts, ends = found.spans(passages, again)
+        yield 0, digests, (starts << 32 | ends).tolist()
 
     return _rows(batches, found_in)
 
@@ -336,12 +371,18 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _repeated(found: DataFrame) -> DataFrame:
-    """The digests that an earlier document holds, by document; of anchors all that several documents hold."""
-    groups = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    groups = groups.where("first < last").drop("last")
-    later = found.join(groups, ["h1", "h2"]).where("doc_id > first or h2 & 1 = 1")
-    return later.select("doc_id", "key", "h2", "span")
+def _repeated(found: DataFrame, name: str) -> DataFrame:
+    """The digests that an earlier document holds, by document; of anchors all that several documents hold. Stored, and the
+    given table is deleted. Each slice of the digests is exchanged once that of the one before is gone."""
+    parts = [stored(found.where("h1 is null").select("doc_id", "key", "h2", "span"), name)]
+    for i in range(SLICES):
+        part = found.where(F.pmod("h1", F.lit(SLICES)) == i)
+        groups = part.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        groups = groups.where("first < last").drop("last")
+        later = part.join(groups, ["h1", "h2"]).where("doc_id > first or h2 & 1 = 1")
+        parts.append(stored(later.select("doc_id", "key", "h2", "span"), name))
+    forget(found)
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -351,17 +392,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rank = F.coalesce("doc_id", F.lit(LAST_ID))
     # Digests are made once: they are grouped, and meet their groups again.
     found = stored(rows.select(rank.alias("doc_id"), "text_key", "text").mapInArrow(_emit, _DIGESTS), "digests")
-    own = found.where("h1 is null").select("doc_id", "key", "h2", "span")
-    repeated = stored(_repeated(found.where("h1 is not null")).unionByName(own), "repeated")
-    forget(found)
+    repeated = _repeated(found, "repeated")
     # Bounded by a document's own units.
     anchors, lines = (F.collect_list(F.when(F.col("h2").bitwiseAND(1) == bit, F.col("span"))) for bit in (1, 0))
     known = repeated.groupBy(F.col("doc_id").alias("rank"), "key").agg(anchors.alias("anchors"), lines.alias("lines"))
     known = rows.join(known.where(F.size("anchors") > 0), (rank == F.col("rank")) & (F.col("text_key") == F.col("key")))
     found = known.select("rank", "text_key", "text", "anchors", "lines").mapInArrow(_emit_passages, _DIGESTS)
-    found = stored(found, "passages")
-    passages = stored(_repeated(found), "repeated-passages")
-    forget(found)
+    passages = _repeated(stored(found, "passages"), "repeated-passages")
     spans = repeated.where("h2 is null or h2 & 1 = 0").unionByName(passages)
     spans = spans.groupBy(F.col("doc_id").alias("rank"), "key").agg(F.collect_list("span").alias("spans"))
     rows = rows.join(spans, (rank == F.col("rank")) & (F.col("text_key") == F.col("key")), "left")

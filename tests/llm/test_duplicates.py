@@ -1,9 +1,14 @@
 """Near-duplicates, exact duplicates, repeated units; each against brute force."""
 
 import hashlib
+import os
 import random
+import tempfile
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
 import pytest
 from text_support import prose
 from pyspark.sql import functions as F
@@ -282,3 +287,60 @@ def test_digest_of_a_text(odd_docs):
     for r in stream_dedup.exact_duplicates(odd_docs.where("doc_id in (1, 10)")).collect():
         text = {1: "", 10: "Ünï cödé 漢字 😀 ok\x00\x1c é"}[r.doc_id]
         assert bytes(r.digest) == hashlib.sha256(text.encode()).digest()
+
+
+def test_stored_tables_leave_no_shuffles(spark, tmp_path):
+    """What a stored table shuffled goes when it is written, without the driver's garbage collector, and settings stay."""
+    def shuffles():
+        return {f for top in tops for f in Path(top).glob("blockmgr-*/*/shuffle_*.data")}
+
+    tops = {spark.conf.get("spark.local.dir", None) or tempfile.gettempdir(), os.environ.get("SPARK_LOCAL_DIRS") or "/tmp"}
+    settings = spark.sparkContext.getConf().getAll(), spark.conf.get(common._SHUFFLES_GO, None)
+    before = shuffles()
+    spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count().write.parquet(str(tmp_path / "plain"))
+    assert shuffles() - before, "shuffle files are looked for in the wrong place"
+    before = shuffles()
+    common.stored(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count(), "counts")
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert settings == (spark.sparkContext.getConf().getAll(), spark.conf.get(common._SHUFFLES_GO, None))
+
+
+def test_a_round_goes_slice_by_slice(spark, monkeypatch):
+    """A round's digests are exchanged in slices, and every slice is there."""
+    rng = random.Random(8)
+    passage = prose(rng, 90)
+    rows = [(i, f"{prose(rng, 40)}\n{passage if i % 3 else ''} {prose(rng, 20)}") for i in range(40)]
+    write, written = unit_dedup.stored, []
+
+    def noted(frame, name):
+        written.append((name, frame))
+        return write(frame, name)
+
+    monkeypatch.setattr(unit_dedup, "stored", noted)
+    found = unit_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text, sum(s.end - s.start for s in r.removed)) for r in found) == brute_units(rows)
+    for name in ("repeated", "repeated-passages"):
+        assert sum(n == name for n, _ in written) == 1 + unit_dedup.SLICES
+
+
+@pytest.mark.parametrize("length", [unit_dedup.PASSAGE - 1, unit_dedup.PASSAGE, 51, 90, 300])
+def test_anchors_are_the_least_of_a_passage(length):
+    """Against every window by itself; of equal ones the first; words that repeat too."""
+    rng = random.Random(length)
+    n = unit_dedup.PASSAGE - unit_dedup.ANCHOR + 1
+    for words in (7, 400):
+        found = unit_dedup._Passages(" ".join(f"w{rng.randrange(words)}" for _ in range(length)))
+        if not found.n:
+            assert not len(found.anchors) and found.anchor_digests[1] == [] and not found.again()
+            continue
+        runs = unit_dedup._runs(found.words, unit_dedup.ANCHOR)
+        mixed = (runs ^ (runs >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        mixed = (mixed ^ (mixed >> np.uint64(33))).tolist()
+        assert found.anchors.tolist() == [min(range(i, i + n), key=lambda j: (mixed[j], j)) for i in range(found.n)]
+        assert found.anchor_digests[0].tolist() == sorted(set(found.anchors.tolist()))
+        units = [found.unit(i) for i in range(found.n)]
+        assert found.again() == {i: units.index(u) for i, u in enumerate(units) if units.index(u) < i}
