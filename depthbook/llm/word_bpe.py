@@ -21,6 +21,7 @@ import base64
 import functools
 import hashlib
 import itertools
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -61,9 +62,23 @@ def _encoding(ranks: str):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=tokens, special_tokens={})
 
 
+#: Characters for whose classes the standard library's `re` needs ranges beside its table.
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
+
+
+def _faster(below: int) -> re.Pattern:
+    """PATTERN for texts of the characters below that number; their classes are listed, as `re` does not know them."""
+    every = "".join(chr(c) for c in range(below) if not 0xD800 <= c < 0xE000)
+    spans = lambda of: "".join(f"{re.escape(x[0])}-{re.escape(x[-1])}" for x in regex.findall(f"{of}+", every))
+    s, p_l, p_n = spans(r"\s"), spans(r"\p{L}"), spans(r"\p{N}")
+    classes = {r"[^\s\p{L}\p{N}]": f"[^{s}{p_l}{p_n}]", r"\p{L}": f"[{p_l}]", r"\p{N}": f"[{p_n}]", r"\s": f"[{s}]", r"\S": f"[^{s}]"}
+    return re.compile(re.sub("|".join(map(re.escape, classes)), lambda m: classes[m[0]], PATTERN))
+
+
 @functools.lru_cache(maxsize=1)
-def _splitter():
-    return regex.compile(PATTERN)
+def _splitter() -> Callable[[str], list[str]]:
+    find, find_ascii, find_most = regex.compile(PATTERN).findall, _faster(0x80).findall, _faster(0x10000).findall
+    return lambda text: (find_ascii if text.isascii() else find if _BEYOND.search(text) else find_most)(text)
 
 
 class _Numbers(dict):
@@ -164,7 +179,7 @@ def _split(documents: bool, block_bytes: int, buckets: int) -> Callable:
     """Blocks of documents as rows of their words, or of the documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        find = _splitter().findall
+        find = _splitter()
         block = -1
         numbers, docs, size, count = _Numbers(), [], 0, 0
         for batch in batches:
@@ -250,9 +265,16 @@ def encoded(docs: DataFrame, ranks: str = RANKS, block_bytes: int = BLOCK_BYTES,
     return both.mapInArrow(_assemble, "doc_id long, ids binary")
 
 
-def _bytes_of(ids: bytes, ranks: str) -> bytes:
+@functools.lru_cache(maxsize=2)
+def _spelled(ranks: str) -> tuple[list[bytes], list[bytes]]:
+    """By id: the bytes of a token, and its decimal with a space before it."""
     of = token_bytes(ranks)
-    return b"".join([of[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    ids = range(max(of) + 1)
+    return [of.get(i) for i in ids], [b" %d" % i for i in ids]
+
+
+def _bytes_of(ids: bytes, ranks: str) -> bytes:
+    return b"".join(map(_spelled(ranks)[0].__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def _decode(ranks: str) -> Callable:
@@ -276,14 +298,15 @@ def _digests(ranks: str) -> Callable:
     """Per document its number of ids, and digests of their decimal list and of what they decode to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, decimal = (of.__getitem__ for of in _spelled(ranks))
         for batch in batches:
             count, listed, text = [], [], []
             for ids in batch.column(1):
                 ids = ids.as_py()
                 numbers = np.frombuffer(ids, "<u4").tolist()
                 count.append(len(numbers))
-                listed.append(hashlib.sha256(" ".join(map(str, numbers)).encode()).hexdigest())
-                text.append(hashlib.sha256(_bytes_of(ids, ranks)).hexdigest())
+                listed.append(hashlib.sha256(b"".join(map(decimal, numbers))[1:]).hexdigest())
+                text.append(hashlib.sha256(b"".join(map(token, numbers))).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(count, pa.int64()), pa.array(listed, pa.string()), pa.array(text, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

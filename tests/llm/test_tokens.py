@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 
 from depthbook.llm import packing, word_bpe
 
@@ -32,6 +33,30 @@ def test_bpe_of_odd_splits(spark):
         assert ids_of(r.ids) == encode(texts[r.doc_id])
 
 
+def test_words_are_cut_without_the_slow_library(monkeypatch):
+    """As the pattern cuts them, with its library left for texts of characters beyond 16 bits."""
+    cut, taken = regex.compile(word_bpe.PATTERN).findall, []
+
+    class Noted:
+        def findall(self, text):
+            taken.append(text)
+            return cut(text)
+
+    slow = regex.compile
+    monkeypatch.setattr(regex, "compile", lambda p, *a: Noted() if p == word_bpe.PATTERN else slow(p, *a))
+    word_bpe._splitter.cache_clear()
+    split = word_bpe._splitter()
+    rng = random.Random(6)
+    every = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    signs = [*[c for c in every if c.isspace()], *"ab'strevmdl1²٣漢ßé?!_-"]
+    texts = [f"{c}{c}a {c}1{c}'{c}\n" for c in every]
+    texts += ["".join(rng.choices(every if i % 4 == 0 else signs, k=rng.randint(0, 40))) for i in range(20_000)]
+    assert [split(t) for t in texts] == [cut(t) for t in texts]
+    assert not taken
+    assert split("a 😀é b") == cut("a 😀é b") and taken == ["a 😀é b"]
+    word_bpe._splitter.cache_clear()
+
+
 def test_bpe_of_nothing(no_docs):
     assert word_bpe.encoded(no_docs).count() == 0
 
