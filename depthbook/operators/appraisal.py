@@ -89,13 +89,17 @@ def stored_inventory(stored: DataFrame) -> DataFrame:
     )
 
 
-def identified_lists(stored: DataFrame) -> DataFrame:
-    """Stored parts with the identifier of their list: a digest of the digests of its parts."""
+def list_identifiers(stored: DataFrame) -> DataFrame:
+    """(list_id, identifier) of stored lists: a digest of the digests of their parts."""
     digests = stored.groupBy("list_id").agg(F.sort_array(F.collect_list(F.sha2("list", 256))).alias("parts"))
-    named = digests.select(
+    return digests.select(
         "list_id", list_identifier(F.col("list_id").cast("string"), F.array_join("parts", "\n")).alias("identifier")
     )
-    return stored.join(named, "list_id")
+
+
+def identified_lists(stored: DataFrame) -> DataFrame:
+    """Stored parts with the identifier of their list."""
+    return stored.join(list_identifiers(stored), "list_id")
 
 
 def list_identifier(*content: Column) -> Column:
@@ -156,12 +160,14 @@ def appraise(
     )
 
 
+def _exact_totals() -> list[Column]:
+    """Sums in decimals, so that they do not depend on the order of lines."""
+    return [F.sum(F.col(t).cast("decimal(30,6)")).cast("decimal(38,6)").alias(t) for t in TOTALS]
+
+
 def appraisal_totals(lines: DataFrame) -> DataFrame:
-    """Sums per list and location, in decimals, so that they do not depend on the order of lines."""
-    exact = {t: F.col(t).cast("decimal(30,6)") for t in TOTALS}
-    return lines.groupBy("list_id", "loc_id").agg(
-        *[F.sum(exact[t]).cast("decimal(38,6)").alias(t) for t in TOTALS]
-    )
+    """Sums per list and location."""
+    return lines.groupBy("list_id", "loc_id").agg(*_exact_totals())
 
 
 def appraisal_documents(lines: DataFrame, stored: DataFrame, requests: DataFrame, regions: DataFrame) -> DataFrame:
@@ -173,12 +179,11 @@ def appraisal_documents(lines: DataFrame, stored: DataFrame, requests: DataFrame
     known = valid_requests(requests).join(
         regions.select(F.col("region_id").alias("loc_id"), "region_name"), "loc_id"
     )
-    identifiers = identified_lists(stored).select("list_id", "identifier").distinct()
-    counts = lines.groupBy("list_id", "loc_id").agg(F.count("*").alias("n_lines"))
+    # Counted and summed up in one pass, as the lines are made for each pass over them.
+    sums = lines.groupBy("list_id", "loc_id").agg(F.count("*").alias("n_lines"), *_exact_totals())
     return (
-        known.join(identifiers, "list_id", "left")
-        .join(counts, ["list_id", "loc_id"], "left")
-        .join(appraisal_totals(lines), ["list_id", "loc_id"], "left")
+        known.join(list_identifiers(stored), "list_id", "left")
+        .join(sums, ["list_id", "loc_id"], "left")
         .select(
             "list_id",
             "loc_id",
