@@ -5,8 +5,9 @@ import random
 from pyspark.sql import functions as F
 
 from depthbook.functions import text
-from depthbook.operators import depth, lookup
+from depthbook.operators import appraisal, depth, lookup
 from depthbook.sources import versions
+from depthbook.streaming import publication
 from depthbook.streaming import snapshots as stream
 
 
@@ -61,3 +62,32 @@ def test_changes_read_each_version_once(spark, tmp_path):
     assert stream.changes(spark, root, [sides[1], sides[1]]).isEmpty()
     nothing = stream.changes(spark, root, [(events.where("false"), None), sides[0]])
     assert sorted((r.key[0], r.op, r.order_set) for r in nothing.collect()) == [("a", "put", 1), ("b", "put", 2), ("c", "put", 2)]
+
+
+def test_orders_of_a_load_are_not_exchanged_by_snapshot(spark, tmp_path, monkeypatch):
+    """The snapshots of a batch are a few rows: orders meet them as a broadcast."""
+    seen = []
+    monkeypatch.setattr(versions, "write_versions", lambda rows, *_: seen.append(rows))
+    pages = spark.createDataFrame([], publication.LANDED)
+    todo = spark.createDataFrame([(1, 1)], "order_set long, version long")
+    publication.load_versions(pages, publication.newest_deliveries(publication.delivery_accounts(pages)), todo, str(tmp_path))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2, plan
+
+
+def test_ordinary_groups_of_a_scope_are_placed_once(spark, market):
+    """Setting hot groups apart places the ordinary ones already: only orders and pieces are placed beside that."""
+    plan = depth.aggregate_scope(market.orders, "global", hot_rows=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2, plan
+
+
+def test_documents_sum_up_their_lines_once(spark):
+    lines = spark.createDataFrame([(1, 7, *[1.0] * 5), (1, 7, *[2.0] * 5)], "list_id long, loc_id long, " + ", ".join(f"{t} double" for t in appraisal.TOTALS))
+    stored = spark.createDataFrame([(1, 0, "{}"), (1, 1, "[]")], "list_id long, part long, list string")
+    requests = spark.createDataFrame([(1, "7"), (2, "7"), (1, "x")], "list_id long, region string")
+    regions = spark.createDataFrame([(7, "seven")], "region_id long, region_name string")
+    found = appraisal.appraisal_documents(lines, stored, requests, regions)
+    named = appraisal.identified_lists(stored).select("identifier").first()[0]
+    rows = sorted((r.list_id, r.identifier, r.n_lines, float(r.pbuy)) for r in found.collect() if r.list_id == 1)
+    assert rows == [(1, named, 2, 3.0)] and found.count() == 2
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 3
